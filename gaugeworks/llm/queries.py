@@ -48,12 +48,12 @@ ORACLE: dict[str, str] = {
             SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS sha FROM pages
         ), d AS (
             SELECT page_id, octet_length(encode(payload)) AS payload_bytes, min(page_id) OVER (PARTITION BY sha) AS first_id,
-                   list_transform(range(0, 8), i -> ('0x' || substr(sha, 1 + 5 * CAST(i AS INT), 5))::INT) AS words
+                   list_transform(range(0, 8), lambda i: ('0x' || substr(sha, 1 + 5 * CAST(i AS INT), 5))::INT) AS words
             FROM p
         )
         SELECT page_id, payload_bytes,
                list_aggregate(list_transform(range(0, 32),
-                   k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((words[CAST(k // 4 + 1 AS INT)] >> CAST(15 - 5 * (k % 4) AS INT)) & 31), 1)),
+                   lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((words[CAST(k // 4 + 1 AS INT)] >> CAST(15 - 5 * (k % 4) AS INT)) & 31), 1)),
                    'string_agg', '') AS payload_digest,
                CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN NULL ELSE first_id END AS refers_to
