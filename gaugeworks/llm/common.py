@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
+from collections.abc import Callable
+from types import ModuleType
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -48,3 +53,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def kept(name: str, make: Callable[[], T]) -> T:
+    """What one task made, for later tasks of the same Python worker: vocabularies and bounded memories of words are built once, not once a task."""
+    store = sys.modules.setdefault("_gaugeworks_kept", ModuleType("_gaugeworks_kept")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import mpegaudio, packing, simhash, tokenbin, warc
+from gaugeworks.llm import ann, bpe, langid, mpegaudio, packing, secrets, simhash, tokenbin, toxicity, warc
 from gaugeworks.llm.common import table
 
 
@@ -20,6 +20,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = tokenbin.write_files(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return tokenbin.read_files(files)
@@ -33,13 +41,26 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op8_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.read_bundles(warc.write_bundles(table(spark, sf_dir, "pages")))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op4_token_files, op5_mpeg_audio, op6_simhash, op9_warc)
+    f.__name__: f
+    for f in (op1_packing, op2_langid, op3_toxicity, op4_token_files, op5_mpeg_audio, op6_simhash, op7_secrets, op8_word_bpe, op9_warc, op10_nearest)
 }
 
 ORACLE: dict[str, str] = {

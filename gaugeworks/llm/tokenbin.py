@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import small_batches, stored
+from gaugeworks.llm.common import kept, small_batches, stored
 
 HEAD, TAIL = b"GWTOKEN1", b"GWTOKEND"
 ROW, FOOT = "<QQQQI", "<QQII8s"
@@ -149,7 +149,7 @@ def write_files(docs: DataFrame, path: str, end_id: int = 0, id_col: str = "doc_
     end = struct.pack("<I", end_id)
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, part, file, rows, tokens = WordEncoder(path), TaskContext.get().partitionId(), 0, [], 0
+        encoder, part, file, rows, tokens = kept(f"words {path}", lambda: WordEncoder(path)), TaskContext.get().partitionId(), 0, [], 0
         row = lambda: pd.DataFrame({"part": [part], "file": [file], "tokens": [tokens], "data": [write_file(rows)]})
         for x in batches:
             ids = [None if pd.isna(i) else int(i) for i in x["doc_id"].astype("object")]
