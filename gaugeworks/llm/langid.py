@@ -177,10 +177,10 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, languages: list[str] | None = None, least: float = 0.0, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """The rows in a known language: not `und`, one of `languages` if given, with a score above `least`. All columns stay."""
+    """The rows in a known language: not `und`, one of `languages` if given, with a score of `least` or more. All columns stay."""
     small_batches(docs.sparkSession)
     g = docs.withColumn("__gw_lang", predictor(*profiles(docs, per_language)))
-    ok = (F.col("__gw_lang.lang") != UND) & (F.col("__gw_lang.score") > least)
+    ok = (F.col("__gw_lang.lang") != UND) & (F.col("__gw_lang.score") >= least)
     if languages is not None:
         ok &= F.col("__gw_lang.lang").isin(languages)
     return g.filter(ok).select(*[F.col(f"`{c}`") for c in docs.columns])
