@@ -24,12 +24,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gaugeworks.llm.bpe import byte_symbols
 from gaugeworks.llm.common import kept, small_batches, stored
 
 HEAD, TAIL = b"GWTOKEN1", b"GWTOKEND"
@@ -37,7 +39,21 @@ ROW, FOOT = "<QQQQI", "<QQII8s"
 ROW_BYTES, FOOT_BYTES = struct.calcsize(ROW), struct.calcsize(FOOT)
 FRAME_TOKENS = 1 << 16
 FILE_TOKENS = 1 << 22
-CACHE_WORDS = 500_000
+CACHE_WORDS = 400_000
+# Fixed value: where byte-level tokenizers of this family cut.
+CUTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+class Words(dict):
+    """Ids of words as bytes; a word not known yet is encoded when it is asked for."""
+
+    def __init__(self, encode: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.encode(word)
+        return ids
 
 
 class WordEncoder:
@@ -45,7 +61,9 @@ class WordEncoder:
 
     A text is cut before single blanks. The tokenizer's own cuts fall there too unless a blank stands inside a
     longer run of white space or ends such a run at the end of the text; such texts, and those that hold a
-    special token's string, go to the library whole. The memory of words is bounded by CACHE_WORDS.
+    special token's string, go to the library whole. A new word is cut by the tokenizer's pattern and its pieces are
+    encoded by the library's model; words with letters beyond Latin or unusual blanks go through the library's own cutting.
+    The memories are bounded by CACHE_WORDS.
     """
 
     def __init__(self, path: str) -> None:
@@ -54,24 +72,38 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([r"\s \s", r"\s \Z", *special]))
-        self.known: dict[str, bytes] = {}
+        self.plain = re.compile("[\n -~\u00a1-\u00ac\u00ae-\u024f]*")
+        self.cut = regex.compile(CUTS)
+        self.symbols = {b: c for b, c in enumerate(byte_symbols()) if chr(b) != c}
+        self.model = self.library.model
+        self.pieces, self.inner, self.first = Words(self.piece), Words(lambda w: self.word(" " + w)), Words(self.word)
+
+    def piece(self, piece: str) -> bytes:
+        symbols = piece.encode().decode("latin-1").translate(self.symbols)
+        return array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+
+    def word(self, word: str) -> bytes:
+        if word[1:].isalpha() and word.isascii() and (word[0] == " " or word[0].isalpha()):
+            return self.pieces[word]
+        if self.plain.fullmatch(word):
+            return b"".join([self.pieces[p] for p in self.cut.findall(word)])
+        return self.text(word)
+
+    def text(self, text: str) -> bytes:
+        return array("I", self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        encode = lambda x: [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(x, add_special_tokens=False)]
-        cut: list[list[str] | None] = []
+        out = []
         for t in texts:
+            for known in (self.pieces, self.inner, self.first):
+                if len(known) > CACHE_WORDS:
+                    known.clear()
             if self.whole.search(t):
-                cut.append(None)
+                out.append(self.text(t))
             else:
                 first, *rest = t.split(" ")
-                cut.append([first, *[" " + w for w in rest]])
-        new = list(set().union(*[c for c in cut if c]).difference(self.known))
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {}
-            new = list(set().union(*[c for c in cut if c]))
-        self.known.update(zip(new, encode(new), strict=True))
-        get = self.known.__getitem__
-        return [b"".join(map(get, c)) if c is not None else encode([t])[0] for c, t in zip(cut, texts, strict=True)]
+                out.append(self.first[first] + b"".join(map(self.inner.__getitem__, rest)))
+        return out
 
 
 def write_file(rows: list[tuple[int | None, bytes]], level: int = 3) -> bytes:
