@@ -9,6 +9,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Markup and single symbols that two spellings of one passage may differ in.
 MARKUP = r"<[^>]{0,40}>|[\\*_`#$]|\{|\}"
@@ -39,7 +40,7 @@ def fingerprint(*parts: Column) -> Column:
     return F.substring(F.sha2(joined.cast("binary"), 256), 1, 16)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold_marks(text: pd.Series) -> pd.Series:
     """Letters without their combining marks, exactly (canonical decomposition)."""
     return text.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn"))
@@ -116,7 +117,7 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b)) / F.greatest(F.size(F.array_union(a, b)), F.lit(1))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity; not symmetric, the first argument leads."""
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)])

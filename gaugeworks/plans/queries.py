@@ -366,3 +366,89 @@ def upsert_runs(spark: SparkSession, d: str) -> DataFrame:
     keyed = lambda run: dedup.last_wins(rows.filter(F.col("l_linestatus") == run), ["l_orderkey", "l_partkey"], ["l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice"])
     columns = ["l_orderkey", "l_partkey", "l_linenumber", "l_linestatus"]
     return dedup.upsert(keyed("F").select(*columns), keyed("O").select(*columns), ["l_orderkey", "l_partkey"])
+
+
+@query("SELECT DISTINCT doc_id, item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
+def literal_extract(spark: SparkSession, d: str) -> DataFrame:
+    from gaugeworks.operators import quotes
+
+    return quotes.containing(fx.table(spark, d, "documents"), fx.table(spark, d, "benchmark"))
+
+
+@query("""
+    WITH s AS (SELECT user_id, ts, max(event_id) AS event_id FROM events WHERE event_type = 'signup' GROUP BY 1, 2)
+    SELECT p.event_id AS purchase_id, p.user_id, (SELECT max_by(s.event_id, s.ts) FROM s WHERE s.user_id = p.user_id AND s.ts < p.ts) AS signup_id
+    FROM events p WHERE p.event_type = 'purchase'
+""")
+def asof_event_section(spark: SparkSession, d: str) -> DataFrame:
+    from gaugeworks.operators.asof import asof_before
+
+    e = fx.table(spark, d, "events")
+    left = e.filter("event_type = 'purchase'").select(F.col("event_id").alias("purchase_id"), "user_id", "ts")
+    right = e.filter("event_type = 'signup'").select("user_id", "ts", F.col("event_id").alias("signup_id"))
+    return asof_before(left, right, "user_id", "ts", "signup_id").select("purchase_id", "user_id", "signup_id")
+
+
+_SECTIONS = ("PROMO", "STANDARD", "ECONOMY", "SMALL")
+
+
+def _rule_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as proposed concepts: some of them break rules."""
+    p = fx.table(spark, d, "part")
+    return p.select(
+        "p_partkey",
+        F.col("p_name").alias("slug"),
+        F.split("p_name", " ").alias("triggers"),
+        F.when(F.col("p_size") > 5, F.array(F.col("p_brand"))).otherwise(F.expr("cast(array() as array<string>)")).alias("exclusions"),
+        F.repeat("p_type", (F.col("p_size") % 7 + 4).cast("int")).alias("definition"),
+        F.array(F.when(F.col("p_size") % 2 == 0, "c").otherwise("cobol")).alias("languages"),
+        F.col("p_type").alias("target_section"),
+    )
+
+
+@query("""
+    WITH r AS (
+        SELECT p_partkey, trim(regexp_replace(lower(strip_accents(p_name)), '[^a-z0-9]+', '_', 'g'), '_') AS key, p_name, p_size, repeat(p_type, CAST(p_size % 7 + 4 AS INT)) AS definition,
+               p_type IN ('PROMO', 'STANDARD', 'ECONOMY', 'SMALL') AS known FROM part
+    ), f AS (
+        SELECT p_partkey, CASE WHEN key = '' THEN 0 WHEN p_size <= 5 THEN 4 WHEN length(definition) < 40 THEN 5 WHEN NOT known THEN 7 ELSE 99 END AS stop,
+               p_name <> key AS slug_form, len(string_split(p_name, ' ')) > 6 AS many, p_size % 2 <> 0 AS foreign_lang FROM r
+    )
+    SELECT p_partkey, 1 AS ord, 'slug_form' AS code, 'repair' AS severity FROM f WHERE slug_form AND stop > 1
+    UNION ALL SELECT p_partkey, 3, 'many_triggers', 'repair' FROM f WHERE many AND stop > 3
+    UNION ALL SELECT p_partkey, 6, 'foreign_language', 'repair' FROM f WHERE foreign_lang AND stop > 6
+    UNION ALL SELECT p_partkey, stop, CASE stop WHEN 0 THEN 'slug_unusable' WHEN 4 THEN 'no_exclusion' WHEN 5 THEN 'short_definition' ELSE 'unknown_section' END, 'fatal' FROM f WHERE stop < 99
+""")
+def rule_findings(spark: SparkSession, d: str) -> DataFrame:
+    from gaugeworks.operators import rules
+
+    checked = rules.apply_rules(_rule_rows(spark, d), rules.concept_rules(("c", "ocaml"), _SECTIONS))
+    return rules.findings(checked, "p_partkey")
+
+
+@query("""
+    WITH x AS (SELECT p_partkey, p_type || '.' || p_brand AS concept_id, CASE WHEN p_size % 3 = 0 THEN p_brand WHEN p_size % 3 = 1 THEN p_type ELSE p_name END AS raw FROM part),
+    c AS (SELECT DISTINCT p_type || '.' || p_brand AS concept_id, p_brand AS slug FROM part), s AS (SELECT slug, max(concept_id) AS slug_id FROM c GROUP BY 1), t AS (SELECT DISTINCT p_type FROM part)
+    SELECT x.p_partkey, coalesce(slug_id, p_type) AS see, CASE WHEN slug_id IS NOT NULL THEN 'concept' WHEN p_type IS NOT NULL THEN 'section' END AS see_type,
+           CASE WHEN slug_id IS NULL AND p_type IS NULL THEN raw END AS see_raw
+    FROM x LEFT JOIN s ON s.slug = raw LEFT JOIN t ON t.p_type = raw
+""")
+def xref_resolution(spark: SparkSession, d: str) -> DataFrame:
+    from gaugeworks.operators import catalogue
+
+    p = fx.table(spark, d, "part")
+    raw = F.when(F.col("p_size") % 3 == 0, F.col("p_brand")).when(F.col("p_size") % 3 == 1, F.col("p_type")).otherwise(F.col("p_name"))
+    xrefs = p.select(F.col("p_partkey").cast("string").alias("concept_id"), raw.alias("raw"))
+    concepts = p.select(F.concat_ws(".", "p_type", "p_brand").alias("concept_id"), F.col("p_brand").alias("slug")).distinct()
+    out = catalogue.resolve(xrefs, concepts, p.select(F.col("p_type").alias("section_id")))
+    return out.select(F.col("concept_id").cast("long").alias("p_partkey"), "see", "see_type", "see_raw")
+
+
+@query()
+def similarity_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Nations as the gold set, all distinct names of suppliers' nations, parts' names and segments as candidates."""
+    from gaugeworks.operators import matching
+
+    gold = fx.table(spark, d, "nation").select(F.concat_ws(".", F.lit("gold"), F.lower("n_name")).alias("id"), F.col("n_name").alias("label"))
+    names = fx.table(spark, d, "part").select(F.concat_ws(".", F.lit("part"), F.lower("p_name")).alias("id"), F.col("p_name").alias("label")).distinct()
+    return matching.similar_pairs(gold, names.unionByName(gold.select(F.regexp_replace("id", "gold", "nation").alias("id"), "label")), 0.5)
