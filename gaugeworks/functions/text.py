@@ -145,5 +145,5 @@ def event_key(key: Column) -> Column:
 
 
 def is_infinitive(label: Column) -> Column:
-    """Does a label begin with a French infinitive (capitalised word in -er, -ir, -re, -oir)?"""
-    return label.rlike(r"(?U)^\p{L}+(?:er|ir|re|oir)\b")
+    """Does a label begin with a capitalised French infinitive (a word in -er, -ir, -re, -oir)?"""
+    return label.rlike(r"(?U)^[A-ZÉÈÀÇ][\w'-]*(?:er|ir|re|oir)\b")
