@@ -452,3 +452,120 @@ def similarity_pairs(spark: SparkSession, d: str) -> DataFrame:
     gold = fx.table(spark, d, "nation").select(F.concat_ws(".", F.lit("gold"), F.lower("n_name")).alias("id"), F.col("n_name").alias("label"))
     names = fx.table(spark, d, "part").select(F.concat_ws(".", F.lit("part"), F.lower("p_name")).alias("id"), F.col("p_name").alias("label")).distinct()
     return matching.similar_pairs(gold, names.unionByName(gold.select(F.regexp_replace("id", "gold", "nation").alias("id"), "label")), 0.5)
+
+
+def _records(spark: SparkSession, d: str) -> DataFrame:
+    rows = fx.labels(spark, d).join(fx.questions(spark, d).select("question_id", "language"), "question_id")
+    return rows.select(F.col("section_id").alias("section"), "concept_id", "language", F.when(F.col("run") == "F", "Algorithmique").otherwise("Théorie").alias("type"), F.lit(1).alias("weight"))
+
+
+_RECORDS_SQL = "r AS (SELECT section_id AS section, concept_id, language, CASE WHEN run = 'F' THEN 'Algorithmique' ELSE 'Théorie' END AS type, 1 AS weight FROM l JOIN q USING (question_id))"
+
+
+@query(f"""
+    WITH {CORPUS_SQL}, {_RECORDS_SQL}
+    SELECT section, type, concept_id, language, CAST(sum(weight) AS BIGINT) AS weight, grouping(section, type, concept_id, language) AS grouped
+    FROM r GROUP BY GROUPING SETS ((section, type), (concept_id, language), (section), (concept_id))
+""")
+def dashboard_totals(spark: SparkSession, d: str) -> DataFrame:
+    from gaugeworks.operators import records
+
+    return records.totals(_records(spark, d))
+
+
+@query(f"""
+    WITH {CORPUS_SQL}, {_RECORDS_SQL}, f AS (SELECT * FROM r WHERE type = 'Théorie' AND language IN ('1-URGENT', '5-LOW')), h AS (SELECT concept_id, sum(weight) AS w FROM f GROUP BY 1)
+    SELECT section_id AS section, CAST(coalesce(sum(w), 0) AS BIGINT) AS weight, count(w) AS hit, count(*) AS concepts FROM cat LEFT JOIN h USING (concept_id) GROUP BY 1
+""")
+def dashboard_sections(spark: SparkSession, d: str) -> DataFrame:
+    """Section totals under two facets."""
+    from gaugeworks.operators import records
+
+    rows = records.facets(_records(spark, d), languages=["1-URGENT", "5-LOW"], types=["Théorie"])
+    return records.section_totals(rows, fx.catalogue(spark, d))
+
+
+@query(f"""
+    WITH {CORPUS_SQL}, w AS (SELECT section_id, concept_id, count(*) AS weight FROM l GROUP BY 1, 2),
+    x AS (SELECT *, max(weight) OVER (PARTITION BY section_id) AS top, percent_rank() OVER (PARTITION BY section_id ORDER BY weight) AS pr, count(*) OVER (PARTITION BY section_id) AS n FROM w)
+    SELECT section_id, concept_id, weight, CAST(least(5, greatest(1, ceil(5 * (weight::DOUBLE / top)))) AS INT) AS linear,
+           CAST(least(5, greatest(1, ceil(5 * (ln(1 + weight::DOUBLE) / ln(1 + top::DOUBLE))))) AS INT) AS logarithmic, CAST(least(5, greatest(1, ceil(5 * (CASE WHEN n = 1 THEN 1 ELSE pr END)))) AS INT) AS ranked
+    FROM x
+""")
+def colour_levels(spark: SparkSession, d: str) -> DataFrame:
+    from gaugeworks.operators import records
+
+    w = fx.labels(spark, d).groupBy("section_id", "concept_id").agg(F.count(F.lit(1)).alias("weight"))
+    return records.levels(w, "weight", "section_id")
+
+
+@query("""
+    WITH x AS (SELECT p_partkey AS id, p_type AS see, CASE p_size % 4 WHEN 0 THEN 'concept' WHEN 1 THEN 'section' WHEN 2 THEN NULL ELSE 'odd' END AS t FROM part WHERE p_size % 5 > 0
+               UNION ALL SELECT p_partkey, NULL, NULL FROM part WHERE p_size % 5 = 0),
+    c AS (SELECT CASE WHEN see IS NULL THEN 'unresolved' WHEN t IS NULL THEN 'untyped' WHEN t = 'concept' THEN 'dead_concept' WHEN t = 'section' THEN CASE WHEN see IN ('PROMO', 'ECONOMY') THEN 'xref_to_section' ELSE 'dead_section' END ELSE 'unknown_type' END AS code FROM x)
+    SELECT code, CASE WHEN code IN ('xref_to_section', 'dead_section') THEN 'expected' ELSE 'fatal' END AS severity, count(*) AS n FROM c GROUP BY 1, 2
+""")
+def xref_findings(spark: SparkSession, d: str) -> DataFrame:
+    from gaugeworks.operators import catalogue
+
+    p = fx.table(spark, d, "part")
+    named = F.col("p_size") % 5 > 0
+    kind = F.when(F.col("p_size") % 4 == 0, "concept").when(F.col("p_size") % 4 == 1, "section").when(F.col("p_size") % 4 == 3, "odd")
+    x = p.select(F.col("p_partkey").cast("string").alias("concept_id"), F.when(named, F.col("p_type")).alias("see"), F.when(named, kind).alias("see_type"), F.when(~named, F.col("p_name")).alias("see_raw"))
+    concepts = p.select(F.concat_ws(".", "p_type", "p_brand").alias("concept_id")).distinct()
+    sections = p.select(F.col("p_type").alias("section_id")).filter("section_id IN ('PROMO', 'ECONOMY')").distinct()
+    return catalogue.check_xrefs(x, concepts, sections).groupBy("code", "severity").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+    WITH c AS (SELECT p_brand || '.' || p_name AS concept_id, p_brand AS section_id, p_name AS slug FROM part), per AS (SELECT section_id, count(*) AS n FROM c GROUP BY 1)
+    SELECT concept_id AS target, 'id_repeated' AS code, 'fatal' AS severity FROM c GROUP BY 1 HAVING count(*) > 1
+    UNION ALL SELECT slug, 'slug_repeated', 'expected' FROM c GROUP BY 1 HAVING count(DISTINCT section_id) > 1
+    UNION ALL SELECT section_id, 'section_over_ceiling', 'expected' FROM per WHERE n > 80
+    UNION ALL SELECT 'catalogue', 'too_many_concepts', 'expected' FROM c HAVING count(*) > 100
+""")
+def catalogue_findings(spark: SparkSession, d: str) -> DataFrame:
+    from gaugeworks.operators import catalogue
+
+    p = fx.table(spark, d, "part")
+    c = p.select(F.concat_ws(".", "p_brand", "p_name").alias("concept_id"), F.col("p_brand").alias("section_id"), F.col("p_name").alias("slug"), F.lit("Définir").alias("label"))
+    return catalogue.validate(c, c.select("section_id").distinct(), 80, 10, 100)
+
+
+@query("""
+    WITH x AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+    SELECT user_id, event_type, event_id FROM x WHERE rn = 1
+""")
+def last_wins(spark: SparkSession, d: str) -> DataFrame:
+    e = fx.table(spark, d, "events")
+    return dedup.last_wins(e, ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id")
+
+
+@query("SELECT left(text, 90) AS message, count(*) AS calls FROM conversations GROUP BY 1")
+def failure_groups(spark: SparkSession, d: str) -> DataFrame:
+    from gaugeworks.operators import labelling
+
+    return labelling.failures(fx.table(spark, d, "conversations").select(F.col("text").alias("message")))
+
+
+def _literal_sql() -> str:
+    t = "regexp_replace(coalesce(text, ''), '<[^>]{0,40}>|[\\\\*_`#$]|\\{|\\}', '', 'g')"
+    for sign, name in tx.SYMBOLS.items():
+        t = f"replace({t}, '{sign}', '{name.replace(chr(39), chr(39) * 2)}')"
+    return f"SELECT doc_id, sha256(lower(regexp_replace({t}, '\\s+', '', 'g'))) AS form, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) AS words FROM documents"
+
+
+@query(_literal_sql())
+def literal_forms(spark: SparkSession, d: str) -> DataFrame:
+    return fx.table(spark, d, "documents").select("doc_id", F.sha2(tx.literal_form(F.col("text")).cast("binary"), 256).alias("form"), tx.word_count(F.col("text")).cast("long").alias("words"))
+
+
+@query("""
+    WITH a AS (SELECT source, doc_id, regexp_extract(text, '[A-Za-z0-9._]+@[A-Za-z0-9.]+', 0) AS m FROM documents WHERE regexp_matches(text, '[A-Za-z0-9._]+@[A-Za-z0-9.]+')),
+    x AS (SELECT source AS origin, m AS excerpt, row_number() OVER (ORDER BY source, m) AS rank FROM a)
+    SELECT 'mail' AS probe, rank, origin, excerpt FROM x WHERE rank <= 12
+""")
+def probe_report(spark: SparkSession, d: str) -> DataFrame:
+    """The head of a report: excerpts without context, twelve at most."""
+    found = probes.attest(fx.table(spark, d, "documents"), PROBES[2:3], "source", around=0)
+    return probes.report(found).withColumn("rank", F.col("rank").cast("long"))
