@@ -142,3 +142,21 @@ def tokens(answers: DataFrame) -> DataFrame:
 def locality_order(calls: DataFrame, partitions: int) -> DataFrame:
     """Calls with the same sections side by side, so that a provider's prefix cache serves them; `ord` restores the corpus order later."""
     return calls.repartition(partitions, "sections").sortWithinPartitions("sections", "ord")
+
+
+def excluded_objects(mentions: DataFrame, most: int = 40) -> DataFrame:
+    """Objects that a prompt names as excluded: the first `most` mentions of that scope that name one."""
+    return mentions.filter("scope = 'objet_exclu' AND length(object) > 0").orderBy("id").limit(most).select("id", "object")
+
+
+def two_phases(exercises: DataFrame, memo: DataFrame, run: str, profile: Sequence[str], message_column: str = "message") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Calls of the first phase (which sections), of the second (labels within those), and exercises still without an answer to the first.
+
+    exercises: exercise_id, message. First answers are JSON {"sections": [...]} in the memo. Nothing is called here: what the memo lacks is listed.
+    """
+    first = exercises.withColumn("message", F.left(message_column, F.lit(PREFILTER_CHARS))).withColumn("key", call_key(run, "sections", F.col("exercise_id"), F.left(F.col(message_column), F.lit(PREFILTER_CHARS))))
+    got = answered(first, memo)
+    proposed = F.coalesce(F.from_json("payload", "sections array<string>")["sections"], F.expr("cast(array() as array<string>)"))
+    second = got.filter("payload IS NOT NULL").select("exercise_id", "message", kept_sections(proposed, profile).alias("sections"))
+    second = second.withColumn("key", call_key(run, "labels", F.col("exercise_id"), F.col("message"), F.col("sections")))
+    return to_call(first, memo), to_call(second, memo), got.filter("payload IS NULL").select("exercise_id")

@@ -357,3 +357,16 @@ def best_track_only(exercises: DataFrame, priority: tuple[str, ...] = ("mpi", "m
     """Of each document the exercises of its best track."""
     rank = F.array_position(F.array(*[F.lit(p) for p in priority]), F.col("track"))
     return exercises.withColumn("__r", rank).withColumn("__best", F.min("__r").over(W.partitionBy("doc_file"))).filter("__r = __best").drop("__r", "__best")
+
+
+def against_golden(found: DataFrame, expected: DataFrame, slack: float = 1e-6) -> DataFrame:
+    """Differences of summaries from those expected: doc_file, field, expected, found. Counts must be equal, the ratio may only be higher; a document on one side alone differs in the field `document`."""
+    fields = ["track", "exercises", "questions", "solutions", "figures_missing"]
+    a = found.select("doc_file", F.struct(*fields, "ratio").alias("f"))
+    b = expected.select("doc_file", F.struct(*fields, "ratio").alias("e"))
+    x = a.join(b, "doc_file", "full_outer")
+    one = lambda name, bad: F.when(bad, F.struct(F.lit(name).alias("field"), F.col(f"e.{name}").cast("string").alias("expected"), F.col(f"f.{name}").cast("string").alias("found")))
+    alone = F.when(F.col("f").isNull() | F.col("e").isNull(), F.struct(F.lit("document").alias("field"), F.col("e").isNotNull().cast("string").alias("expected"), F.col("f").isNotNull().cast("string").alias("found")))
+    both = F.col("f").isNotNull() & F.col("e").isNotNull()
+    checks = [one(n, both & ~F.col(f"f.{n}").eqNullSafe(F.col(f"e.{n}"))) for n in fields] + [one("ratio", both & (F.col("f.ratio") < F.col("e.ratio") - slack))]
+    return x.select("doc_file", F.explode(F.array_compact(F.array(alone, *checks))).alias("d")).select("doc_file", "d.*")
