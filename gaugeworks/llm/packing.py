@@ -33,7 +33,7 @@ def word_count(text: str = "text") -> Column:
 
 
 def length_bin(n: Column) -> Column:
-    """Upper bound of a length's bin: the length itself up to EXACT_UP_TO, beyond that the next multiple of 1/128 of its power of two. Under 2048 bins up to 2**19 tokens; each further doubling adds 64."""
+    """Upper bound of a length's bin: the length itself up to EXACT_UP_TO, beyond that the next multiple of 1/64 of the power of two below it. At most 2048 bins up to 2**26 tokens; each further doubling adds 64."""
     step = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(n, F.lit(1)).cast("double"))) - 6)
     return F.when(n <= EXACT_UP_TO, n).otherwise((F.ceil(n / step) * step).cast("long"))
 
@@ -73,7 +73,7 @@ def best_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> li
 def boundaries(sized: DataFrame, buckets: int) -> list[int]:
     """Bucket bounds for a DataFrame with column n_tokens: one aggregation, at most MAX_BINS rows to the driver."""
     rows = sized.groupBy(length_bin(F.col("n_tokens")).alias("length")).count().orderBy("length").collect()
-    while len(rows) > MAX_BINS:  # lengths beyond 2**19: neighbouring bins merge into the larger
+    while len(rows) > MAX_BINS:  # lengths beyond 2**26: neighbouring bins merge into the larger
         rows = [{"length": rows[min(i + 1, len(rows) - 1)]["length"], "count": sum(r["count"] for r in rows[i : i + 2])} for i in range(0, len(rows), 2)]
     return best_boundaries(np.array([r["length"] for r in rows], dtype=np.int64), np.array([r["count"] for r in rows], dtype=np.int64), buckets)
 
