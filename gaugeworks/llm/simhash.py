@@ -213,6 +213,7 @@ def keep_one(docs: DataFrame, radius: int = 2, id_col: str = "doc_id") -> DataFr
     """The documents whose id is their component's smallest; of repeated rows with that id, one; rows without an id count as one id, kept if their component has no other. All columns stay."""
     rows = components(docs, radius, id_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = stored(rows.groupBy(F.col("doc_id").alias("__gw_id")).count(), "simhash-kept")
-    out = docs.join(kept.select("__gw_id"), F.col(id_col).eqNullSafe(F.col("__gw_id")), "left_semi")
+    # The kept ids grow with the corpus, so they are never broadcast: one plan at every size.
+    out = docs.join(kept.select("__gw_id").hint("merge"), F.col(id_col).eqNullSafe(F.col("__gw_id")), "left_semi")
     # Texts are dealt out by id again only if an id really repeats.
     return out.dropDuplicates([id_col]) if kept.filter("count > 1").limit(1).count() else out
