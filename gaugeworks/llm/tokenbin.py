@@ -70,8 +70,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([r"\s \s", r"\s \Z", *special]))
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.whole = re.compile(r" (?<=\s )(?=\s|\Z)")
         self.plain = re.compile("[\n -~\u00a1-\u00ac\u00ae-\u024f]*")
         self.cut = regex.compile(CUTS)
         self.symbols = {b: c for b, c in enumerate(byte_symbols()) if chr(b) != c}
@@ -98,7 +98,7 @@ class WordEncoder:
             for known in (self.pieces, self.inner, self.first):
                 if len(known) > CACHE_WORDS:
                     known.clear()
-            if self.whole.search(t):
+            if self.whole.search(t) or any(s in t for s in self.special):
                 out.append(self.text(t))
             else:
                 first, *rest = t.split(" ")
