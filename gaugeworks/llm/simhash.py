@@ -46,16 +46,18 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(h)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed long) of every row."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", keyed: bool = False) -> DataFrame:
+    """doc_id and fp (the 64 bits as a signed long) of every row; keyed: its row_key() as well."""
     small_batches(docs.sparkSession)
+    more = ["key"] if keyed else []
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             fp = np.array([fingerprint(t) for t in x["text"]], dtype=np.uint64).astype(np.int64)
-            yield pd.DataFrame({"doc_id": x["doc_id"].astype("Int64"), "fp": fp})
+            yield pd.DataFrame({"doc_id": x["doc_id"].astype("Int64"), "fp": fp} | {c: x[c] for c in more})
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(scan, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[row_key().alias(c) for c in more])
+    return rows.mapInPandas(scan, "doc_id long, fp long" + ", key string" * keyed)
 
 
 def bit_statistics(distinct: DataFrame) -> tuple[int, np.ndarray]:
@@ -209,11 +211,26 @@ def components(docs: DataFrame, radius: int = 2, id_col: str = "doc_id") -> Data
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def row_key() -> Column:
+    """Hash of a row's text, by which rows of one id are told apart."""
+    return F.coalesce(F.md5(F.col("text").cast("string").cast("binary")), F.lit(""))
+
+
+def one_of_each(docs: DataFrame, rows: DataFrame, roots: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One row of docs for each component: the first by id (a null id is last), then by row_key(). rows: doc_id, key and fp of each row; roots: node and root of fps with links."""
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "count")
+    of_fp = rows.groupBy("fp", "doc_id", "key").count().groupBy("fp").agg(F.min(first).alias("first"))
+    of_root = of_fp.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    kept = stored(of_root.select(F.col("first.doc_id").alias("__gw_id"), F.col("first.key").alias("__gw_same"), F.col("first.count").alias("n")), "simhash-kept")
+    # The kept rows grow with the corpus, so they are never broadcast: one plan at every size.
+    same = F.col(id_col).eqNullSafe(F.col("__gw_id")) & (F.col("__gw_key") == F.col("__gw_same"))
+    out = docs.withColumn("__gw_key", row_key()).join(kept.select("__gw_id", "__gw_same").hint("merge"), same, "left_semi")
+    # Texts are dealt out again only if a kept row, id and text, really repeats.
+    return (out.dropDuplicates([id_col, "__gw_key"]) if kept.filter("n > 1").limit(1).count() else out).drop("__gw_key")
+
+
 def keep_one(docs: DataFrame, radius: int = 2, id_col: str = "doc_id") -> DataFrame:
-    """The documents whose id is their component's smallest; of repeated rows with that id, one; rows without an id count as one id, kept if their component has no other. All columns stay."""
-    rows = components(docs, radius, id_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = stored(rows.groupBy(F.col("doc_id").alias("__gw_id")).count(), "simhash-kept")
-    # The kept ids grow with the corpus, so they are never broadcast: one plan at every size.
-    out = docs.join(kept.select("__gw_id").hint("merge"), F.col(id_col).eqNullSafe(F.col("__gw_id")), "left_semi")
-    # Texts are dealt out by id again only if an id really repeats.
-    return out.dropDuplicates([id_col]) if kept.filter("count > 1").limit(1).count() else out
+    """One document of each component, as one_of_each() says. All columns stay."""
+    rows = stored(fingerprints(docs, id_col, keyed=True), "simhash-fingerprints")
+    distinct = stored(rows.select("fp").distinct(), "simhash-distinct")
+    return one_of_each(docs, rows, connected(links(distinct, radius)), id_col)
