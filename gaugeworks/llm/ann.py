@@ -11,7 +11,7 @@ Every vector is indexed, in a shard of at most about SHARD_ROWS by a hash of its
 or more). Each shard meets the stated query set in blocks of about BLOCK, and only its k best per query are shuffled.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part, as queries or
-candidates; so do vectors whose length differs from the longest-standing one (the smallest id's); a null id takes no part;
+candidates; a vector's neighbours are those of its own length; a null id takes no part;
 of repeated ids each row counts, and a query leaves out all rows of its own id; ties go to the smaller id; with fewer candidates than k
 all are returned; extra columns are ignored.
 """
@@ -121,17 +121,17 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, shard_rows: int = S
     small_batches(spark, 5000)
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")).filter("vec_id IS NOT NULL AND size(v) > 0")
     v = v.filter(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("v", lambda x: x != 0))
-    size = v.agg(F.count(F.lit(1)).alias("n"), F.min_by(F.size("v"), "vec_id").alias("dim")).first()
+    n = v.count()
     out = "query_id long, vec_id long, score double"
-    if not size["n"]:
+    if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    shards = max(-(-size["n"] // shard_rows), min(SHARDS, -(-size["n"] // SMALL_SHARD)))
-    blocks = -(-size["n"] // (every * BLOCK))
-    v = v.filter(F.size("v") == size["dim"])
+    shards = max(-(-n // shard_rows), min(SHARDS, -(-n // SMALL_SHARD)))
+    blocks = -(-n // (every * BLOCK))
+    v = v.withColumn("dim", F.size("v"))
     dealt = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(int(n) - 1)))
-    rows = v.select(dealt(shards, 0).alias("shard"), each(blocks).alias("block"), "vec_id", "v")
-    asked = v.filter(F.col("vec_id") % every == 0).select(dealt(blocks, SEED).alias("block"), each(shards).alias("shard"), "vec_id", "v")
+    rows = v.select(dealt(shards, 0).alias("shard"), each(blocks).alias("block"), "dim", "vec_id", "v")
+    asked = v.filter(F.col("vec_id") % every == 0).select(dealt(blocks, SEED).alias("block"), each(shards).alias("shard"), "dim", "vec_id", "v")
 
     def search(own: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, int, float]] = []
@@ -142,7 +142,7 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, shard_rows: int = S
                 found.extend(index.search(part["vec_id"].to_numpy(np.int64), np.stack(part["v"].to_numpy()), k))
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    best = rows.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(search, out)
+    best = rows.groupBy("shard", "block", "dim").cogroup(asked.groupBy("shard", "block", "dim")).applyInPandas(search, out)
     best = stored(best, "ann-found")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

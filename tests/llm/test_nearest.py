@@ -45,3 +45,10 @@ def test_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "vec_id long, embedding array<float>")
     assert [(r.query_id, r.vec_id, r.score) for r in ann.nearest(df).collect()] == [(0, 1, 0.0)]
     assert ann.nearest(df.filter("false")).count() == 0
+
+
+def test_each_length_among_its_own(spark):
+    """A cut vector with the smallest id takes nothing from the others."""
+    rows = [(0, [1.0]), (50, [1.0, 0.0]), (51, [1.0, 1.0]), (52, [0.0, 1.0]), (53, [2.0])]
+    out = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=2).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.rank, r.vec_id) for r in out] == [(0, 1, 53), (50, 1, 51), (50, 2, 52)]
