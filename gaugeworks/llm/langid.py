@@ -29,48 +29,60 @@ UND = "und"
 DIMS = 1024
 N = 3
 SEED = 7
-#: Letter classes: 0 is the gap between words, 1..26 a-z, then Latin-1 letters of their own, the rest shared by hashing.
-LETTERS = 64
+#: Letter classes, of which n-gram ids are numbers to this base: 0 is the gap between words, 1..26 a-z, then Latin-1's letters; any other letter is its code point.
+LETTERS = 1 << 21
+#: Classes below this one are a-z and Latin-1: their n-grams' vectors are kept.
+COMMON = 64
+AT_ONCE = 4096
 PER_LANGUAGE = 2000
 
 
 def letter_classes() -> np.ndarray:
-    """Class of each code point of the basic plane: 0 for what is no letter; upper case as lower case."""
-    table = np.zeros(1 << 16, dtype=np.uint8)
+    """Class of each code point of all planes: 0 for what is no letter; upper case as lower case."""
+    table = np.zeros(0x110000, dtype=np.int32)
     latin = {}
-    for c in range(1 << 16):
+    for c in range(len(table)):
         ch = chr(c)
         if not ch.isalpha():
             continue
-        low = ch.lower()
-        low = ord(low[0])
+        low = ord(ch.lower()[0])
         if 97 <= low <= 122:
             table[c] = low - 96
         elif low < 256:
-            table[c] = latin.setdefault(low, 27 + len(latin)) if len(latin) < 33 else 60
+            table[c] = latin.setdefault(low, 27 + len(latin))
         else:
-            table[c] = 60 + low // 128 % 4
+            table[c] = low
     return table
 
 
+class LetterVectors:
+    """The random vector of each letter class, drawn from a seed of its own; remembered as bits."""
+
+    def __init__(self) -> None:
+        self.bits: dict[int, np.ndarray] = {}
+
+    def __getitem__(self, letters: int | np.ndarray) -> np.ndarray:
+        every = np.atleast_1d(letters)
+        for c in every.tolist():
+            if c not in self.bits:
+                self.bits[c] = np.frombuffer(np.random.default_rng([SEED, c]).bytes(DIMS // 8), dtype=np.uint8)
+        out = np.unpackbits(np.stack([self.bits[c] for c in every.tolist()]), axis=1).astype(np.float32) * 2 - 1
+        return out if np.ndim(letters) else out[0]
+
+
 class Profiler:
-    """Turns texts into n-gram counts and these into vectors. Columns are numbered as n-grams turn up; at most LETTERS ** N."""
+    """Turns texts into n-gram counts and these into vectors. N-grams of common letters have columns, numbered as they turn up, at most COMMON ** N; those of other letters are made for each batch."""
 
     def __init__(self) -> None:
         self.classes = letter_classes()
-        rng = np.random.default_rng(SEED)
-        self.letters = rng.choice(np.array([-1.0, 1.0], dtype=np.float32), size=(LETTERS, DIMS))
-        self.column = np.full(LETTERS**N, -1, dtype=np.int32)
-        self.grams = np.zeros(0, dtype=np.int64)
+        self.letters = LetterVectors()
+        self.column = np.full(COMMON**N, -1, dtype=np.int32)
         self.matrix = np.zeros((0, DIMS), dtype=np.float32)
 
     def grams_of(self, text: str) -> np.ndarray:
         """N-gram ids of a text; runs of other characters count as one gap."""
         code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        kind = self.classes[np.minimum(code, 0xFFFF)]
-        if len(code) and code.max() > 0xFFFF:
-            kind[code > 0xFFFF] = 0
-        kind = np.concatenate([[0], kind, [0]]).astype(np.int64)
+        kind = np.concatenate([[0], self.classes[code], [0]]).astype(np.int64)
         kind = kind[np.append(True, (kind[1:] != 0) | (kind[:-1] != 0))]
         if len(kind) < N:
             return np.zeros(0, dtype=np.int64)
@@ -83,21 +95,39 @@ class Profiler:
         """Bound n-gram vectors: the product of the letters' vectors, each rotated by its place."""
         out = np.ones((len(ids), DIMS), dtype=np.float32)
         for k in range(N):
-            out *= np.roll(self.letters, k, axis=1)[ids // LETTERS ** (N - 1 - k) % LETTERS]
+            letters, at = np.unique(ids // LETTERS ** (N - 1 - k) % LETTERS, return_inverse=True)
+            if len(letters):
+                out *= np.roll(self.letters[letters], k, axis=1)[at]
         return out
 
     def bundle(self, texts: list[np.ndarray]) -> np.ndarray:
         """A vector for each list of n-gram ids."""
         every = np.concatenate(texts)
-        new = np.unique(every[self.column[every] < 0])
-        if len(new):
-            self.column[new] = len(self.grams) + np.arange(len(new))
-            self.grams = np.concatenate([self.grams, new])
-            self.matrix = np.concatenate([self.matrix, self.vectors(new)])
-        width = len(self.grams)
         row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-        counts = np.bincount(row * width + self.column[every], minlength=len(texts) * width).reshape(len(texts), width)
-        return counts.astype(np.float32) @ self.matrix
+        place, common = np.zeros(len(every), dtype=np.int64), np.ones(len(every), dtype=bool)
+        for k in range(N):
+            letter = every >> (N - 1 - k) * (LETTERS.bit_length() - 1) & (LETTERS - 1)
+            common &= letter < COMMON
+            place = place * COMMON + (letter & (COMMON - 1))
+        place = place[common]
+        new = np.unique(place[self.column[place] < 0])
+        if len(new):
+            self.column[new] = len(self.matrix) + np.arange(len(new))
+            ids = sum((new // COMMON**k % COMMON) * LETTERS**k for k in range(N))
+            self.matrix = np.concatenate([self.matrix, self.vectors(ids)])
+        out = self.summed(len(texts), row[common], self.column[place], self.matrix)
+        if not common.all():
+            other, at = np.unique(every[~common], return_inverse=True)
+            for k in range(0, len(other), AT_ONCE):
+                own = (at >= k) & (at < k + AT_ONCE)
+                out += self.summed(len(texts), row[~common][own], at[own] - k, self.vectors(other[k : k + AT_ONCE]))
+        return out
+
+    @staticmethod
+    def summed(n: int, row: np.ndarray, column: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+        """Counts by row and column, times the matrix."""
+        width = len(matrix)
+        return np.bincount(row * width + column, minlength=n * width).reshape(n, width).astype(np.float32) @ matrix
 
 
 def profiles(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
@@ -112,26 +142,29 @@ def profiles(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[lis
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(SEED)), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        p = kept("profiler", Profiler)
+        for x in batches:
+            for lang, texts in x.groupby("lang")["text"]:
+                g, n = np.unique(np.concatenate([p.grams_of(t) for t in texts]), return_counts=True)
+                yield pd.DataFrame({"lang": lang, "gram": g, "n": n})
+
+    def bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         p, total = kept("profiler", Profiler), {}
         for x in batches:
-            for lang, text in zip(x["lang"], x["text"], strict=True):
-                ids = p.grams_of(text)
-                if len(ids):
-                    got = np.bincount(ids, minlength=LETTERS**N)
-                    total[lang] = total[lang] + got if lang in total else got
-        for lang, c in total.items():
-            g = np.flatnonzero(c)
-            yield pd.DataFrame({"lang": lang, "gram": g.astype(np.int32), "n": c[g]})
-
-    counts = rows.filter(draw < share).select("lang", F.col("text").cast("string").alias("text")).mapInPandas(count, "lang string, gram int, n long")
-    # At most LETTERS ** N rows for each language, however large the corpus.
-    got = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    langs, p = sorted(got["lang"].unique()), Profiler()
-    out = np.zeros((len(langs), DIMS))
-    for k, lang in enumerate(langs):
-        own = got[got["lang"] == lang]
-        out[k] = (own["n"].to_numpy(np.float64) / own["n"].sum()) @ p.vectors(own["gram"].to_numpy(np.int64))
-    return langs, out.astype(np.float32)
+            for lang, own in x.groupby("lang"):
+                n = own["n"].to_numpy(np.float64)
+                got = np.append(n @ p.vectors(own["gram"].to_numpy(np.int64)), n.sum())
+                total[lang] = total[lang] + got if lang in total else got
+        for lang, v in total.items():
+            yield pd.DataFrame({"lang": lang, "dim": np.arange(DIMS + 1), "v": v.round().astype(np.int64)})
+
+    counts = rows.filter(draw < share).select("lang", F.col("text").cast("string").alias("text")).mapInPandas(count, "lang string, gram long, n long")
+    sums = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).mapInPandas(bundle, "lang string, dim int, v long")
+    # DIMS + 1 rows for each language, however many n-grams: the sums of whole numbers, and last the number of n-grams.
+    got = sums.groupBy("lang", "dim").agg(F.sum("v").alias("v")).toPandas().sort_values(["lang", "dim"])
+    langs = sorted(got["lang"].unique())
+    out = got["v"].to_numpy(np.float64).reshape(len(langs), DIMS + 1)
+    return langs, (out[:, :DIMS] / out[:, DIMS:]).astype(np.float32)
 
 
 def predictor(langs: list[str], protos: np.ndarray) -> Column:

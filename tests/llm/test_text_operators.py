@@ -69,6 +69,17 @@ def test_language_bundles_are_sums_of_bound_vectors():
     assert np.allclose(p.bundle([ids])[0], sum(one(g) for g in ids))
 
 
+def test_letters_of_all_scripts_differ(spark):
+    """Two languages of one script and of equal word lengths; and letters beyond the basic plane."""
+    r, rows = random.Random(12), []
+    for i in range(240):
+        letters = ("абвгдежз", "ийклмноп", "אבגדהוזח", "\U00010428\U00010429\U0001042a\U0001042b")[i % 4]
+        rows.append((i, " ".join("".join(r.choices(letters, k=4)) for _ in range(25)), f"l{i % 4}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = langid.identify(docs).join(docs, "doc_id").collect()
+    assert len(out) == 240 and all(x.lang_pred == x.lang for x in out)
+
+
 def test_toxicity_holds_out_of_sample(spark, odd_docs):
     r = random.Random(6)
     rows, marks = [], []
