@@ -6,7 +6,9 @@ symbols of that alphabet explain it: Pearson's chi-squared for uniform use of th
 alphabet's middle, and the serial correlation of neighbours, joined by Fisher's method to one p-value. Randomness is the
 null hypothesis. Benjamini and Hochberg's procedure, per length class as tests gain power with length, finds the runs
 that are not random (words, paths, counters) such that at most the share Q of these is expected to be random after all.
-What it doesn't reject is reported as a span of the kind `random`, unless it overlaps a base span.
+What it doesn't reject is reported as a span of the kind `random`, unless it overlaps a base span. A run that mixes the two
+base64 alphabets is cut into its parts in each, which may overlap; each part of 20 and more characters is tested,
+unless it lies within another.
 
 The procedure needs only counts of p-values by length class and fine bins of log p (rounded up: never more rejections), a table of
 bounded size. Texts are read twice and never shuffled.
@@ -29,7 +31,11 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 PATTERNS = {"assign": ASSIGN, "access": "AKIA[A-Z0-9]{16,}", "hex": "[0-9a-f]{24,}"}
 LEAST_VALUE = 6
-RUN = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+# '=' is padding, so only the last of a run; elsewhere it parts runs, as in NAME=value.
+RUN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+(?:=++(?![A-Za-z0-9+/_-]))?+"
+# A run with symbols of both base64 alphabets is no run of either: its parts in each are tested.
+MIXED = "[+/].*[_-]|[_-].*[+/]"
+PARTS = ("(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{20,}+=*+", "(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+=*+")
 HEX = "0123456789abcdef"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 LOWER36 = "0123456789abcdefghijklmnopqrstuvwxyz"
@@ -146,7 +152,14 @@ def candidates(text: Column) -> Column:
         cls = F.floor(2 * F.log2(F.length(x["m"]).cast("double"))).cast("int")
         return F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), cls.alias("cls"), place.alias("bin"))
 
-    return F.filter(F.transform(F.filter(located(text, RUN, 3), lambda x: x["m"].rlike("[0-9]")), tested), lambda x: x["bin"].isNotNull())
+    def parts(x: Column) -> Column:
+        cut = F.array_distinct(F.concat(*[located(x["m"], pattern, 3) for pattern in PARTS]))
+        cut = let(cut, lambda every: F.filter(every, lambda y: ~F.exists(every, lambda z: (z["s"] <= y["s"]) & (y["e"] <= z["e"]) & (z["e"] - z["s"] > y["e"] - y["s"]))))
+        moved = F.transform(cut, lambda y: F.struct(y["kind"].alias("kind"), (x["s"] + y["s"]).alias("s"), (x["s"] + y["e"]).alias("e"), y["m"].alias("m")))
+        return F.when(x["m"].rlike(MIXED), moved).otherwise(F.array(x))
+
+    runs = F.flatten(F.transform(F.filter(located(text, RUN, 3), lambda x: x["m"].rlike("[0-9]")), parts))
+    return F.filter(F.transform(runs, tested), lambda x: x["bin"].isNotNull())
 
 
 def rejected_from(docs: DataFrame, q: float = Q) -> dict[int, int]:

@@ -152,6 +152,18 @@ def test_random_runs_are_told_from_words(spark):
     assert p_bins(spark, ["12345678901234567890123", "short1"]) == [None, None]
 
 
+def test_runs_behind_names_and_paths_are_tested(spark):
+    r = random.Random(13)
+    word = "".join(r.choices(secrets.BASE62, k=40))
+    url, plain = word[:20] + "-" + word[20:] + "_7", word[:20] + "+" + word[20:] + "/7"
+    texts = [f"AccountKey={plain}==", f"KEY={word}", f"?sig={word}&x=1", f"v1/{url}", f"a-b {url}", f"{plain}-x", f"{'long' * 6}1={word}"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {x.i: x.m for x in rows.select("i", F.explode(F.transform(secrets.candidates(F.col("text")), lambda x: x["m"])).alias("m")).collect() if word[:20] in x.m}
+    assert got == {0: plain + "==", 1: word, 2: word, 3: url, 4: url, 5: plain, 6: word}
+    places = rows.select("i", F.explode(secrets.candidates(F.col("text"))).alias("x")).select("i", "x.s", "x.e", "x.m").collect()
+    assert all(texts[x.i][x.s : x.e] == x.m for x in places)
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, 'a token = "abcdef0123456789abcdef0123" b', 40), (2, None, 0), (3, "plain", 5)], "doc_id long, text string, n_chars long")
     out = {x.doc_id: (x.text, x.n_chars) for x in secrets.redact(docs).collect()}
