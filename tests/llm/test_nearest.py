@@ -52,3 +52,38 @@ def test_each_length_among_its_own(spark):
     rows = [(0, [1.0]), (50, [1.0, 0.0]), (51, [1.0, 1.0]), (52, [0.0, 1.0]), (53, [2.0])]
     out = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=2).orderBy("query_id", "rank").collect()
     assert [(r.query_id, r.rank, r.vec_id) for r in out] == [(0, 1, 53), (50, 1, 51), (50, 2, 52)]
+
+
+def test_repeated_ids(spark):
+    """Rows equal in id and vector are one; other vectors under an id are queries and candidates of their own."""
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [0.0, 1.0])] + [(i, [float(i), 1.0]) for i in (1, 2, 3, 3, 4, 5, 6, 7, 8, 9)]
+    out = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    by = {}
+    for r in sorted(out, key=lambda r: r.rank):
+        by.setdefault(r.query_row, []).append((r.rank, r.vec_id))
+    assert sorted(by.values()) == sorted([[(1, 9), (2, 8), (3, 7), (4, 6), (5, 5)], [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5)]])
+
+
+def test_the_search_stops_and_finds(spark):
+    """Recall against brute force, and the share of vectors verified, on clustered data and on data without any structure, spread over many cells."""
+    r = np.random.default_rng(3)
+    centres = r.standard_normal((30, 48))
+    for clustered, least, most in ((True, 0.93, 0.1), (False, 0.93, 0.6)):
+        v = centres[r.integers(0, 30, 3000)] + 0.3 * r.standard_normal((3000, 48)) if clustered else r.standard_normal((3000, 48))
+        rows = [(i, [float(x) for x in x]) for i, x in enumerate(v)]
+        got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), cell_rows=300).collect()
+        want = brute(rows)
+        hit = sum(1 for g in got if g.vec_id in {w[1] for w in want[g.query_id]}) / sum(map(len, want.values()))
+        verified = sum({g.query_id: g.verified for g in got}.values()) / len(want) / len(rows)
+        assert hit >= least, (clustered, hit)
+        assert verified <= most, (clustered, verified)
+
+
+def test_many_copies_cost_nothing(spark):
+    """Two thirds of all rows are one vector: its queries verify a few points, not all copies."""
+    r = np.random.default_rng(4)
+    rows = [(i, [1.0, 2.0, 3.0]) if i % 3 else (i, [float(x) for x in r.standard_normal(3)]) for i in range(600)]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect()
+    of = [g for g in got if g.query_id == 50]
+    assert [g.vec_id for g in of] == [1, 2, 4, 5, 7] and all(g.score == pytest.approx(1.0) for g in of)
+    assert of[0].verified <= 64
