@@ -1,7 +1,9 @@
 """Packing: optimal length buckets by dynamic programming, token-budget batches inside each bucket.
 
-The global length histogram is aggregated on the executors and has at most MAX_BINS rows, so
-the dynamic program on the driver is bounded whatever the corpus. Rows are numbered inside their
+The global length histogram is aggregated on the executors and reaches the driver with one row for each distinct length: n
+distinct lengths need n * (n + 1) / 2 tokens or more, so even 1e13 tokens have under 4.5 million, and real corpora some thousands. The
+dynamic program over it is exact. The best start of a last bucket never moves left as its end moves right, so each layer is
+solved by halving in O(n log n). Rows are numbered inside their
 bucket by a range partitioning on (bucket, id): no bucket is ever gathered in one task.
 
 Defined results: a null or blank text has length 0 and goes to the first bucket, where it
@@ -23,44 +25,29 @@ from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import small_batches, stored
 
-MAX_BINS = 2048
-EXACT_UP_TO = 1024
-
-
 def word_count(text: str = "text") -> Column:
     """Tokens of a text: maximal runs without blanks; null counts as none."""
     return F.coalesce(F.size(F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")), F.lit(0)).cast("long")
 
 
-def length_bin(n: Column) -> Column:
-    """Upper bound of a length's bin: the length itself up to EXACT_UP_TO, beyond that the next multiple of 1/64 of the power of two below it. At most 2048 bins up to 2**26 tokens; each further doubling adds 64."""
-    step = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(n, F.lit(1)).cast("double"))) - 6)
-    return F.when(n <= EXACT_UP_TO, n).otherwise((F.ceil(n / step) * step).cast("long"))
-
-
 def best_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     """Upper bounds of at most `buckets` buckets over the sorted distinct lengths with the least total padding.
 
     cost(i, j) = lengths[j] * (documents i..j) - (tokens i..j); best[k][j] = min over i of best[k-1][i-1] + cost(i, j).
+    In whole numbers: exact while padded tokens stay under 2 ** 63.
     """
     n = len(lengths)
     if n == 0:
         return []
-    x = lengths.astype(np.float64)
-    docs = np.concatenate([[0.0], np.cumsum(counts, dtype=np.float64)])
-    tokens = np.concatenate([[0.0], np.cumsum(x * counts)])
+    x = lengths.astype(np.int64)
+    docs = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+    tokens = np.concatenate([[0], np.cumsum(x * counts)])
     best = x * docs[1:] - tokens[1:]
     cuts = [np.zeros(n, dtype=np.int64)]
     for _ in range(1, min(buckets, n)):
-        now, cut = best.copy(), np.zeros(n, dtype=np.int64)
-        for j in range(1, n):
-            i = np.arange(1, j + 1)
-            total = best[i - 1] + x[j] * (docs[j + 1] - docs[i]) - (tokens[j + 1] - tokens[i])
-            k = int(np.argmin(total))
-            if total[k] < now[j]:
-                now[j], cut[j] = total[k], i[k]
-        best = now
+        now, cut = _layer(best, x, docs, tokens)
         cuts.append(cut)
+        best = now
     ends, j = [], n - 1
     for cut in reversed(cuts):
         ends.append(int(lengths[j]))
@@ -70,12 +57,33 @@ def best_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> li
     return sorted(ends)
 
 
+def _layer(best: np.ndarray, x: np.ndarray, docs: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One more bucket: the least cost of each end j and the lowest start i of its last bucket (0: no further bucket). All middles of one depth are solved at once, each between the answers of its neighbours."""
+    n = len(x)
+    now, cut = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    before = np.concatenate([[0], best[:-1]])
+    spans = np.array([[0, n - 1, 0, n - 1]])
+    while len(spans):
+        lo, hi, left, right = spans.T
+        mid = (lo + hi) // 2
+        width = np.minimum(mid, right) - left + 1
+        first = np.concatenate([[0], np.cumsum(width)[:-1]])
+        i = np.arange(width.sum()) - np.repeat(first - left, width)
+        j = np.repeat(mid, width)
+        total = before[i] + x[j] * (docs[j + 1] - docs[i]) - (tokens[j + 1] - tokens[i])
+        least = np.minimum.reduceat(total, first)
+        at = np.flatnonzero(total == np.repeat(least, width))
+        start = i[at[np.searchsorted(at, first)]]
+        now[mid], cut[mid] = least, start
+        spans = np.concatenate([np.stack([lo, mid - 1, left, start], axis=1), np.stack([mid + 1, hi, start, right], axis=1)])
+        spans = spans[spans[:, 0] <= spans[:, 1]]
+    return now, cut
+
+
 def boundaries(sized: DataFrame, buckets: int) -> list[int]:
-    """Bucket bounds for a DataFrame with column n_tokens: one aggregation, at most MAX_BINS rows to the driver."""
-    rows = sized.groupBy(length_bin(F.col("n_tokens")).alias("length")).count().orderBy("length").collect()
-    while len(rows) > MAX_BINS:  # lengths beyond 2**26: neighbouring bins merge into the larger
-        rows = [{"length": rows[min(i + 1, len(rows) - 1)]["length"], "count": sum(r["count"] for r in rows[i : i + 2])} for i in range(0, len(rows), 2)]
-    return best_boundaries(np.array([r["length"] for r in rows], dtype=np.int64), np.array([r["count"] for r in rows], dtype=np.int64), buckets)
+    """Bucket bounds for a DataFrame with column n_tokens: one aggregation, one row for each distinct length to the driver."""
+    rows = sized.groupBy("n_tokens").count().toPandas().sort_values("n_tokens")
+    return best_boundaries(rows["n_tokens"].to_numpy(np.int64), rows["count"].to_numpy(np.int64), buckets)
 
 
 def _numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
