@@ -3,29 +3,35 @@
 Base spans come from three patterns (PATTERNS). The battery looks at other runs of 20 and more
 characters of the usual encodings that hold a digit. Of each it infers the encoding and asks how well uniform random
 symbols of that alphabet explain it: Pearson's chi-squared for uniform use of the alphabet, the runs test about the
-alphabet's middle, and the serial correlation of neighbours, joined by Fisher's method to one p-value. Randomness is the
-null hypothesis. Benjamini and Hochberg's procedure, per length class as tests gain power with length, finds the runs
-that are not random (words, paths, counters) such that at most the share Q of these is expected to be random after all.
-What it doesn't reject is reported as a span of the kind `random`, unless it overlaps a base span. A run that mixes the two
+alphabet's middle, and the serial correlation of neighbours, joined by Fisher's method to one p-value, the run's score. A run that mixes the two
 base64 alphabets is cut into its parts in each, which may overlap; each part of 20 and more characters is tested,
 unless it lies within another.
 
-The procedure needs only counts of p-values by length class and fine bins of log p (rounded up: never more rejections), a table of
-bounded size. Texts are read twice and never shuffled.
+What is tested is the hypothesis that a run is ordinary writing. Its scores' distribution is learned from the corpus: every document
+gives PIECES pieces of its own text, from places by a hash, without runs that are tested themselves, projected to an alphabet (other
+symbols dropped, words joined) and cut to the least length of a length class; each goes through the same battery. A run's p-value is the share of ordinary pieces of its encoding and
+length class that score as high or higher. Benjamini and Hochberg's procedure, per length class as the battery gains power with
+length, reports the runs that aren't ordinary as spans of the kind `random`, so that at most the share Q of these is expected to be
+ordinary after all; they never overlap a base span. Where a class has under 1 / Q ordinary pieces nothing can be told from them, and nothing is reported.
 
-Defined results: null text is empty; an empty text has no spans; texts of any length are scanned whole; repeated rows get equal
-answers; an empty table gives no rows; extra columns are ignored by scan() and kept by redact().
+The procedure needs only counts by length class, encoding and fine bins of log score, a table of
+bounded size. Texts are read once and never shuffled.
+
+Defined results: null text is empty; an empty text has no spans; texts of any length are scanned whole, in time linear in their spans; repeated rows get equal
+base spans and equal scores; an empty table gives no rows; extra columns are ignored by scan() and kept by redact().
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gaugeworks.functions.offsets import cut, let, matches, running
+from gaugeworks.llm.common import stored
+
 # Fixed values. Runs under the least length are dropped; where dropping can't change later matches the least length stands in the pattern.
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -45,30 +51,35 @@ BASE64 = BASE62 + "+/"
 BASE64_URL = BASE62 + "-_"
 Q = 0.05
 BINS_PER_DECADE, LAST_BIN = 50, 600
-
-SPANS = "array<struct<kind:int,s:int,e:int,m:string>>"
-
-
-def located(text: Column, pattern: str, kind: int) -> Column:
-    """All leftmost non-overlapping matches with their places: lengths of what lies between and of the matches, summed up."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    steps = F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, g: F.struct(F.length(g).alias("gap"), m.alias("m")))
-
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + x["gap"]
-        e = s + F.length(x["m"])
-        one = F.struct(F.lit(kind).alias("kind"), s.alias("s"), e.alias("e"), x["m"].alias("m"))
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
-    return F.when(text.rlike(pattern), F.aggregate(steps, start, step, lambda acc: acc["out"])).otherwise(F.array().cast(SPANS))
+LEAST_RUN = 20
+#: Length classes: the floor of 2 log2 of the length, within these bounds.
+FIRST_CLASS, LAST_CLASS = 8, 14
+#: Families of alphabets that share ordinary pieces: the projection of a text, and how much of a text a piece needs for each symbol.
+FAMILIES = (
+    (HEX, lambda t: F.regexp_replace(F.lower(t), "[^0-9a-f]", ""), 7),
+    (BASE32, lambda t: F.regexp_replace(F.upper(t), "[^A-Z2-7]", ""), 4),
+    (LOWER36, lambda t: F.regexp_replace(F.lower(t), "[^0-9a-z]", ""), 4),
+    (BASE62, lambda t: F.regexp_replace(F.initcap(t), "[^0-9A-Za-z]", ""), 4),
+)
+#: What is no ordinary writing in a stretch of text: its cut first and last words, and runs that are tested themselves.
+NOT_ORDINARY = "^\\S++|\\S++$|[A-Za-z0-9+/_=-]{20,}+"
+#: Pieces of each document.
+PIECES = 2
+SEED = 17
+
+SPANS = "array<struct<s:int,kind:int,e:int>>"
+
+
+def spans_of(text: Column, pattern: str, kind: int, keep=None) -> Column:  # noqa: ANN001
+    """Places of all leftmost non-overlapping matches that keep() lets stand."""
+    found = matches(text, pattern)
+    return F.transform(F.filter(found, keep) if keep else found, lambda x: F.struct(x["start"].alias("s"), F.lit(kind).alias("kind"), x["end"].alias("e")))
 
 
 def base_spans(text: Column) -> Column:
-    """Spans of the three patterns, each pattern on its own."""
-    assign = F.filter(located(text, ASSIGN, 0), lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= LEAST_VALUE)
-    return F.concat(assign, located(text, PATTERNS["access"], 1), located(text, PATTERNS["hex"], 2))
+    """Spans of the three patterns, each pattern on its own, by start, then kind."""
+    assign = spans_of(text, ASSIGN, 0, lambda x: F.length(F.regexp_extract(x["match"], ASSIGN, 2)) >= LEAST_VALUE)
+    return F.array_sort(F.concat(assign, spans_of(text, PATTERNS["access"], 1), spans_of(text, PATTERNS["hex"], 2)).cast(SPANS))
 
 
 def upper_tail(z: Column) -> Column:
@@ -95,9 +106,12 @@ def alphabet_of(token: Column) -> Column:
     )
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body of a value that is computed once, also where inner functions use it for each element."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+def family_of(alphabet: Column) -> Column:
+    return F.when(F.upper(alphabet) == HEX.upper(), 0).when(alphabet == BASE32, 1).when(F.upper(alphabet) == UPPER36, 2).otherwise(3)
+
+
+def class_of(n: Column) -> Column:
+    return F.greatest(F.lit(FIRST_CLASS), F.least(F.lit(LAST_CLASS), F.floor(2 * F.log2(n.cast("double"))).cast("int")))
 
 
 def randomness(x: Column) -> Column:
@@ -141,46 +155,105 @@ def randomness(x: Column) -> Column:
     return let(sums, joined)
 
 
+def scored(token: Column, alphabet: Column) -> Column:
+    """Bin of a token's score: 0 for what uniform random symbols explain best. Null without an alphabet."""
+    known = F.struct(token.alias("token"), alphabet.alias("alphabet"), F.length(token).cast("double").alias("n"), F.length(alphabet).cast("double").alias("a"))
+    p = let(known, lambda k: F.when(k["a"].isNotNull() & (k["n"] >= LEAST_RUN), randomness(k)))
+    return let(p, lambda v: F.when(v.isNotNull(), F.least(F.lit(LAST_BIN), F.floor(-F.log10(F.greatest(v, F.lit(1e-13))) * BINS_PER_DECADE)).cast("int")))
+
+
 def candidates(text: Column) -> Column:
-    """Runs to test, with bin of their p-value and length class."""
+    """Runs to test: start, end, length class, family, bin of the score, and the run."""
 
     def tested(x: Column) -> Column:
-        token = F.regexp_replace(x["m"], "=+$", "")
-        known = F.struct(token.alias("token"), alphabet_of(token).alias("alphabet"), F.length(token).cast("double").alias("n"), F.length(alphabet_of(token)).cast("double").alias("a"))
-        p = let(known, lambda k: F.when(k["a"].isNotNull() & (k["n"] >= 20) & k["token"].rlike("[0-9]"), randomness(k)))
-        place = let(p, lambda v: F.when(v.isNotNull(), F.least(F.lit(LAST_BIN), F.floor(-F.log10(F.greatest(v, F.lit(1e-13))) * BINS_PER_DECADE)).cast("int")))
-        cls = F.floor(2 * F.log2(F.length(x["m"]).cast("double"))).cast("int")
-        return F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), cls.alias("cls"), place.alias("bin"))
+        def of(token: Column) -> Column:
+            return let(
+                F.when(token.rlike("[0-9]"), alphabet_of(token)),
+                lambda a: F.struct(x["start"].alias("s"), x["end"].alias("e"), class_of(F.length(token)).alias("cls"), family_of(a).alias("fam"), scored(token, a).alias("bin"), x["match"].alias("m")),
+            )
 
-    def parts(x: Column) -> Column:
-        cut = F.array_distinct(F.concat(*[located(x["m"], pattern, 3) for pattern in PARTS]))
-        cut = let(cut, lambda every: F.filter(every, lambda y: ~F.exists(every, lambda z: (z["s"] <= y["s"]) & (y["e"] <= z["e"]) & (z["e"] - z["s"] > y["e"] - y["s"]))))
-        moved = F.transform(cut, lambda y: F.struct(y["kind"].alias("kind"), (x["s"] + y["s"]).alias("s"), (x["s"] + y["e"]).alias("e"), y["m"].alias("m")))
-        return F.when(x["m"].rlike(MIXED), moved).otherwise(F.array(x))
+        return let(F.regexp_replace(x["match"], "=+$", ""), of)
 
-    runs = F.flatten(F.transform(F.filter(located(text, RUN, 3), lambda x: x["m"].rlike("[0-9]")), parts))
+    def parts(x: Column) -> Column:
+        """Of parts at one start the longest comes first; what ends no later than one before it lies within that."""
+        both = F.array_distinct(F.concat(*[matches(x["match"], pattern) for pattern in PARTS]))
+        ordered = F.array_sort(F.transform(both, lambda y: F.struct(y["start"].alias("start"), (-y["end"]).alias("back"), y["match"].alias("match"))))
+        place = lambda end, y: F.struct((x["start"] + y["start"]).alias("start"), (x["start"] - y["back"]).alias("end"), F.when(-y["back"] > end, y["match"]).alias("match"))
+        outer = running(ordered, F.lit(0), lambda end, y: F.greatest(end, -y["back"]), place, "array<struct<start:int,end:int,match:string>>")
+        return F.when(x["match"].rlike(MIXED), F.filter(outer, lambda y: y["match"].isNotNull())).otherwise(F.array(x))
+
+    runs = F.flatten(F.transform(F.filter(matches(text, RUN), lambda x: x["match"].rlike("[0-9]")), parts))
     return F.filter(F.transform(runs, tested), lambda x: x["bin"].isNotNull())
 
 
-def rejected_from(docs: DataFrame, q: float = Q) -> dict[int, int]:
-    """By length class, the first bin whose runs are rejected as not random. Needs the counts by class and bin only."""
-    tests = docs.select(F.explode(candidates(F.coalesce(F.col("text").cast("string"), F.lit("")))).alias("x")).groupBy("x.cls", "x.bin").count()
+def placed(tests: Column) -> Column:
+    """Tests without their runs, as they are stored."""
+    return F.transform(tests, lambda x: F.struct(*[x[c].alias(c) for c in ("s", "e", "cls", "fam", "bin")]))
+
+
+def apart(tests: Column, base: Column) -> Column:
+    """The tests that overlap no base span: at each test's end, the greatest end of the base spans that begin before it."""
+    t = F.transform(tests, lambda x: F.struct(x["e"].alias("at"), F.lit(0).alias("base"), x["s"].alias("s"), x["e"].alias("e"), x["cls"].alias("cls"), x["fam"].alias("fam"), x["bin"].alias("bin")))
+    b = F.transform(base, lambda x: F.struct(x["s"].alias("at"), F.lit(1).alias("base"), x["s"].alias("s"), x["e"].alias("e"), F.lit(0).alias("cls"), F.lit(0).alias("fam"), F.lit(0).alias("bin")))
+    kind = "array<struct<free:boolean,x:struct<at:int,base:int,s:int,e:int,cls:int,fam:int,bin:int>>>"
+    seen = running(F.array_sort(F.concat(t, b)), F.lit(-1), lambda end, x: F.when(x["base"] == 1, F.greatest(end, x["e"])).otherwise(end), lambda end, x: F.struct(((x["base"] == 0) & (end <= x["s"])).alias("free"), x.alias("x")), kind)
+    return F.when((F.size(tests) > 0) & (F.size(base) > 0), F.transform(F.filter(seen, lambda y: y["free"]), lambda y: F.struct(*[y["x"][c].alias(c) for c in ("s", "e", "cls", "fam", "bin")]))).otherwise(tests)
+
+
+def ordinary(text: Column, row: Column) -> Column:
+    """Pieces of ordinary writing: length class, family and bin of the score. row: a hash that picks places, families and classes."""
+    classes = LAST_CLASS - FIRST_CLASS + 1
+
+    def piece(k: Column) -> Column:
+        h = F.xxhash64(row, k, F.lit(SEED))
+        # The families of one document's pieces are neighbours in a ring, so all are met alike.
+        fam = F.pmod(row + k, F.lit(len(FAMILIES))).cast("int")
+        cls = (F.pmod(h, F.lit(classes)) + FIRST_CLASS).cast("int")
+        size = F.greatest(F.lit(LEAST_RUN), F.ceil(F.pow(F.lit(2.0), cls / 2))).cast("int")
+        return let(F.struct(h.alias("h"), fam.alias("fam"), cls.alias("cls"), size.alias("size")), of)
+
+    def of(x: Column) -> Column:
+        def token(k: int) -> Column:
+            width = x["size"] * FAMILIES[k][2]
+            at = F.pmod(F.shiftright(x["h"], 8), F.greatest(F.lit(1), F.length(text) - width + 1)).cast("int")
+            words = F.regexp_replace(F.substring(text, at + 1, width), NOT_ORDINARY, " ")
+            return F.substring(FAMILIES[k][1](words), F.lit(1), x["size"])
+
+        pick = lambda f: F.when(x["fam"] == 0, f(0)).when(x["fam"] == 1, f(1)).when(x["fam"] == 2, f(2)).otherwise(f(3))
+        alphabet = pick(lambda k: F.lit(FAMILIES[k][0]))
+        return let(pick(token), lambda t: F.struct(x["cls"].alias("cls"), x["fam"].alias("fam"), F.when(F.length(t) == x["size"], scored(t, alphabet)).alias("bin")))
+
+    return F.filter(F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), piece), lambda y: y["bin"].isNotNull())
+
+
+def tested(docs: DataFrame, text: Column, row: Column) -> DataFrame:
+    """docs, stored once with the columns __gw_base, __gw_tests and __gw_null."""
+    out = docs.withColumn("__gw_base", base_spans(text)).withColumn("__gw_tests", placed(candidates(text))).withColumn("__gw_null", ordinary(text, row))
+    return stored(out, "secrets-tested")
+
+
+def limits(x: DataFrame, q: float = Q) -> dict[tuple[int, int], int]:
+    """By length class and family, the last bin whose runs are reported. Needs the counts by class, family and bin only."""
+    count = lambda c, tests, nulls: x.select(F.explode(c).alias("x")).groupBy("x.cls", "x.fam", "x.bin").agg(F.count(F.lit(1)).alias("n")).select("cls", "fam", "bin", (F.col("n") * tests).alias("tests"), (F.col("n") * nulls).alias("nulls"))
+    cells = count("__gw_tests", 1, 0).unionByName(count("__gw_null", 0, 1)).groupBy("cls", "fam", "bin").agg(F.sum("tests").alias("tests"), F.sum("nulls").alias("nulls"))
+    kind = W.partitionBy("cls", "fam")
+    p = (1 + F.sum("nulls").over(kind.orderBy("bin"))) / (1 + F.sum("nulls").over(kind))
+    cells = cells.withColumn("p", p)
     all_of = W.partitionBy("cls")
-    k = F.sum("count").over(all_of.orderBy(F.col("bin").desc()))
-    bound = F.pow(F.lit(10.0), -F.col("bin") / BINS_PER_DECADE)
-    passed = tests.select("cls", "bin", (bound <= q * k / F.sum("count").over(all_of)).alias("ok"))
-    return {r["cls"]: r["bin"] for r in passed.filter("ok").groupBy("cls").agg(F.min("bin").alias("bin")).collect()}
+    k = F.sum("tests").over(all_of.orderBy("p"))
+    passed = cells.withColumn("ok", F.col("p") <= F.try_divide(q * k, F.sum("tests").over(all_of))).withColumn("top", F.max(F.when(F.col("ok"), F.col("p"))).over(all_of))
+    return {(r["cls"], r["fam"]): r["bin"] for r in passed.filter("p <= top").groupBy("cls", "fam").agg(F.max("bin").alias("bin")).collect()}
 
 
-def with_spans(docs: DataFrame, text: Column, q: float = Q) -> DataFrame:
-    """docs with the columns __gw_base and __gw_spans, both sorted by start, then kind."""
-    first = rejected_from(docs, q)
-    limit = F.create_map(*[F.lit(v) for pair in first.items() for v in pair]) if first else F.create_map().cast("map<int,int>")
-    order = lambda x: F.array_sort(x, lambda a, b: F.when(a["s"] != b["s"], a["s"] - b["s"]).otherwise(a["kind"] - b["kind"]))
-    out = docs.withColumn("__gw_base", order(base_spans(text))).withColumn("__gw_tests", candidates(text))
-    added = F.filter("__gw_tests", lambda x: (x["bin"] < F.coalesce(F.element_at(limit, x["cls"]) if first else F.lit(None), F.lit(LAST_BIN + 1))) & ~F.exists("__gw_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    added = F.transform(added, lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m")))
-    return out.withColumn("__gw_spans", order(F.concat("__gw_base", added))).drop("__gw_tests")
+def with_spans(x: DataFrame, q: float = Q) -> DataFrame:
+    """What tested() gave, with the column __gw_spans: base spans and reported runs by start, then kind."""
+    found = limits(x, q)
+    reported = F.lit(False)
+    limit = F.create_map(*[F.lit(v) for (cls, fam), b in found.items() for v in (4 * cls + fam, b)]) if found else None
+    free = apart(F.col("__gw_tests"), F.col("__gw_base"))
+    added = F.filter(free, lambda y: (y["bin"] <= F.coalesce(F.element_at(limit, 4 * y["cls"] + y["fam"]), F.lit(-1))) if limit is not None else reported)
+    added = F.transform(added, lambda y: F.struct(y["s"].alias("s"), F.lit(KINDS.index("random")).alias("kind"), y["e"].alias("e")))
+    return x.withColumn("__gw_spans", F.array_sort(F.concat("__gw_base", added))).drop("__gw_tests", "__gw_null")
 
 
 def told(spans: str) -> Column:
@@ -191,8 +264,10 @@ def told(spans: str) -> Column:
 
 def scan(docs: DataFrame, q: float = Q) -> DataFrame:
     """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    x = with_spans(docs.select("doc_id", text.alias("text")), F.col("text"), q)
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    # Only the places are stored, not the texts.
+    x = rows.select("doc_id", base_spans(F.col("text")).alias("__gw_base"), placed(candidates(F.col("text"))).alias("__gw_tests"), ordinary(F.col("text"), F.xxhash64("doc_id", "text")).alias("__gw_null"))
+    x = with_spans(stored(x, "secrets-tested"), q)
     number = lambda spans, kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
     return x.select(
         "doc_id",
@@ -207,14 +282,12 @@ def scan(docs: DataFrame, q: float = Q) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", q: float = Q) -> DataFrame:
     """docs with each stretch of overlapping spans replaced by a mark, and n_chars, if there, counted anew. Texts without spans, nulls included, stay."""
-    x = with_spans(docs, F.coalesce(F.col("text").cast("string"), F.lit("")), q)
-
-    def step(acc: Column, s: Column) -> Column:
-        said = F.when(s["s"] >= acc["at"], F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["s"] - acc["at"]), F.lit(mark))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["e"]).alias("at"), said.alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("__gw_spans", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    x = with_spans(tested(docs, text, F.xxhash64(text)), q)
+    between = running(F.col("__gw_spans"), F.lit(0), lambda end, s: F.greatest(end, s["e"]), lambda end, s: F.struct(F.when(s["s"] >= end, end).alias("start"), s["s"].alias("end")), "array<struct<start:int,end:int>>")
+    pieces = cut(text, F.filter(between, lambda y: y["start"].isNotNull()))
+    last = F.array_max(F.transform("__gw_spans", lambda s: s["e"]))
+    clean = F.concat(F.array_join(pieces, mark), F.lit(mark), F.substring(text, last + 1, F.length(text)))
     hit = F.size("__gw_spans") > 0
     x = x.withColumn("__gw_text", F.when(hit, clean).otherwise(F.col("text")))
     columns = [F.col("__gw_text").alias("text") if c == "text" else F.when(hit, F.length("__gw_text")).otherwise(F.col("n_chars")).cast(t).alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c, t in docs.dtypes]

@@ -1,5 +1,6 @@
 import array
 import hashlib
+import math
 import random
 import re
 
@@ -169,3 +170,95 @@ def test_redaction(spark):
     out = {x.doc_id: (x.text, x.n_chars) for x in secrets.redact(docs).collect()}
     assert out[2] == (None, 0) and out[3] == ("plain", 5)
     assert out[1][0] == 'a [SECRET]" b' and out[1][1] == len(out[1][0])
+
+
+def plain_bin(token, alphabet):
+    """The battery by the book: three tests with the normal law, Fisher's method."""
+    n, a = len(token), len(alphabet)
+    tail = lambda z: max(0.5 * math.erfc(z / math.sqrt(2)), 1e-14)
+    chi = a / n * sum(token.count(c) ** 2 for c in alphabet) - n
+    uniform = tail((chi - (a - 1)) / math.sqrt(2 * (a - 1) * (n - 1) / n))
+    v = [alphabet.index(c) for c in token]
+    high = [x >= a / 2 for x in v]
+    both = 2 * sum(high) * (n - sum(high))
+    spread = both * (both - n) / (n * n * (n - 1))
+    turns = sum(x != y for x, y in zip(high, high[1:], strict=False))
+    runs = min(1.0, 2 * tail(abs(turns - both / n) / math.sqrt(spread))) if spread > 0 else 1e-14
+    mean = sum(v) / n
+    around = sum((x - mean) ** 2 for x in v)
+    beside = sum((x - mean) * (y - mean) for x, y in zip(v, v[1:], strict=False))
+    serial = min(1.0, 2 * tail(abs(beside / around + 1 / n) * math.sqrt(n))) if around > 1e-9 else 1e-14
+    half = -(math.log(uniform) + math.log(runs) + math.log(serial))
+    p = math.exp(-half) * (1 + half + half * half / 2)
+    return min(secrets.LAST_BIN, math.floor(-math.log10(max(p, 1e-13)) * secrets.BINS_PER_DECADE))
+
+
+def test_battery_equals_a_plain_computation(spark):
+    r = random.Random(14)
+    sets = [secrets.HEX, secrets.BASE32, secrets.LOWER36, secrets.UPPER36, secrets.BASE62, secrets.BASE64, secrets.BASE64_URL]
+    words = ["".join(r.choices(s, k=r.randint(24, 90))) + s[-1] + "7" for s in sets for _ in range(12)] + ["the7quick7brown7fox7jumps7over", "aaaaaaaaaaaaaaaaaaaaaaaaaaa1"]
+    got = p_bins(spark, words)
+    for w, b in zip(words, got, strict=True):
+        of = next(s for s in sets if set(w) <= set(s))
+        assert abs(plain_bin(w, of) - b) <= 1, (w, b)
+
+
+def test_limits_equal_a_plain_procedure(spark):
+    r = random.Random(15)
+    cell = lambda low, high: (r.randint(8, 10), r.randint(0, 3), r.randint(low, high))
+    rows = [([(0, 1, *cell(0, 60 if i % 3 else 500))], [cell(100, 600), cell(40, 600)]) for i in range(700)]
+    kind = "struct<cls:int,fam:int,bin:int>"
+    x = spark.createDataFrame(rows, f"__gw_tests array<struct<s:int,e:int,cls:int,fam:int,bin:int>>, __gw_null array<{kind}>")
+    tests, nulls = [t[2:] for a, _ in rows for t in a], [n for _, b in rows for n in b]
+    p = lambda c, f, b: (1 + sum(n[:2] == (c, f) and n[2] <= b for n in nulls)) / (1 + sum(n[:2] == (c, f) for n in nulls))
+    want = set()
+    for cls in (8, 9, 10):
+        own = sorted((p(*t), t) for t in tests if t[0] == cls)
+        top = max((q for k, (q, _) in enumerate(own, 1) if q <= secrets.Q * k / len(own)), default=-1)
+        want |= {t for q, t in own if q <= top}
+    found = secrets.limits(x)
+    assert want and {t for t in tests if t[2] <= found.get(t[:2], -1)} == want
+
+
+def test_reported_runs_are_secrets(spark):
+    """Random keys are found, identifiers made of words and numbers are left: precision and recall with the whole query."""
+    r = random.Random(16)
+    said = EN + DE + "user profile order report final version window customer release account number service handler manager".split()
+    rows, planted, named = [], set(), 0
+    for i in range(3000):
+        words = r.choices(said, k=60)
+        if i % 10 == 0:
+            key = "".join(r.choices(r.choice([secrets.BASE62, secrets.LOWER36, secrets.BASE64]), k=r.randint(32, 48)))
+            if any(c.isdigit() for c in key) and not set("+/") & {key[0], key[-1]}:
+                planted.add(i)
+                words.insert(30, key)
+        elif i % 10 < 4:
+            named += 1
+            words.insert(30, r.choice([lambda w: "".join(x.title() for x in w), lambda w: "_".join(w), lambda w: "-".join(w)])(r.choices(said, k=4)) + str(r.randint(1, 2030)))
+        rows.append((i, " ".join(words)))
+    out = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    found = {x.doc_id for x in out if x.n_random}
+    assert named > 800 and len(found & planted) >= 0.9 * len(planted)
+    assert len(found - planted) <= 0.08 * len(found)
+
+
+def test_very_many_spans_take_linear_time(spark):
+    import time
+
+    r = random.Random(17)
+    text = " ".join("%032x" % r.getrandbits(128) for _ in range(16000)) + " tail"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.perf_counter()
+    (got,) = secrets.scan(docs).collect()
+    assert got.n_hex == 16000 and got.spans == ",".join(f"hex:{33 * k}:{33 * k + 32}" for k in range(16000))
+    (clean,) = secrets.redact(docs).collect()
+    assert clean.text == " ".join(["[SECRET]"] * 16000) + " tail"
+    assert time.perf_counter() - began < 60
+
+
+def test_redaction_of_no_rows_and_odd_rows(odd_docs, no_docs):
+    assert secrets.redact(no_docs).count() == 0
+    out = secrets.redact(odd_docs)
+    assert out.columns == odd_docs.columns
+    key = lambda rows: sorted(map(str, rows))
+    assert key(out.collect()) == key(odd_docs.collect())
