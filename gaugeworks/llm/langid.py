@@ -34,6 +34,8 @@ LETTERS = 1 << 21
 #: Classes below this one are a-z and Latin-1: their n-grams' vectors are kept.
 COMMON = 64
 AT_ONCE = 4096
+#: Columns of kept n-gram vectors (128 MB); beyond it they are made anew.
+MOST_COLUMNS = 1 << 15
 PER_LANGUAGE = 2000
 
 
@@ -71,7 +73,7 @@ class LetterVectors:
 
 
 class Profiler:
-    """Turns texts into n-gram counts and these into vectors. N-grams of common letters have columns, numbered as they turn up, at most COMMON ** N; those of other letters are made for each batch."""
+    """Turns texts into n-gram counts and these into vectors. N-grams of common letters have columns, numbered as they turn up, MOST_COLUMNS at most; when these are full all are dropped. N-grams of other letters are made for each batch."""
 
     def __init__(self) -> None:
         self.classes = letter_classes()
@@ -109,13 +111,17 @@ class Profiler:
             letter = every >> (N - 1 - k) * (LETTERS.bit_length() - 1) & (LETTERS - 1)
             common &= letter < COMMON
             place = place * COMMON + (letter & (COMMON - 1))
-        place = place[common]
-        new = np.unique(place[self.column[place] < 0])
+        new = np.unique(place[common & (self.column[place] < 0)])
+        if len(self.matrix) + len(new) > MOST_COLUMNS:
+            self.column[:] = -1
+            self.matrix = self.matrix[:0]
+            new = np.unique(place[common])[:MOST_COLUMNS]
         if len(new):
             self.column[new] = len(self.matrix) + np.arange(len(new))
             ids = sum((new // COMMON**k % COMMON) * LETTERS**k for k in range(N))
             self.matrix = np.concatenate([self.matrix, self.vectors(ids)])
-        out = self.summed(len(texts), row[common], self.column[place], self.matrix)
+        common &= self.column[place] >= 0
+        out = self.summed(len(texts), row[common], self.column[place[common]], self.matrix)
         if not common.all():
             other, at = np.unique(every[~common], return_inverse=True)
             for k in range(0, len(other), AT_ONCE):
