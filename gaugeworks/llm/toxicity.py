@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,7 +34,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import held_out, small_batches, stored
+from gaugeworks.llm.common import held_out, kept, small_batches, stored
 
 MOST_TOXIC, MOST_CLEAN = 3000, 6000
 LEAST_TERM, LONGEST_STEM, TERMS = 4, 8, 500
@@ -51,6 +52,24 @@ CLASSES = ("other", "lower", "upper", "digit", "blank", "mark")
 NAMES = ("hits", "log_hits", "density", "weighted", "heaviest", "distinct", "near_you", "you_rate", "upper_rate", "digit_rate", "mark_rate", "odd_rate", "odd_hits", "log_words")
 
 
+def letter_kinds() -> np.ndarray:
+    """Class of each code point of all planes: letters without case count as lower, marks that belong to letters as other."""
+    kinds = np.full(0x110000, CLASSES.index("mark"), dtype=np.uint8)
+    for k in range(len(kinds)):
+        c = chr(k)
+        if c.isupper() or c.istitle():
+            kinds[k] = CLASSES.index("upper")
+        elif c.isalpha():
+            kinds[k] = CLASSES.index("lower")
+        elif c.isnumeric():
+            kinds[k] = CLASSES.index("digit")
+        elif c.isspace():
+            kinds[k] = CLASSES.index("blank")
+        elif unicodedata.category(c)[0] in "MC":
+            kinds[k] = CLASSES.index("other")
+    return kinds
+
+
 class Features:
     """Dense features of texts for one lexicon {term: weight}; a term ending in * is a word beginning."""
 
@@ -65,11 +84,7 @@ class Features:
         self.lexicon.make_automaton()
         self.you = re.compile(r"\b(?:" + "|".join(YOU) + r")\b")
         self.odd = re.compile(r"[^\W\d_][0134579@$!*]+[^\W\d_]")
-        kinds = np.full(256, CLASSES.index("lower"), dtype=np.uint8)
-        for b in range(256):
-            c = chr(b)
-            kinds[b] = CLASSES.index("upper" if c.isupper() else "lower" if c.isalpha() else "digit" if c.isdigit() else "blank" if c.isspace() else "mark")
-        self.kinds = kinds
+        self.kinds = kept("toxicity kinds", letter_kinds)
 
     def hits(self, low: str) -> list[tuple[int, int, float, str]]:
         """(start, end, weight, term) of lexicon terms in lower-cased text; of those at one place the heaviest."""
@@ -92,8 +107,10 @@ class Features:
         if len(low) != len(text):
             low = "".join(c.lower()[0] for c in text)
         words = low.count(" ") + low.count("\n") + 1
-        raw = np.frombuffer(text.encode("latin-1", "replace"), dtype=np.uint8)
-        kinds = np.bincount(self.kinds[raw], minlength=len(CLASSES)) / max(1, len(raw))
+        if text.isascii():
+            kinds = np.bincount(self.kinds[np.frombuffer(text.encode(), dtype=np.uint8)], minlength=len(CLASSES)) / max(1, len(text))
+        else:
+            kinds = np.bincount(self.kinds[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")], minlength=len(CLASSES)) / len(text)
         hits = self.hits(low)
         you = self.you.findall(low)
         near = sum(1 for s, e, _, _ in hits if self.you.search(low[max(0, s - NEAR) : e + NEAR])) if you and hits else 0

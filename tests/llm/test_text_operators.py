@@ -81,6 +81,80 @@ def test_letters_of_all_scripts_differ(spark):
     assert len(out) == 240 and all(x.lang_pred == x.lang for x in out)
 
 
+def plain_languages(rows):
+    """The whole operator in plain Python: (lang, score) of each row."""
+    import unicodedata
+    import zlib
+
+    import numpy as np
+
+    vectors, p = langid.LetterVectors(), langid.letter_classes()
+    assert all(bool(p[ord(c)]) == c.isalpha() for c in "aé𐐀я1 -日" + unicodedata.lookup("ARABIC LETTER ALEF"))
+
+    def bundle(text):
+        kinds, out = [0], []
+        for c in text or "":
+            k = int(p[ord(c)])
+            if k or kinds[-1]:
+                kinds.append(k)
+        if kinds[-1]:
+            kinds.append(0)
+        for a, b, c in zip(kinds, kinds[1:], kinds[2:], strict=False):
+            out.append(np.roll(vectors[a], 0) * np.roll(vectors[b], 1) * np.roll(vectors[c], 2))
+        return sum(out) / len(out) if out else None
+
+    known = {}
+    for i, text, lang in rows:
+        if zlib.crc32(str(i).encode()) % 4 != 2 and lang is not None and (v := bundle(text)) is not None:
+            known.setdefault(lang, []).append((text, v))
+    grams = lambda t: max(1, sum(1 for _ in langid.Profiler.grams_of(PLAIN, t)))
+    protos = {lang: sum(v * grams(t) for t, v in own) / sum(grams(t) for t, _ in own) for lang, own in sorted(known.items())}
+    centre = sum(protos.values()) / len(protos)
+    out = []
+    for _, text, _ in rows:
+        v = bundle(text)
+        cos = {lang: float((v - centre) @ (q - centre) / np.linalg.norm(v - centre) / np.linalg.norm(q - centre)) for lang, q in protos.items()} if v is not None else {"und": 0.0}
+        best = max(cos, key=cos.get)
+        out.append((best, min(1.0, max(0.0, cos[best]))))
+    return out
+
+
+PLAIN = langid.Profiler()
+
+
+def test_whole_language_query_against_brute_force(spark):
+    r = random.Random(18)
+    said = {
+        "ru": "мы пошли в лес и увидели большую реку где жили старые рыбаки это было очень давно",
+        "uk": "ми пішли до лісу і побачили велику річку де жили старі рибалки це було дуже давно її",
+        "pl": "poszliśmy do lasu i zobaczyliśmy dużą rzekę gdzie żyli starzy rybacy było to bardzo dawno",
+        "cs": "šli jsme do lesa a uviděli velkou řeku kde žili staří rybáři bylo to velmi dávno",
+        "dsrt": "𐐀𐐁𐐂 𐐃𐐄𐐅 𐐆𐐇𐐈 𐐉𐐊𐐋 𐐌𐐍𐐎",
+    }
+    rows = [(i, " ".join(r.choices(said[lang].split(), k=18)), lang) for i, lang in enumerate(list(said) * 24)]
+    rows += [(900, None, "ru"), (901, "", "uk"), (902, "12 !!", "pl"), (903, "река", None), (904, "𐐀𐐁", None), (904, "𐐀𐐁", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted((x.doc_id, x.lang_pred, round(x.score, 4)) for x in langid.identify(docs).collect())
+    want = sorted((i, lang, round(score, 4)) for (i, _, _), (lang, score) in zip(rows, plain_languages(rows), strict=True))
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert all(abs(g[2] - w[2]) < 2e-3 for g, w in zip(got, want, strict=True))
+    right = {i: lang for i, _, lang in rows[:120]}
+    assert sum(right[g[0]] == g[1] for g in got if g[0] < 120) >= 118
+    assert [g[1] for g in got if g[0] == 904] == ["dsrt", "dsrt"]
+
+
+def test_language_columns_are_bounded(monkeypatch):
+    import numpy as np
+
+    whole, small = langid.Profiler(), langid.Profiler()
+    texts = [" ".join(random.Random(k).choices(EN + DE, k=30)) + " яблоко" for k in range(6)]
+    monkeypatch.setattr(langid, "MOST_COLUMNS", 40)
+    bounded = [small.bundle([small.grams_of(t)])[0] for t in texts]
+    assert len(small.matrix) <= 40
+    monkeypatch.setattr(langid, "MOST_COLUMNS", 1 << 15)
+    assert np.allclose(np.array(bounded), whole.bundle([whole.grams_of(t) for t in texts]))
+
+
 def test_toxicity_holds_out_of_sample(spark, odd_docs):
     r = random.Random(6)
     rows, marks = [], []
@@ -102,6 +176,17 @@ def test_toxicity_holds_out_of_sample(spark, odd_docs):
     assert kept.columns == docs.columns and 400 <= kept.count() <= 500
     odd = toxicity.score(odd_docs, labels.filter("false")).collect()
     assert len(odd) == 11 and all(x.score == 0 and x.predicted == 0 for x in odd)
+    # Odd rows through trees that have learned: null, empty, blank and very long texts, repeated rows, other scripts.
+    more = [(5000, None), (5001, ""), (5002, " \n"), (5003, "house " * 60000), (5004, "idiot " * 30000), (5004, "idiot " * 30000), (5005, "日本語のテキスト、とても長い。"), (None, "you idiot")]
+    both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string")).selectExpr("*", "1 AS score", "'x' AS features", "2 AS held_out")
+    odd = {}
+    for x in toxicity.score(both, labels).filter("doc_id >= 5000 OR doc_id IS NULL").collect():
+        assert 0 <= x.score <= 1 and x.predicted == int(x.score >= 0.3)
+        odd.setdefault(x.doc_id, []).append(x)
+    assert {k: len(v) for k, v in odd.items()} == {5000: 1, 5001: 1, 5002: 1, 5003: 1, 5004: 2, 5005: 1, None: 1}
+    assert odd[5000][0].score == odd[5001][0].score and odd[5004][0].score == odd[5004][1].score
+    assert odd[5003][0].predicted == 0 and odd[5005][0].predicted == 0 and odd[5004][0].predicted == 1
+    assert toxicity.score(docs.filter("false"), labels).count() == 0
 
 
 def test_toxic_features():
@@ -111,6 +196,8 @@ def test_toxic_features():
     assert dict(zip(toxicity.NAMES, f.row("an 1d1ot"), strict=True))["odd_rate"] > 0
     assert dict(zip(toxicity.NAMES, f.row("an id1ot"), strict=True))["odd_hits"] == 1
     assert f.row(None) == f.row("")
+    rates = lambda t: [round(dict(zip(toxicity.NAMES, f.row(t), strict=True))[k], 3) for k in ("upper_rate", "digit_rate", "mark_rate")]
+    assert rates("ПРИВЕТ мир") == [0.6, 0.0, 0.0] and rates("日本語。") == [0.0, 0.0, 0.25] and rates("ΑΒγδ 1٢") == [round(2 / 7, 3), round(2 / 7, 3), 0.0]
 
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
