@@ -6,9 +6,9 @@
    are allotted by dynamic programming on candidate counts estimated from bit statistics of all fingerprints.
    Two fingerprints within the radius agree within t_p in one partition at least, so nothing is lost.
 4. Probe: each fingerprint meets those whose key in partition p lies within t_p of its own; verify by bit count.
-5. A key that very many fingerprints share is not paired. All that own or probe such a key emit the points within
-   distance 1 of themselves: any two within distance 2 share such a point, and all that share one are within
-   distance 2. A point has 65 owners at most, so this way is exact and linear.
+5. A key that more than KEY_OWNERS fingerprints own is split by the same principle: the bits outside it are cut into radius + 1 groups, and
+   two fingerprints within the radius agree on one group at least, so the key grows by each group in turn. Each split leaves a key fewer free
+   bits; below log2(KEY_OWNERS) of them no key can have more owners, so the splitting ends after a few levels.
 6. Components of the links by alternating star steps, checkpointed.
 
 Defined results: a null or blank text has fingerprint zero and links like any other; a text of one or two words is
@@ -18,7 +18,9 @@ component; an empty table gives no rows; extra columns are ignored by components
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from gaugeworks.llm.common import shared_folder, small_batches, stored
 
 BITS, SEED = 64, 42
-HOT_KEY = 64
+KEY_OWNERS = 64
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -91,14 +93,33 @@ def correlated_groups(n: int, both: np.ndarray, parts: int) -> list[list[int]]:
 
 
 def within(n: int, both: np.ndarray, group: list[int], t: int) -> float:
-    """Estimated pairs that agree within t bits of the group: differing bits as independent trials at each bit's own rate."""
+    """Estimated pairs that agree within t bits of the group, from the mean and the variance of the number of differing bits. Both know each bit's rate and how bits go together; a beta-binomial law has them."""
     if t < 0:
         return 0.0
-    p = np.diag(both)[group] / max(n, 1)
-    pmf = np.array([1.0])
-    for d in 2 * p * (1 - p):
-        pmf = np.convolve(pmf, [1 - d, d])
-    return n * (n - 1) / 2 * pmf[: t + 1].sum()
+    w, m = len(group), max(n, 1)
+    p11 = both[np.ix_(group, group)] / m
+    p = np.diag(p11)
+    p10 = p[:, None] - p11
+    p00 = 1 - p[:, None] - p[None, :] + p11
+    # Two fingerprints drawn apart differ in bits i and j at once with 2 (p11 p00 + p10 p01).
+    differ = 2 * p * (1 - p)
+    joint = 2 * (p11 * p00 + p10 * p10.T)
+    np.fill_diagonal(joint, differ)
+    mean = differ.sum()
+    if mean < 1e-9:
+        return n * (n - 1) / 2
+    q = min(mean / w, 1 - 1e-9)
+    rho = ((joint.sum() - mean * mean) / (w * q * (1 - q)) - 1) / max(w - 1, 1)
+    if rho < 1e-6:
+        pmf = np.array([1.0])
+        for d in differ:
+            pmf = np.convolve(pmf, [1 - d, d])
+        return n * (n - 1) / 2 * pmf[: t + 1].sum()
+    rho = min(rho, 0.999)
+    a, b = q * (1 / rho - 1), (1 - q) * (1 / rho - 1)
+    beta = lambda x, y: math.lgamma(x) + math.lgamma(y) - math.lgamma(x + y)
+    pmf = [math.exp(math.lgamma(w + 1) - math.lgamma(k + 1) - math.lgamma(w - k + 1) + beta(k + a, w - k + b) - beta(a, b)) for k in range(min(t, w) + 1)]
+    return n * (n - 1) / 2 * min(1.0, sum(pmf))
 
 
 def probes(width: int, t: int) -> int:
@@ -148,10 +169,23 @@ def _flips(bits: list[int], t: int) -> list[int]:
     return sorted(_signed(m) for m in masks)
 
 
+def splits(parts: list[list[int]], radius: int) -> list[tuple[int, int, list[int]]]:
+    """(level, path, masks of the groups) for each key to split: paths 0.. are the partitions; a path's children are its number times (radius + 1) and on, in the next level. Depends on the partitions alone, not on the data."""
+    out, now = [], {k: [b for b in range(BITS) if b not in bits] for k, bits in enumerate(parts)}
+    level = 0
+    while now:
+        nexts = {}
+        for path, free in now.items():
+            if 1 << len(free) > KEY_OWNERS:
+                groups = [free[g :: radius + 1] for g in range(radius + 1)]
+                out.append((level, path, [_mask(g) for g in groups]))
+                nexts |= {path * (radius + 1) + g: [b for b in free if b not in own] for g, own in enumerate(groups)}
+        now, level = nexts, level + 1
+    return out
+
+
 def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
-    """Links (a, b) between distinct fingerprints within the radius, at least a spanning set of each component."""
-    if radius != 2:
-        raise ValueError("the exact way for shared keys links at a radius of 2")
+    """Links (a, b), a < b, between all distinct fingerprints within the radius."""
     n, both = bit_statistics(distinct)
     parts = plan(n, both, radius)
     owned = F.array(*[F.struct(F.lit(k).alias("part"), (F.col("fp").bitwiseAND(F.lit(_mask(bits)))).alias("key")) for k, (bits, _) in enumerate(parts)])
@@ -161,21 +195,25 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
         masks = F.array(*[F.lit(m) for m in _flips(bits, t)])
         return F.transform(masks, lambda m: F.struct(F.lit(k).alias("part"), F.col("fp").bitwiseAND(F.lit(_mask(bits))).bitwiseXOR(m).alias("key")))
 
-    ask = distinct.select("fp", F.explode(F.concat(*[probing(k, bits, t) for k, (bits, t) in enumerate(parts)])).alias("k")).select("fp", "k.part", "k.key")
-    hot = stored(own.groupBy("part", "key").count().filter(F.col("count") > HOT_KEY).select("part", "key"), "simhash-hot-keys")
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
-    calm_own = own.join(hot, ["part", "key"], "left_anti").withColumnRenamed("fp", "b")
     # With thresholds of 0 alone both sides probe the same keys: one order of each pair is enough.
-    order = F.col("a") != F.col("b") if any(t for _, t in parts) else F.col("a") < F.col("b")
-    pairs = ask.withColumnRenamed("fp", "a").join(calm_own, ["part", "key"]).filter(order & near)
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    # Whoever owns or probes a shared key: linked through the points within distance 1, each with 65 owners at most.
-    crowd = ask.join(hot, ["part", "key"], "left_semi").select("fp").distinct()
-    masks = F.array(F.lit(0), *[F.lit(_signed(1 << b)) for b in range(BITS)])
-    ball = F.explode(F.transform(masks, lambda m: F.col("fp").bitwiseXOR(m)))
-    met = crowd.select("fp", ball.alias("point")).groupBy("point").agg(F.collect_list("fp").alias("fps")).filter(F.size("fps") > 1)
-    star = met.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).filter("a != b")
-    return pairs.unionByName(star).distinct()
+    even = not any(t for _, t in parts)
+    ask = own if even else distinct.select("fp", F.explode(F.concat(*[probing(k, bits, t) for k, (bits, t) in enumerate(parts)])).alias("k")).select("fp", "k.part", "k.key")
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
+    order = F.col("a") < F.col("b") if even else F.col("a") != F.col("b")
+    found, ways = [], splits([bits for bits, _ in parts], radius)
+    for level in range(BITS):
+        shared = stored(own.groupBy("part", "key").count().filter(F.col("count") > KEY_OWNERS).select("part", "key"), "simhash-shared-keys")
+        any_shared = shared.limit(1).count() > 0
+        calm = own.join(shared, ["part", "key"], "left_anti") if any_shared else own
+        found.append(ask.withColumnRenamed("fp", "a").join(calm.withColumnRenamed("fp", "b"), ["part", "key"]).filter(order & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        if not any_shared:
+            break
+        # All paths of a level: their number depends on the partitions alone.
+        groups = distinct.sparkSession.createDataFrame([(path, path * (radius + 1) + g, m) for at, path, masks in ways if at == level for g, m in enumerate(masks)], "part int, child int, mask long")
+        longer = lambda rows: stored(rows.join(shared, ["part", "key"], "left_semi").join(F.broadcast(groups), "part").select("fp", F.col("child").alias("part"), F.col("key").bitwiseOR(F.col("fp").bitwiseAND(F.col("mask"))).alias("key")), "simhash-longer-keys")
+        own = longer(own)
+        ask = own if even else longer(ask)
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -43,10 +44,10 @@ def signed(x):
     return x - (1 << 64) if x >> 63 else x
 
 
-@pytest.mark.parametrize("hot", [64, 2])
+@pytest.mark.parametrize("hot", [64, 8])
 def test_links_match_brute_force(spark, monkeypatch, hot):
-    """Also where keys count as shared by many, so that the other exact way is taken."""
-    monkeypatch.setattr(simhash, "HOT_KEY", hot)
+    """Also where keys count as shared by many, so that they are split."""
+    monkeypatch.setattr(simhash, "KEY_OWNERS", hot)
     r = random.Random(3)
     fps = {0, (1 << 64) - 1}
     for _ in range(25):
@@ -65,6 +66,38 @@ def test_links_match_brute_force(spark, monkeypatch, hot):
     assert groups(full) == groups({signed(k): signed(v) for k, v in want.items()})
 
 
+@pytest.mark.parametrize("radius", [0, 1, 2])
+def test_other_radii_and_crowded_keys(spark, radius):
+    """Every link of a crowd of near fingerprints (each key has hundreds of owners, whatever the partition), by brute force."""
+    r = random.Random(4)
+    centre = r.getrandbits(64)
+    fps = {centre} | {centre ^ (1 << a) ^ (1 << b) for a in range(0, 64, 3) for b in range(1, 64, 4)} | {r.getrandbits(64) for _ in range(60)}
+    want = {tuple(sorted((signed(a), signed(b)))) for a in fps for b in fps if a < b and bin(a ^ b).count("1") <= radius}
+    got = [(x.a, x.b) for x in simhash.links(spark.createDataFrame([(signed(f),) for f in fps], "fp long"), radius).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_splits_end():
+    for radius in (1, 2, 3):
+        for bits in ([list(range(32)), list(range(32, 64))], [list(range(0, 64, 3)), list(range(1, 64, 3)), list(range(2, 64, 3))]):
+            ways = simhash.splits(bits, radius)
+            assert len({(at, path) for at, path, _ in ways}) == len(ways) < 20000
+            assert max(at for at, _, _ in ways) < 16
+
+
+def test_estimates_know_correlation():
+    """Pairs of bits that always agree: agreement on a group is far likelier than of independent bits."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    half = rng.integers(0, 2, (4000, 32))
+    bits = np.repeat(half, 2, axis=1).astype(float)
+    both, group = bits.T @ bits, list(range(16))
+    true = sum(1 for _ in range(20000) if (bits[rng.integers(4000)][:16] != bits[rng.integers(4000)][:16]).sum() <= 2) / 20000
+    got = simhash.within(4000, both, group, 2) / (4000 * 3999 / 2)
+    assert 0.4 * true < got < 2.5 * true and true > 5 * sum(math.comb(16, k) for k in range(3)) / 2**16
+
+
 def test_components_and_keeping_one(odd_docs, no_docs):
     out = simhash.components(odd_docs).collect()
     assert len(out) == 11
