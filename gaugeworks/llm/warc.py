@@ -2,7 +2,8 @@
 
 A bundle is a valid .warc.zst stream: frames one after the other, then a skippable frame in the layout of the
 public seekable format (per frame: stored and decoded size, u32 each; then frame count, flags, magic number).
-Each record maps to (bundle, frame offset, offset inside the frame), so one record costs one frame.
+Each record maps to (bundle, frame offset, offset inside the frame). The map is made while records are packed and stored beside the bundles, a
+column of its own; read_records() looks ids up in it, reads the bundles that hold them and decompresses one frame for each record.
 
 Records with equal payloads are written once: the smallest page_id is the response, the others are revisits with
 the profile of identical payload digests. Every payload travels only once, with its own row.
@@ -70,9 +71,11 @@ class BundleWriter:
 
     def __init__(self) -> None:
         self.pack, self.frames, self.sizes = zstandard.ZstdCompressor(level=6, write_checksum=True).compress, [], []
-        self.now, self.pending, self.size = [], 0, 0
+        self.now, self.pending, self.size, self.stored = [], 0, 0, 0
+        self.index: list[tuple[int | None, int, int]] = []
 
-    def add(self, rec: bytes) -> None:
+    def add(self, page_id: int | None, rec: bytes) -> None:
+        self.index.append((page_id, self.stored, self.pending))
         self.now.append(rec)
         self.size, self.pending = self.size + len(rec), self.pending + len(rec)
         if self.pending >= FRAME_BYTES:
@@ -83,6 +86,7 @@ class BundleWriter:
             raw = b"".join(self.now)
             self.frames.append(self.pack(raw))
             self.sizes.append((len(self.frames[-1]), len(raw)))
+            self.stored += len(self.frames[-1])
             self.now, self.pending = [], 0
 
     def done(self) -> bytes:
@@ -111,8 +115,16 @@ def read_record(bundle: bytes, frame_offset: int, record_offset: int) -> tuple[d
     return head, payload
 
 
+BUNDLES = "bundle string, records array<struct<page_id:long,frame_offset:long,record_offset:long>>, data binary"
+
+
+def page_of(urn: str | None) -> int | None:
+    name = (urn or "").removeprefix("<urn:page:").removesuffix(">")
+    return int(name) if name.lstrip("-").isdigit() else None
+
+
 def write_bundles(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Stores all pages. Returns the bundles: bundle string, data binary."""
+    """Stores all pages. Returns the bundles: bundle, records (the map of its records' ids), data."""
     small_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("sha", F.sha1("payload"))
@@ -123,28 +135,51 @@ def write_bundles(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, k, w = TaskContext.get().partitionId(), 0, BundleWriter()
         whole = lambda i: None if pd.isna(i) else int(i)
+
+        def row(k: int, w: BundleWriter) -> pd.DataFrame:
+            data = w.done()
+            return pd.DataFrame({"bundle": [f"{part:06d}-{k:04d}"], "records": [[dict(zip(("page_id", "frame_offset", "record_offset"), r, strict=True)) for r in w.index]], "data": [data]})
+
         for x in batches:
             for i, url, payload, first in zip(x["page_id"].astype("object"), x["url"], x["payload"], x["first_id"].astype("object"), strict=True):
                 payload, i, first = bytes(payload), whole(i), whole(first)
                 revisit = len(payload) >= least_bytes and i != first
-                w.add(record(i, url, payload, base64.b32encode(hashlib.sha1(payload).digest()).decode(), first if revisit else None, revisit))
+                w.add(i, record(i, url, payload, base64.b32encode(hashlib.sha1(payload).digest()).decode(), first if revisit else None, revisit))
                 if w.size >= BUNDLE_BYTES:
-                    yield pd.DataFrame({"bundle": [f"{part:06d}-{k:04d}"], "data": [w.done()]})
+                    yield row(k, w)
                     k, w = k + 1, BundleWriter()
         if w.size:
-            yield pd.DataFrame({"bundle": [f"{part:06d}-{k:04d}"], "data": [w.done()]})
+            yield row(k, w)
+
+    # The frames are compressed already.
+    return stored(rows.mapInPandas(build, BUNDLES), "warc-bundles", "uncompressed")
 
-    return stored(rows.mapInPandas(build, "bundle string, data binary"), "warc-bundles")
+
+def record_index(bundles: DataFrame) -> DataFrame:
+    """page_id, bundle, frame_offset, record_offset of every record, from the stored map: no frame is read."""
+    return bundles.select("bundle", F.explode("records").alias("r")).select("r.page_id", "bundle", "r.frame_offset", "r.record_offset")
+
+
+def read_records(bundles: DataFrame, wanted: DataFrame) -> DataFrame:
+    """page_id, record_type, refers_to and payload (empty for revisits) of the records whose page_id is in `wanted`, through the stored map."""
+    ids = wanted.select(F.col("page_id").cast("long").alias("page_id")).distinct()
+    found = record_index(bundles)
+    found = found.join(ids, found["page_id"].eqNullSafe(ids["page_id"]), "left_semi").groupBy("bundle").agg(F.array_sort(F.collect_list(F.struct("frame_offset", "record_offset"))).alias("places"))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            for data, places in zip(x["data"], x["places"], strict=True):
+                got = [read_record(bytes(data), p["frame_offset"], p["record_offset"]) for p in places]
+                out = pd.DataFrame({"page_id": [page_of(h["WARC-Record-ID"]) for h, _ in got], "record_type": [h["WARC-Type"] for h, _ in got], "refers_to": [page_of(h.get("WARC-Refers-To")) for h, _ in got], "payload": [p for _, p in got]})
+                yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
+
+    return bundles.select("bundle", "data").join(found, "bundle").mapInPandas(read, "page_id long, record_type string, refers_to long, payload binary")
 
 
 def read_bundles(bundles: DataFrame) -> DataFrame:
     """Per record, from the bundles: page_id, payload_bytes, payload_digest, record_type, refers_to, bundle, frame_offset, record_offset. A response's digest is computed anew and must match."""
     small_batches(bundles.sparkSession)
 
-    def page(urn: str | None) -> int | None:
-        name = (urn or "").removeprefix("<urn:page:").removesuffix(">")
-        return int(name) if name.lstrip("-").isdigit() else None
-
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = zstandard.ZstdDecompressor().decompress
         for x in batches:
@@ -157,9 +192,9 @@ def read_bundles(bundles: DataFrame) -> DataFrame:
                         digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
                         if head["WARC-Type"] == "response" and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
                             raise ValueError(f"payload of {head['WARC-Record-ID']} is damaged")
-                        out.append((page(head["WARC-Record-ID"]), int(http.rpartition(b"Content-Length: ")[2]), digest, head["WARC-Type"], page(head.get("WARC-Refers-To")), name, at, k))
+                        out.append((page_of(head["WARC-Record-ID"]), int(http.rpartition(b"Content-Length: ")[2]), digest, head["WARC-Type"], page_of(head.get("WARC-Refers-To")), name, at, k))
                         k = following
                 got = pd.DataFrame(out, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "bundle", "frame_offset", "record_offset"])
                 yield got.assign(page_id=got["page_id"].astype("Int64"), refers_to=got["refers_to"].astype("Int64"))
 
-    return bundles.mapInPandas(scan, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, bundle string, frame_offset long, record_offset long")
+    return bundles.select("bundle", "data").mapInPandas(scan, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, bundle string, frame_offset long, record_offset long")
