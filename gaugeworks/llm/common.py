@@ -17,9 +17,11 @@ BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir. Only where that is unset (tests on one machine) a new one is made."""
+    """The folder that the driver and all executors see: spark.checkpoint.dir. Only where that is unset and Spark runs on one machine, as in tests, a new one is made."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors see")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -33,11 +35,11 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(BATCH_ROWS, str(rows))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Writes df once to the shared folder and returns the reading of it: lineage ends there, and lost executors cost only what reads it."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     (
-        df.write.option("compression", "zstd")
+        df.write.option("compression", compression)
         .option("parquet.block.size", 16 << 20)
         .option("parquet.block.size.row.check.min", 1)
         .option("parquet.page.size.row.check.min", 1)

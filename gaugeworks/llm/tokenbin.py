@@ -8,7 +8,12 @@ File layout, little-endian:
     footer   index offset u64, table offset u64, frames u32, crc32 of index and table u32, b"GWTOKEND"
 A reader fetches the footer, the table and the index, then only the frames of the documents that it needs.
 
-Files are binary values of a table that Spark writes and reads, so any store that Spark reaches can hold them.
+Files are binary values of a table that Spark writes and reads, so any store that Spark reaches can hold them; beside each stand the ids of
+its documents, a column of its own. read_documents() finds the files of the requested ids by that column, reads these files alone and decompresses
+only the frames that hold them.
+
+Encoding is fast where the tokenizer is a plain byte-level one (no normal form, its own cutting pattern, no prefix blank); any other file of the
+tokenizers library is encoded by the library alone, with equal results.
 
 Defined results: null text encodes as empty, which is the end id alone; repeated ids keep one entry per
 row, ordered by text; null ids come first; an empty table gives no files and no rows; extra columns are ignored.
@@ -16,6 +21,7 @@ row, ordered by text; null ids come first; an empty table gives no files and no
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -24,6 +30,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import TaskContext
@@ -40,7 +48,7 @@ ROW_BYTES, FOOT_BYTES = struct.calcsize(ROW), struct.calcsize(FOOT)
 FRAME_TOKENS = 1 << 16
 FILE_TOKENS = 1 << 22
 CACHE_WORDS = 400_000
-# Fixed value: where byte-level tokenizers of this family cut.
+# Fixed value: where the library's ByteLevel pre-tokenizer cuts.
 CUTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
@@ -57,7 +65,7 @@ class Words(dict):
 
 
 class WordEncoder:
-    """Encodes whole texts with a byte-level tokenizer of the tokenizers library, remembering the ids of words.
+    """Encodes whole texts with a byte-level tokenizer of the tokenizers library, each distinct word of a batch once, remembering the ids of words.
 
     A text is cut before single blanks. The tokenizer's own cuts fall there too unless a blank stands inside a
     longer run of white space or ends such a run at the end of the text; such texts, and those that hold a
@@ -69,9 +77,17 @@ class WordEncoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        cuts, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        odd = [spec.get("normalizer"), spec.get("truncation"), spec.get("padding"), *(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))]
+        self.simple = cuts.get("type") == "ByteLevel" and cuts.get("use_regex", True) and not cuts.get("add_prefix_space") and model["type"] == "BPE" and not any(odd)
+        self.simple = self.simple and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"])
         self.library = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.whole = re.compile(r" (?<=\s )(?=\s|\Z)")
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        # White space, a blank, and white space or the end again; the first as the library's pattern has it.
+        space = "\t-\r\x1c-\x20\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+        self.whole = f"[{space}] (?:[{space}]|\\z)"
         self.plain = re.compile("[\n -~\u00a1-\u00ac\u00ae-\u024f]*")
         self.cut = regex.compile(CUTS)
         self.symbols = {b: c for b, c in enumerate(byte_symbols()) if chr(b) != c}
@@ -92,17 +108,43 @@ class WordEncoder:
     def text(self, text: str) -> bytes:
         return array("I", self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for t in texts:
-            for known in (self.pieces, self.inner, self.first):
-                if len(known) > CACHE_WORDS:
-                    known.clear()
-            if self.whole.search(t) or any(s in t for s in self.special):
-                out.append(self.text(t))
-            else:
-                first, *rest = t.split(" ")
-                out.append(self.first[first] + b"".join(map(self.inner.__getitem__, rest)))
+    def known(self, words: pa.Array, table: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the distinct words one after the other, where each begins, and the distinct word of each word."""
+        coded = words.dictionary_encode()
+        if len(table) > CACHE_WORDS:
+            table.clear()
+        ids = [table[w] for w in coded.dictionary.to_pylist()]
+        starts = np.concatenate([[0], np.cumsum([len(b) // 4 for b in ids])]).astype(np.int64)
+        return np.frombuffer(b"".join(ids), dtype="<u4"), starts, coded.indices.to_numpy(zero_copy_only=False)
+
+    def ids(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text, which must not be null, as little-endian uint32."""
+        if not len(texts):
+            return []
+        odd = pc.match_substring_regex(texts, self.whole)
+        for s in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, s))
+        odd = odd.to_numpy(zero_copy_only=False)
+        if not self.simple:
+            odd[:] = True
+        if len(self.pieces) > CACHE_WORDS:
+            self.pieces.clear()
+        out = [self.text(t.as_py()) if o else b"" for t, o in zip(texts, odd, strict=True)]
+        at = np.flatnonzero(~odd)
+        if not len(at):
+            return out
+        cut = pc.split_pattern(texts.take(pa.array(at)), " ")
+        words, begins = cut.flatten(), np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy())]).astype(np.int64)
+        ids, starts, code = self.known(words, self.inner)
+        first, first_starts, first_code = self.known(words.take(pa.array(begins[:-1])), self.first)
+        # The first words of texts have no blank before them: their ids stand behind those of the others.
+        low, size = starts[:-1][code], np.diff(starts)[code]
+        low[begins[:-1]], size[begins[:-1]] = len(ids) + first_starts[:-1][first_code], np.diff(first_starts)[first_code]
+        ends = np.cumsum(size)
+        flat = np.concatenate([ids, first])[np.repeat(low - (ends - size), size) + np.arange(ends[-1])].tobytes()
+        bounds = 4 * np.concatenate([[0], ends])[begins]
+        for k, a, b in zip(at, bounds, bounds[1:], strict=False):
+            out[k] = flat[a:b]
         return out
 
 
@@ -174,18 +216,24 @@ class FileReader:
                 yield self.ids[k], int(self.start[k]), raw[a : a + 4 * int(self.n[k])]
 
 
+FILES = "part int, file int, tokens long, doc_ids array<long>, data binary"
+
+
 def write_files(docs: DataFrame, path: str, end_id: int = 0, id_col: str = "doc_id") -> DataFrame:
-    """Encodes and stores all documents in id order. Returns the files: part int, file int, tokens long, data binary."""
+    """Encodes and stores all documents in id order. Returns the files: part, file, tokens, doc_ids (of its documents in order), data."""
     spark = docs.sparkSession
     small_batches(spark)
     end = struct.pack("<I", end_id)
 
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, file, rows, tokens = kept(f"words {path}", lambda: WordEncoder(path)), TaskContext.get().partitionId(), 0, [], 0
-        row = lambda: pd.DataFrame({"part": [part], "file": [file], "tokens": [tokens], "data": [write_file(rows)]})
+
+        def row() -> pa.RecordBatch:
+            columns = {"part": pa.array([part], pa.int32()), "file": pa.array([file], pa.int32()), "tokens": pa.array([tokens], pa.int64()), "doc_ids": pa.array([[i for i, _ in rows]], pa.list_(pa.int64())), "data": pa.array([write_file(rows)], pa.binary())}
+            return pa.RecordBatch.from_pydict(columns)
+
         for x in batches:
-            ids = [None if pd.isna(i) else int(i) for i in x["doc_id"].astype("object")]
-            for i, b in zip(ids, encoder.ids(list(x["text"])), strict=True):
+            for i, b in zip(x.column("doc_id").to_pylist(), encoder.ids(x.column("text")), strict=True):
                 rows.append((i, b + end))
                 tokens += len(b) // 4 + 1
                 if tokens >= FILE_TOKENS:
@@ -196,7 +244,24 @@ def write_files(docs: DataFrame, path: str, end_id: int = 0, id_col: str = "doc_
 
     ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ordered = ordered.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    return stored(ordered.mapInPandas(build, "part int, file int, tokens long, data binary"), "token-files")
+    # The frames are compressed already.
+    return stored(ordered.mapInArrow(build, FILES), "token-files", "uncompressed")
+
+
+def read_documents(files: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id and ids (array) of the documents whose doc_id is in `wanted`: only the files that hold one are read, and of these only its frame is decompressed. A repeated or null id gives a row for each of its documents."""
+    ids = wanted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    at = files.select("part", "file", F.posexplode("doc_ids").alias("k", "doc_id"))
+    hits = at.join(ids, at["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").groupBy("part", "file").agg(F.array_sort(F.collect_list("k")).alias("ks"))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            for data, ks in zip(x["data"], x["ks"], strict=True):
+                reader = FileReader(len(data), lambda at, n, d=data: d[at : at + n])
+                rows = [(reader.ids[k], reader.document(int(k)).astype(np.int64)) for k in ks]
+                yield pd.DataFrame({"doc_id": pd.array([i for i, _ in rows], dtype="Int64"), "ids": [b for _, b in rows]})
+
+    return files.select("part", "file", "data").join(hits, ["part", "file"]).mapInPandas(read, "doc_id long, ids array<long>")
 
 
 def read_files(files: DataFrame) -> DataFrame:
