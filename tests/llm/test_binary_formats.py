@@ -24,6 +24,44 @@ def test_token_files_equal_the_library(spark, odd_docs, no_docs):
     assert tokenbin.read_files(tokenbin.write_files(no_docs, PATH)).count() == 0
 
 
+def test_requested_documents_alone(spark, odd_docs):
+    files = tokenbin.write_files(odd_docs, PATH)
+    library = Tokenizer.from_file(PATH)
+    got = sorted((str(r.doc_id), list(r.ids)) for r in tokenbin.read_documents(files, spark.createDataFrame([(5,), (10,), (None,), (77,)], "doc_id long")).collect())
+    want = sorted((str(r.doc_id), [*library.encode(r.text or "", add_special_tokens=False).ids, 0]) for r in odd_docs.collect() if r.doc_id in (5, 10, None))
+    assert len(got) == 4 and got == want
+
+
+def test_words_equal_the_library():
+    import random
+
+    import pyarrow as pa
+
+    library, encoder, r = Tokenizer.from_file(PATH), tokenbin.WordEncoder(PATH), random.Random(2)
+    assert encoder.simple
+    parts = ["a", "the", "Word", "12", "é", "日本", "😀", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u3000", "it's", "...", "<|endoftext|>", "x" * 70, "İ", "a\u0301"]
+    texts = ["".join(r.choices(parts, k=r.randint(0, 14))) for _ in range(3000)] + [" ".join(r.choices(parts, k=12)) for _ in range(1500)] + ["", " ", "  ", "a ", " a", "a  b", "a \n", "\n a"]
+    for got, t in zip(encoder.ids(pa.array(texts)), texts, strict=True):
+        assert list(array.array("I", got)) == library.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_other_tokenizer_files_go_to_the_library(tmp_path):
+    import json
+
+    import pyarrow as pa
+
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}}):
+        path = str(tmp_path / "other.json")
+        with open(path, "w", encoding="utf-8") as f:
+            json.dump(spec | change, f)
+        library, encoder = Tokenizer.from_file(path), tokenbin.WordEncoder(path)
+        texts = ["The Cat sat", "", "a  b", "É x"]
+        assert not encoder.simple
+        assert [list(array.array("I", b)) for b in encoder.ids(pa.array(texts))] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_a_reader_fetches_one_frame_for_one_document():
     docs = [(i, array.array("I", [i] * 30000).tobytes()) for i in range(9)]
     data = tokenbin.write_file(docs)
@@ -91,3 +129,94 @@ def test_warc_round_trip(spark):
         if r.record_type == "response":
             assert len(payload) == r.payload_bytes
     assert warc.read_bundles(warc.write_bundles(pages.filter("false"))).count() == 0
+    place = lambda x: sorted((str(r.page_id), r.bundle, r.frame_offset, r.record_offset) for r in x.collect())
+    assert place(warc.record_index(bundles)) == place(warc.read_bundles(bundles))
+    some = warc.read_records(bundles, spark.createDataFrame([(3,), (7,), (None,), (99,)], "page_id long")).collect()
+    assert sorted((str(r.page_id), r.record_type, r.refers_to, bytes(r.payload)) for r in some if r.page_id is not None) == [("3", "revisit", 1, b"")] + [("7", "response", None, ("<p>é</p>" * 90000).encode())] * 2
+    assert sum(r.page_id is None for r in some) == 2
+
+
+def test_small_payloads_are_responses(spark):
+    rows = [(1, "u", "<p>a</p>" * 9), (2, "u", "<p>a</p>" * 9), (3, "u", "x"), (4, "u", "x"), (5, "u", None)]
+    out = warc.read_bundles(warc.write_bundles(spark.createDataFrame(rows, "page_id long, url string, html string"), least_bytes=40)).collect()
+    assert sorted((r.page_id, r.record_type, r.refers_to) for r in out) == [(1, "response", None), (2, "revisit", 1), (3, "response", None), (4, "response", None), (5, "response", None)]
+
+
+def bit_crc(data, bits):
+    """CRC-16 bit by bit."""
+    crc = 0xFFFF
+    for k in range(bits):
+        top = crc >> 15 & 1 ^ data[k // 8] >> (7 - k % 8) & 1
+        crc = crc << 1 & 0xFFFF ^ (0x8005 if top else 0)
+    return crc
+
+
+def frame(head, length, body=b"", bits=None):
+    """A frame of this length; with bits a CRC over the header's end and the first bits of the body."""
+    crc = b"" if bits is None else bit_crc(head[2:] + body, 16 + bits).to_bytes(2, "big")
+    return (head + crc + body).ljust(length, b"\x00")
+
+
+def stream_of(*frames):
+    return b"".join(frames)
+
+
+def test_versions_layers_and_modes():
+    r = __import__("random").Random(5)
+    noise = lambda n: bytes(r.randrange(255) for _ in range(n))
+    # MPEG-1 Layer III, 128 kbit/s, 44100 Hz, joint stereo: CRC over 32 bytes of side information; frames of 417 and, padded, 418 bytes.
+    heads = [bytes([0xFF, 0xFA, 0x90 | pad << 1, 0x40]) for pad in (0, 1)]
+    three = [frame(heads[k % 2], 417 + k % 2, noise(300), 256) for k in range(6)]
+    a = mpegaudio.decode(stream_of(*three))
+    assert (a.kind, a.rate, a.channels, a.frames, a.samples, a.bad_crc, a.resyncs) == ("mpeg1-layer3", 44100, 2, 6, 6 * 1152, 0, 0)
+    assert a.offsets.tolist() == [0, 417, 835, 1252, 1670, 2087]
+    hurt = bytearray(stream_of(*three))
+    hurt[417 + 20] ^= 4
+    assert mpegaudio.decode(bytes(hurt)).bad_crc == 1
+    # MPEG-2 Layer III, 22050 Hz, mono, 64 kbit/s: side information of 9 bytes, frames of 72 * 64000 // 22050 bytes.
+    two = [frame(bytes([0xFF, 0xF2, 0x80, 0xC0]), 208, noise(150), 72) for _ in range(5)]
+    a = mpegaudio.decode(stream_of(*two))
+    assert (a.kind, a.rate, a.channels, a.frames, a.samples, a.bad_crc) == ("mpeg2-layer3", 22050, 1, 5, 5 * 576, 0)
+    # MPEG-2.5 Layer III, 8000 Hz, 8 kbit/s, no CRC.
+    a = mpegaudio.decode(stream_of(*[frame(bytes([0xFF, 0xE3, 0x18, 0xC0]), 72)] * 4))
+    assert (a.kind, a.rate, a.frames, a.samples, a.bad_crc) == ("mpeg2.5-layer3", 8000, 4, 4 * 576, 0)
+    # MPEG-1 Layer II, 48000 Hz, stereo, 192 kbit/s: 27 subbands; allocations, then two bits for each one in use.
+    fields = [4] * 11 + [3] * 12 + [2] * 4
+    layer2 = []
+    for _ in range(4):
+        used = [(n, r.randrange(1 << n)) for n in fields for _ in range(2)]
+        text = "".join(f"{v:0{n}b}" for n, v in used) + "".join(f"{r.randrange(4):02b}" for n, v in used if v)
+        bits = len(text)
+        body = int(text.ljust((bits + 7) // 8 * 8, "1"), 2).to_bytes((bits + 7) // 8, "big")
+        layer2.append(frame(bytes([0xFF, 0xFC, 0xA4, 0x00]), 576, body, bits))
+    a = mpegaudio.decode(stream_of(*layer2))
+    assert (a.kind, a.rate, a.frames, a.samples, a.bad_crc) == ("mpeg1-layer2", 48000, 4, 4 * 1152, 0)
+    hurt = bytearray(stream_of(*layer2))
+    hurt[10] ^= 1
+    assert mpegaudio.decode(bytes(hurt)).bad_crc == 1
+    # MPEG-1 Layer I, 32000 Hz, mono, 128 kbit/s: 32 allocations of 4 bits.
+    a = mpegaudio.decode(stream_of(*[frame(bytes([0xFF, 0xFE, 0x48, 0xC0]), 192, noise(40), 128) for _ in range(3)]))
+    assert (a.kind, a.rate, a.frames, a.samples, a.bad_crc) == ("mpeg1-layer1", 32000, 3, 3 * 384, 0)
+
+
+def test_tables_and_tags(spark):
+    head = bytes([0xFF, 0xFB, 0x90, 0x40])
+    info = b"Info" + (15).to_bytes(4, "big") + (7).to_bytes(4, "big") + (4000).to_bytes(4, "big") + bytes(range(100)) + (80).to_bytes(4, "big")
+    lame = b"LAME3.100" + bytes(12) + bytes([0x24, 0x03, 0x21])
+    sound = [frame(head, 417)] * 7
+    old = b"TAG" + b"Song".ljust(30, b"\x00") + b"Band".ljust(30, b"\x00") + bytes(30) + b"1999" + b"note".ljust(28, b"\x00") + b"\x00\x05\x11"
+    # ID3v2.3 with an extended header, unsynchronised: a title in Latin-1 and one in UTF-16, whose mark FF FE gets a zero.
+    text = lambda name, raw: name + len(raw).to_bytes(4, "big") + b"\x00\x00" + raw
+    plain = (6).to_bytes(4, "big") + bytes(6) + text(b"TIT2", b"\x00Titre \xe9") + text(b"TPE1", b"\x01" + "Äh".encode("utf-16")) + text(b"TXXX", b"\x00kind\x00live") + bytes(8)
+    body = plain.replace(b"\xff", b"\xff\x00")
+    tag = b"ID3\x03\x00\xc0" + mpegaudio._syncsafe(len(body)) + body
+    media = tag + frame(head, 417, bytes(32) + info + lame) + stream_of(*sound) + old
+    a = mpegaudio.decode(media)
+    assert (a.vbr, a.toc, a.delay, a.padding, a.frames, a.resyncs) == ((7, 4000), bytes(range(100)), 0x240, 0x321, 7, 0)
+    assert a.offsets[0] == len(tag) + 417
+    assert a.tags == {"TIT2": "Titre é", "TPE1": "Äh", "kind": "live", "v1.title": "Song", "v1.artist": "Band", "v1.year": "1999", "v1.comment": "note", "v1.track": "5"}
+    vbri = b"VBRI" + b"".join(x.to_bytes(n, "big") for x, n in ((1, 2), (528, 2), (75, 2), (5000, 4), (7, 4), (3, 2), (1, 2), (2, 2), (2, 2))) + b"\x00\x01\x00\x02\x00\x03"
+    a = mpegaudio.decode(frame(head, 417, bytes(32) + vbri) + stream_of(*sound))
+    assert (a.vbr, a.toc, a.delay, a.frames) == ((7, 5000), b"\x00\x01\x00\x02\x00\x03", 528, 7)
+    (x,) = mpegaudio.read_media(spark.createDataFrame([(1, bytearray(media))], "doc_id long, media binary")).collect()
+    assert x.n_bytes is None and x.payload_sha256 is None and x.duration_samples == 7 * 1152 and x.media_bytes == len(media)
