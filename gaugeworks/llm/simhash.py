@@ -41,7 +41,11 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     if not w:
         return 0
     shingles = map(b" ".join, zip(*[w[k:] for k in range(words)], strict=False)) if len(w) >= words else [b" ".join(w)]
-    h = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), dtype=np.uint64)
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), dtype=np.uint64))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half of these hashes."""
     ones = np.zeros(BITS, dtype=np.int64)
     for k in range(0, len(h), 1 << 14):
         ones += np.unpackbits(h[k : k + (1 << 14)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
