@@ -84,11 +84,14 @@ def base_spans(text: Column) -> Column:
 
 def upper_tail(z: Column) -> Column:
     """1 - Phi(z) by a rational approximation with an error under 1e-7 (its five constants are fixed values)."""
-    x = F.abs(z) / math.sqrt(2)
-    t = 1 / (1 + 0.3275911 * x)
-    poly = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
-    half = F.greatest(poly * F.exp(-x * x) / 2, F.lit(1e-14))
-    return F.when(z >= 0, half).otherwise(1 - half)
+
+    def tail(z: Column) -> Column:
+        x = F.abs(z) / math.sqrt(2)
+        poly = lambda t: t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
+        half = let(1 / (1 + 0.3275911 * x), lambda t: F.greatest(poly(t) * F.exp(-x * x) / 2, F.lit(1e-14)))
+        return let(half, lambda h: F.when(z >= 0, h).otherwise(1 - h))
+
+    return let(z, tail)
 
 
 def alphabet_of(token: Column) -> Column:
@@ -120,24 +123,19 @@ def randomness(x: Column) -> Column:
     squares = F.aggregate(F.split(x["alphabet"], ""), F.lit(0.0), lambda acc, c: acc + F.pow(n - F.length(F.replace(x["token"], c)), F.lit(2.0)))
     uniform = upper_tail((a / n * squares - n - (a - 1)) / F.sqrt(2 * (a - 1) * (n - 1) / n))
 
-    def step(acc: Column, c: Column) -> Column:
-        def moved(v: Column) -> Column:
-            high = (v >= a / 2).cast("double")
-            turn = F.when(acc["last"] < 0, 0.0).otherwise(F.abs(high - (acc["last"] >= a / 2).cast("double")))
-            return F.struct(
-                (acc["sum"] + v).alias("sum"),
-                (acc["sq"] + v * v).alias("sq"),
-                (acc["by"] + F.greatest(acc["last"], F.lit(0.0)) * v).alias("by"),
-                (acc["high"] + high).alias("high"),
-                (acc["turns"] + turn).alias("turns"),
-                F.when(acc["last"] < 0, v).otherwise(acc["first"]).alias("first"),
-                v.alias("last"),
-            )
-
-        return let(F.position(c, x["alphabet"]).cast("double") - 1, moved)
-
-    names = {"sum": 0.0, "sq": 0.0, "by": 0.0, "high": 0.0, "turns": 0.0, "first": -1.0, "last": -1.0}
-    sums = F.aggregate(F.split(x["token"], ""), F.struct(*[F.lit(v).alias(k) for k, v in names.items()]), step)
+    def sums(v: Column) -> Column:
+        more = (F.size(v) - 1).cast("int")
+        beside = lambda f: F.zip_with(F.slice(v, F.lit(1), more), F.slice(v, F.lit(2), more), f)
+        total = lambda items, f=lambda u: u: F.aggregate(items, F.lit(0.0), lambda acc, u: acc + f(u))
+        return F.struct(
+            total(v).alias("sum"),
+            total(v, lambda u: u * u).alias("sq"),
+            total(beside(lambda u, w: u * w)).alias("by"),
+            F.size(F.filter(v, lambda u: u >= a / 2)).cast("double").alias("high"),
+            F.size(F.filter(beside(lambda u, w: (u >= a / 2) != (w >= a / 2)), lambda t: t)).cast("double").alias("turns"),
+            v[0].alias("first"),
+            F.element_at(v, -1).alias("last"),
+        )
 
     def joined(y: Column) -> Column:
         both = 2 * y["high"] * (n - y["high"])
@@ -152,7 +150,8 @@ def randomness(x: Column) -> Column:
             lambda half: F.exp(-half) * (1 + half + half * half / 2),
         )
 
-    return let(sums, joined)
+    places = F.transform(F.split(x["token"], ""), lambda c: F.position(c, x["alphabet"]).cast("double") - 1)
+    return let(let(places, sums), joined)
 
 
 def scored(token: Column, alphabet: Column) -> Column:
