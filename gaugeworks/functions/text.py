@@ -69,7 +69,7 @@ def literal_form(text: Column) -> Column:
 
 def clean_block(text: Column) -> Column:
     """Lines without blanks at their end, the whole without blanks around."""
-    return F.regexp_replace(F.regexp_replace(text, r"(?mU)\s+?$(?=\n|\z)", ""), r"(?U)^\s+|\s+\z", "")
+    return F.regexp_replace(F.regexp_replace(text, r"(?U)[^\S\n]+(?=\n|\z)", ""), r"(?U)^\s+|\s+\z", "")
 
 
 def section_of(concept_id: Column) -> Column:
@@ -93,8 +93,8 @@ def kind_of(name: Column, ordered: Sequence[tuple[str, str]], default: str) -> C
 
 
 def humanise(name: Column) -> Column:
-    """Blanks for underscores, first letter upper case, the rest lower case."""
-    t = F.replace(name, F.lit("_"), F.lit(" "))
+    """Blanks for underscores, none around, first letter upper case, the rest lower case."""
+    t = F.regexp_replace(F.replace(name, F.lit("_"), F.lit(" ")), r"(?U)^\s+|\s+$", "")
     return F.concat(F.upper(F.substring(t, 1, 1)), F.lower(F.substring(t, 2, 1 << 30)))
 
 

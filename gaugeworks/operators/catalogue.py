@@ -18,12 +18,12 @@ def severity(code: Column) -> Column:
 
 
 def unique_slugs(concepts: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """slug, slug_2, slug_3 by (section_id, ord) within a section, counted on the original slug; slugs already in the catalogue count first."""
+    """slug, slug_2, slug_3 in the order of (section_id, ord) over all sections, counted on the original slug; a slug already in the catalogue counts as one before them."""
     rows = concepts.withColumn("__new", F.lit(1))
     if existing is not None:
-        old = existing.select("section_id", "slug", F.lit(-1).cast("long").alias("ord"), F.lit(0).alias("__new"))
+        old = existing.select("slug", F.lit("").alias("section_id"), F.lit(-1).cast("long").alias("ord"), F.lit(0).alias("__new")).distinct()
         rows = rows.unionByName(old, allowMissingColumns=True)
-    nth = F.row_number().over(W.partitionBy("section_id", "slug").orderBy("__new", "ord"))
+    nth = F.row_number().over(W.partitionBy("slug").orderBy("__new", "section_id", "ord"))
     named = rows.withColumn("slug", F.when(nth == 1, F.col("slug")).otherwise(F.concat("slug", F.lit("_"), nth.cast("string"))))
     return named.filter("__new = 1").drop("__new").withColumn("id", F.concat_ws(".", "section_id", "slug"))
 

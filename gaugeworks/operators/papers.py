@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gaugeworks.functions.offsets import matches
+from gaugeworks.functions.offsets import matches, running
 from gaugeworks.functions.text import clean_block, fingerprint, newlines, slug
 from gaugeworks.sources.shared import settle
 
@@ -272,11 +272,20 @@ def group_by_part(exercises: DataFrame, questions: DataFrame) -> tuple[DataFrame
 
 
 def propagate_track(exercises: DataFrame, documents: DataFrame) -> DataFrame:
-    """A title's own mark holds for the exercises after it; before any mark the document's track does."""
-    w = W.partitionBy("doc_file").orderBy("ex").rowsBetween(W.unboundedPreceding, 0)
+    """A title's own mark holds for the exercises after it, up to a title of a higher rank (a smaller level) without one; before any mark and after that the document's track does. Without a column `level` all titles are of one rank."""
+    level = F.col("level") if "level" in exercises.columns else F.lit(1)
     mark = track_of(F.col("title"))
     e = exercises.join(documents.select("doc_file", F.col("track").alias("doc_track")), "doc_file")
-    return e.withColumn("track", F.coalesce(F.last(F.when(mark != UNMARKED, mark), ignorenulls=True).over(w), F.col("doc_track"))).drop("doc_track")
+    titles = e.groupBy("doc_file").agg(F.array_sort(F.collect_list(F.struct("ex", level.alias("level"), F.when(mark != UNMARKED, mark).alias("mark")))).alias("t"))
+    state = lambda track, rank: F.struct(track.alias("track"), rank.alias("rank"))
+    none = state(F.lit(None).cast("string"), F.lit(0))
+
+    def after(now: Column, t: Column) -> Column:
+        return F.when(t["mark"].isNotNull(), state(t["mark"], t["level"])).when(t["level"] < now["rank"], none).otherwise(now)
+
+    told = running(F.col("t"), none, after, lambda now, t: F.struct(t["ex"].alias("ex"), after(now, t)["track"].alias("own")), "array<struct<ex:bigint,own:string>>")
+    own = titles.select("doc_file", F.explode(told).alias("x")).select("doc_file", "x.ex", "x.own")
+    return e.join(own, ["doc_file", "ex"]).withColumn("track", F.coalesce("own", "doc_track")).select(exercises.columns)
 
 
 def absorb(exercises: DataFrame, questions: DataFrame, documents: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -26,9 +26,11 @@ def named(value: Column, names: dict[str, str]) -> Column:
 
 
 def records(labels: DataFrame) -> DataFrame:
-    """labels: file, concept_id, language, paper_language, track. The year is null where the file name has none."""
+    """labels: file, concept_id, language, paper_language, track, and exercise_id if there. Year and exam come from the file's name, else from the exercise's id; the year is null where neither has one."""
     raw = r"^(\d{4})_([A-Za-z0-9\-]+)"
-    has = F.col("file").rlike(raw)
+    if "exercise_id" in labels.columns:
+        labels = labels.withColumn("file", F.when(F.col("file").rlike(raw), F.col("file")).otherwise(F.coalesce(F.col("exercise_id").cast("string"), F.col("file"))))
+    has = F.coalesce(F.col("file").rlike(raw), F.lit(False))
     exam = F.regexp_extract("file", raw, 2)
     return labels.select(
         F.when(has, F.regexp_extract("file", raw, 1).cast("int")).alias("year"),

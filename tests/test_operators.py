@@ -61,7 +61,7 @@ def test_cross_references(spark):
 def test_slugs_validation_and_injection(spark):
     c = spark.createDataFrame([("g", "a", 1), ("g", "a", 2), ("g", "a", 3), ("h", "a", 1)], "section_id string, slug string, ord long")
     old = spark.createDataFrame([("h", "a")], "section_id string, slug string")
-    assert sorted(r.id for r in catalogue.unique_slugs(c, old).collect()) == ["g.a", "g.a_2", "g.a_3", "h.a_2"]
+    assert sorted(r.id for r in catalogue.unique_slugs(c, old).collect()) == ["g.a_2", "g.a_3", "g.a_4", "h.a_5"]
     cat = spark.createDataFrame([("g.a", "g", "a", "Parcourir un graphe"), ("g.b", "g", "b", "Arbres"), ("h.a", "h", "a", "Définir un type"), ("h.a", "h", "a", "Définir un type")], "concept_id string, section_id string, slug string, label string")
     secs = spark.createDataFrame([("g",), ("h",), ("k",)], "section_id string")
     codes = sorted((r.target, r.code) for r in catalogue.validate(cat, secs, 1, 1, 10).collect())
@@ -213,3 +213,29 @@ def test_offsets(spark):
     t = "é😀 ab1 cd22\n\nab333"
     got = spark.createDataFrame([(t,)], "t string").select(matches(F.col("t"), "[a-d]+[0-9]+").alias("m")).first().m
     assert [(m.start, m.end, m.match) for m in got] == [(m.start(), m.end(), m[0]) for m in re.finditer("[a-d]+[0-9]+", t)]
+
+
+def test_blocks_keep_their_blank_lines(spark):
+    rows = spark.createDataFrame([("  a \t\n\n b\u00a0\n\n\nc  \n\n",), ("",), (" \n ",), (None,)], "t string")
+    assert [r[0] for r in rows.select(tx.clean_block(F.col("t"))).collect()] == ["a\n\n b\n\n\nc", "", "", None]
+
+
+def test_tracks_end_at_a_title_of_higher_rank(spark):
+    from gaugeworks.operators import papers
+
+    titles = [(1, 2, "Intro"), (2, 2, "Annexe filière MPI"), (3, 2, "Exercice"), (4, 3, "Suite"), (5, 1, "Partie"), (6, 2, "Exercice"), (7, 2, "Filière MP"), (8, 2, "Fin")]
+    e = spark.createDataFrame([("d", ex, level, t, "x") for ex, level, t in titles], "doc_file string, ex long, level int, title string, track string")
+    docs = spark.createDataFrame([("d", "non_marque")], "doc_file string, track string")
+    got = [r.track for r in papers.propagate_track(e, docs).orderBy("ex").collect()]
+    assert got == ["non_marque", "mpi", "mpi", "mpi", "non_marque", "non_marque", "mp_info", "mp_info"]
+
+
+def test_humanise_and_exam_from_the_exercise(spark):
+    rows = spark.createDataFrame([("x.md", "2021_X-info/e1", "g.a", None, None, "mpi"), ("2020_Y.md", "2021_X/e1", "g._b", None, None, "mpi"), (None, "none", "g.c", None, None, "mpi")], "file string, exercise_id string, concept_id string, language string, paper_language string, track string")
+    out = {r.concept_id: (r.year, r.concept) for r in records.records(rows).collect()}
+    assert out == {"g.a": (2021, "A"), "g._b": (2020, "B"), "g.c": (None, "C")}
+
+
+def test_totals_count_unlisted_values(spark):
+    q = spark.createDataFrame([(1, "a", "x"), (2, "a", "y"), (3, None, None), (4, "a", None)], "question_id int, r string, c string")
+    assert sorted(map(tuple, measures.contingency(q, "r", "c", ["x"]).collect())) == [("None", 0, 1), ("a", 1, 3)]
