@@ -10,6 +10,7 @@ import difflib
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -46,10 +47,19 @@ def similarity(label_a: str, id_a: str, label_b: str, id_b: str, least: float =
 
 def similar_pairs(asked: DataFrame, rows: DataFrame, least: float = THRESHOLD) -> DataFrame:
     """asked_id, row_id, score of all pairs with at least that similarity. Both sides: id, label. The asked side leads."""
-    known = asked.select("id", "label").limit(MOST_ASKED + 1).collect()
-    if len(known) > MOST_ASKED:
-        raise ValueError(f"the asked side may hold {MOST_ASKED} rows at most; ask in parts")
-    pairs = [(r["id"], r["label"]) for r in known]
+    parts, pairs = [], []
+    for r in asked.select("id", "label").toLocalIterator():
+        pairs.append((r["id"], r["label"]))
+        if len(pairs) == MOST_ASKED:
+            parts.append(_similar_to(pairs, rows, least))
+            pairs = []
+    if pairs or not parts:
+        parts.append(_similar_to(pairs, rows, least))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _similar_to(pairs: list[tuple[str, str]], rows: DataFrame, least: float) -> DataFrame:
+    """similar_pairs() for one part of the asked side, at most MOST_ASKED rows."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
@@ -64,11 +74,11 @@ def similar_pairs(asked: DataFrame, rows: DataFrame, least: float = THRESHOLD) -
     return rows.select("id", "label").mapInPandas(scan, "asked_id string, row_id string, score double")
 
 
-def greedy(pairs: DataFrame, rounds: int = 1000) -> DataFrame:
+def greedy(pairs: DataFrame) -> DataFrame:
     """One-to-one matches in the order (score down, asked_id, row_id): in each round the pairs that are first for both their sides, which equals taking pairs one by one."""
     left = settle(pairs.select("asked_id", "row_id", "score"))
     out = None
-    for _ in range(rounds):
+    while True:  # each round takes the best pair that is left at least
         order = (F.col("score").desc(), F.col("asked_id"), F.col("row_id"))
         first = left.withColumn("a", F.row_number().over(W.partitionBy("asked_id").orderBy(*order))).withColumn("b", F.row_number().over(W.partitionBy("row_id").orderBy(*order)))
         taken = settle(first.filter("a = 1 AND b = 1").select("asked_id", "row_id", "score"))

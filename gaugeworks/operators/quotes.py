@@ -6,31 +6,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ANCHOR = 5
+SHORT_AT_ONCE = 500
 
 
 def containing(docs: DataFrame, passages: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id") -> DataFrame:
     """(doc id, item id) of all documents whose text holds a passage literally.
 
-    A passage's inner words stand in the text as whole words, so up to ANCHOR of them are its anchor. Anchors meet the texts' word
-    sequences of the same length in an equi-join; what meets is verified. Passages of one or two words have no inner word: for these
-    the words of the text that begin or end like them are compared one by one inside the text's own row.
+    A passage's inner words stand in the text as whole words, so up to ANCHOR of them are its anchor. Hashes of the anchors meet hashes of the texts'
+    word sequences in one equi-join that moves ids and hashes alone; what meets is verified, each text once for all its passages. Passages of one or
+    two words have no inner word: they are looked for in the texts directly, SHORT_AT_ONCE of them in one scan.
     """
     words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
-    p = passages.select(item_id, F.col("text").alias("passage"), F.filter(F.split("text", r"\s+"), lambda w: w != "").alias("w"), F.col("text").rlike(r"^\s").alias("lead"))
-    inner = F.slice("w", 2, F.least(F.lit(ANCHOR), F.greatest(F.size("w") - 2, F.lit(0))))
-    p = p.withColumn("anchor", F.concat_ws(" ", inner)).withColumn("k", F.least(F.lit(ANCHOR), F.greatest(F.size("w") - 2, F.lit(0))))
-    long_p = p.filter("k > 0")
-    lengths = [r["k"] for r in long_p.select("k").distinct().collect()]  # at most ANCHOR values
-    found = None
-    for k in lengths:
-        grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("ws") - k + 1, F.lit(1))), lambda i: F.array_join(F.slice("ws", i, k), " ")))
-        d = docs.select(doc_id, "text", words.alias("ws")).select(doc_id, "text", F.explode(grams).alias("anchor"))
-        hit = d.join(long_p.filter(F.col("k") == k).select(item_id, "passage", "anchor"), "anchor").filter(F.contains("text", F.col("passage"))).select(doc_id, item_id)
-        found = hit if found is None else found.unionByName(hit)
-    short = [(r[item_id], r["passage"]) for r in p.filter("k = 0").select(item_id, "passage").limit(1001).collect()]
-    if len(short) > 1000:
-        raise ValueError("more than 1000 passages of one or two words")
-    for i, text in short:
-        hit = docs.filter(F.contains("text", F.lit(text))).select(doc_id, F.lit(i).alias(item_id))
-        found = hit if found is None else found.unionByName(hit)
-    return docs.select(doc_id).limit(0).join(passages.select(item_id), F.lit(False)) if found is None else found.distinct()
+    p = passages.select(F.col(item_id).alias("__item"), F.col("text").alias("__passage"), F.filter(F.split("text", r"\s+"), lambda w: w != "").alias("w"))
+    p = p.withColumn("k", F.least(F.lit(ANCHOR), F.greatest(F.size("w") - 2, F.lit(0))))
+    anchors = p.filter("k > 0").select("__item", F.xxhash64(F.array_join(F.slice("w", F.lit(2), F.col("k")), " ")).alias("__gram")).distinct()
+    lengths = F.array(*[F.lit(k) for k in range(1, ANCHOR + 1)])
+    sequences = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.size("ws") - k + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice("ws", i, k), " ")))
+    used = [r["k"] for r in p.filter("k > 0").select("k").distinct().collect()]  # at most ANCHOR values
+    key = F.xxhash64("text").alias("__text")
+    texts = docs.filter("text IS NOT NULL").select(F.col(doc_id).alias("__doc"), "text", key)
+    grams = F.array_distinct(F.flatten(F.transform(F.filter(lengths, lambda k: k.isin(*used) if used else F.lit(False)), sequences)))
+    met = texts.select("__doc", "__text", words.alias("ws")).select("__doc", "__text", F.explode(grams).alias("__gram")).join(anchors, "__gram").select("__doc", "__text", "__item").distinct()
+    asked = met.join(p.filter("k > 0").select("__item", "__passage"), "__item").groupBy(F.col("__doc").alias("__of"), F.col("__text").alias("__same")).agg(F.collect_list(F.struct("__item", "__passage")).alias("asked"))
+    held = texts.join(asked, F.col("__doc").eqNullSafe(F.col("__of")) & (F.col("__text") == F.col("__same"))).select("__doc", F.explode(F.filter("asked", lambda a: F.contains(F.col("text"), a["__passage"]))).alias("a"))
+    found = held.select(F.col("__doc").alias(doc_id), F.col("a.__item").alias(item_id))
+    short = [(r["__item"], r["__passage"]) for r in p.filter("k = 0").select("__item", "__passage").toLocalIterator()]
+    for at in range(0, len(short), SHORT_AT_ONCE):
+        some = F.array(*[F.struct(F.lit(i).alias("item"), F.lit(t).alias("passage")) for i, t in short[at : at + SHORT_AT_ONCE]])
+        hit = texts.select("__doc", F.explode(F.filter(some, lambda s: F.contains(F.col("text"), s["passage"]))).alias("s"))
+        found = found.unionByName(hit.select(F.col("__doc").alias(doc_id), F.col("s.item").alias(item_id)))
+    return found.distinct()
