@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gaugeworks.operators import compare, measures, papers, probes, records, reports, runs, syllabus
 from gaugeworks.sources import readers
@@ -34,9 +35,9 @@ def command(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
         return measures.everything(q, l, ["track", "year", "kind", "language"])
     if name in ("section", "zero"):
         cat = readers.catalogue(spark, a.catalogue)
-        return measures.section_usage(l, cat).orderBy("occurrences", ascending=False) if name == "section" else measures.never_asked(l, cat).orderBy("section_id", "concept_id")
+        return measures.section_usage(l, cat).orderBy(F.col("occurrences").desc(), "section_id") if name == "section" else measures.never_asked(l, cat).orderBy(F.col("silent").desc(), "section_id", "concept_id")
     if name == "crosstab":
-        values = [r[0] for r in q.select(a.field).distinct().orderBy(a.field).limit(200).collect() if r[0] is not None]
+        values = ["None" if r[0] is None else str(r[0]) for r in q.select(a.field).distinct().orderBy(a.field).collect()]
         return measures.crosstab(q, l, a.field, values).orderBy("concept_id")
     if name in ("dispersion", "compare"):
         q2, l2 = runs.flatten(readers.runs(spark, a.paths[1:2]))
@@ -44,7 +45,7 @@ def command(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
             columns = ["questions", "labels", "concepts", "unlabelled", "mean_labels", "coverage"]
             return compare.delta(measures.aggregate(q, l), measures.aggregate(q2, l2), columns)
         named = lambda qq, ll: qq.select("exercise_id", "question_id").join(ll.select("question_id", "concept_id"), "question_id", "left").select("exercise_id", "concept_id")
-        return compare.dispersion(named(q, l), named(q2, l2), q).orderBy("gap_per_question", "gap", "exercise_id", ascending=False)
+        return compare.dispersion(named(q, l), named(q2, l2), q).orderBy("gap_per_question", "gap", "questions", "labels_a", "labels_b", "jaccard", "exercise_id", ascending=False)
     if name == "records":
         return records.records(q.join(l.select("question_id", "concept_id"), "question_id").withColumn("paper_language", q["language"]))
     raise SystemExit(f"unknown command {name}")

@@ -128,18 +128,16 @@ def never_asked(labels: DataFrame, catalogue: DataFrame) -> DataFrame:
 
 
 def crosstab(questions: DataFrame, labels: DataFrame, field: str, values: Sequence[str]) -> DataFrame:
-    """Occurrences by concept (rows) and a field's values (columns)."""
-    rows = labels.join(questions.select("question_id", field), "question_id")
+    """Occurrences by concept (rows) and a field's values (columns); null counts as the value 'None'."""
+    rows = labels.join(questions.select("question_id", F.coalesce(F.col(field).cast("string"), F.lit("None")).alias(field)), "question_id")
     out = rows.groupBy("concept_id").pivot(field, list(values)).count().fillna(0)
     return out.select("concept_id", *[F.col(f"`{v}`").alias(v) for v in values])
 
 
 def contingency(questions: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
-    """Questions by two fields with row totals; null counts as the value 'None'."""
+    """Questions by two fields with totals of all rows, those with a value that is not listed included; null counts as the value 'None'."""
     named = questions.select(F.coalesce(F.col(row).cast("string"), F.lit("None")).alias(row), F.coalesce(F.col(column).cast("string"), F.lit("None")).alias(column))
-    out = named.groupBy(row).pivot(column, list(values)).count().fillna(0)
-    total = sum((F.col(f"`{v}`") for v in values), F.lit(0))
-    return out.select(row, *[F.col(f"`{v}`") for v in values], total.cast("long").alias("total"))
+    return named.groupBy(row).agg(*[F.count_if(F.col(column) == v).alias(v) for v in values], F.count(F.lit(1)).alias("total"))
 
 
 def status_histogram(questions: DataFrame) -> DataFrame:

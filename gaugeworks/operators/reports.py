@@ -15,8 +15,9 @@ def header(protocol: Mapping, run_hash: str, reserves: Sequence[str]) -> str:
 
 
 def table(df: DataFrame, title: str, most: int = 40) -> str:
-    """The first rows of a small, ordered table as aligned text."""
-    rows = [[("" if v is None else f"{v:.2f}" if isinstance(v, float) else str(v)) for v in r] for r in df.limit(most).collect()]
+    """The first rows of a small, ordered table as aligned text; a last line says if there are more."""
+    taken = df.limit(most + 1).collect()
+    rows = [[("" if v is None else f"{v:.2f}" if isinstance(v, float) else str(v)) for v in r] for r in taken[:most]]
     width = [max(map(len, c)) for c in zip(df.columns, *rows, strict=True)] if rows else [len(c) for c in df.columns]
     line = lambda r: "  ".join(v.ljust(w) for v, w in zip(r, width, strict=True)).rstrip()
-    return "\n".join([title, line(df.columns), *map(line, rows)])
+    return "\n".join([title, line(df.columns), *map(line, rows), *([f"... more than {most} rows"] if len(taken) > most else [])])
