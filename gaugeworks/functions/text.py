@@ -147,3 +147,19 @@ def event_key(key: Column) -> Column:
 def is_infinitive(label: Column) -> Column:
     """Does a label begin with a capitalised French infinitive (a word in -er, -ir, -re, -oir)?"""
     return label.rlike(r"(?U)^[A-ZÉÈÀÇ][\w'-]*(?:er|ir|re|oir)\b")
+
+
+def exact_round(value: Column, digits: int) -> Column:
+    """Rounds a double by its exact binary value to at most 4 digits, ties to the even digit: 0.98125 gives 0.9812. Values of 8 and more are rounded as Spark does."""
+
+    def scaled_by(power: int) -> Column:
+        """value * 2 ** power is a whole number of under 2 ** 63, so all that follows is exact."""
+        one = F.lit(1 << power).cast("decimal(21,0)") if power < 63 else F.lit(str(1 << power)).cast("decimal(21,0)")
+        x = (value * float(1 << power)).cast("long").cast("decimal(19,0)") * F.lit(10**digits).cast("decimal(5,0)")
+        rest = x % one
+        whole = ((x - rest) / one).cast("long")
+        up = (rest * 2 > one) | ((rest * 2 == one) & (whole % 2 == 1))
+        return (whole + up.cast("long")) / float(10**digits)
+
+    small = 2.0**-8  # below it doubles need more places
+    return F.when(value >= 8, F.round(value, digits)).when(value >= small, scaled_by(60)).otherwise(scaled_by(68))

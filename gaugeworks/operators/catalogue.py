@@ -97,3 +97,18 @@ def inject(catalogue: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame,
     refused = new.join(catalogue.select("concept_id"), "concept_id", "left_semi")
     out = catalogue.unionByName(added)
     return out, refused, out.groupBy("section_id").agg(F.count(F.lit(1)).alias("concepts"))
+
+
+def anomalies(findings: DataFrame) -> DataFrame:
+    """The findings that block a publication when it is strict; else they are recorded in the manifest. findings: code, severity."""
+    return findings.filter(F.col("severity") == FATAL)
+
+
+def exit_code(findings: DataFrame, strict: bool) -> int:
+    """2 where a strict publication meets an anomaly, else 0."""
+    return 2 if strict and anomalies(findings).limit(1).count() else 0
+
+
+def for_import(concepts: DataFrame) -> DataFrame:
+    """Concepts as the relational table has them; without a section that of the id counts. concepts: concept_id, section_id, label, definition."""
+    return concepts.select("concept_id", F.coalesce("section_id", F.substring_index("concept_id", ".", 1)).alias("section_id"), "label", "definition")

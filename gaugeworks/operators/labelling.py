@@ -39,6 +39,29 @@ def answer_schema(concept_ids: Sequence[str], statuses: Sequence[str]) -> dict:
     return {"type": "object", "properties": {"questions": {"type": "array", "items": question}}, "required": ["questions"]}
 
 
+def sections_schema(section_ids: Sequence[str]) -> dict:
+    """JSON schema of a first-phase answer: at most MOST_SECTIONS of the sections there are."""
+    return {"type": "object", "properties": {"sections": {"type": "array", "items": {"enum": list(section_ids)}, "minItems": LEAST_SECTIONS, "maxItems": MOST_SECTIONS}}, "required": ["sections"]}
+
+
+def decision_schema(unit_ids: Sequence[str], sections: Sequence[str], languages: Sequence[str], verdicts: Sequence[str] = ("admis", "admis_reformule", "eclate", "refuse")) -> dict:
+    """JSON schema of the decisions on a section's units."""
+    words = {"type": "array", "items": {"type": "string"}}
+    concept = {"slug": {"type": "string"}, "label": {"type": "string"}, "definition": {"type": "string"}, "triggers": words, "exclusions": {"type": "array", "items": {"type": "object"}}, "languages": {"type": "array", "items": {"enum": list(languages)}}, "target_section": {"enum": list(sections)}}
+    decision = {"unit_id": {"enum": list(unit_ids)}, "verdict": {"enum": list(verdicts)}, "reason": {"type": "string"}, "concepts": {"type": "array", "items": {"type": "object", "properties": concept, "required": list(concept)}}}
+    return {"type": "object", "properties": {"decisions": {"type": "array", "items": {"type": "object", "properties": decision, "required": list(decision)}}}, "required": ["decisions"]}
+
+
+def candidates(kept: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """exercise_id and the concept ids that a call may name: those of its sections in their order, within one in the catalogue's order. Exercises without any are left out.
+
+    kept: exercise_id, sections array; catalogue: concept_id, section_id, ord.
+    """
+    x = kept.select("exercise_id", F.posexplode("sections").alias("place", "section_id")).join(catalogue.select("section_id", "ord", "concept_id"), "section_id")
+    all_ = F.array_sort(F.collect_list(F.struct("place", "ord", "concept_id")))
+    return x.groupBy("exercise_id").agg(F.transform(all_, lambda c: c["concept_id"]).alias("candidates"))
+
+
 def kept_sections(proposed: Column, profile: Sequence[str]) -> Column:
     """Valid sections, distinct, in order; under two are filled up in the profile's order, over four are all kept (and can be logged)."""
     order = F.array(*[F.lit(s) for s in profile])
@@ -87,16 +110,39 @@ def answered(calls: DataFrame, memo: DataFrame) -> DataFrame:
     return calls.join(latest(memo).select("key", "payload"), "key", "left")
 
 
-def ask(calls: DataFrame, provider: Provider, system: str, schema: Mapping, slices: int = SLICE) -> DataFrame:
-    """Answers for calls (key, message): key, payload (JSON). `slices` partitions bound the number of calls at a time."""
+def ask(calls: DataFrame, provider: Provider, system: str, schema: Mapping, slices: int = SLICE, size: int = SLICE) -> DataFrame:
+    """Answers for calls (key, message): key, payload (JSON). `slices` partitions bound the number of calls at a time.
+
+    A provider that takes batches (answers(system, messages, schema)) gets at most `size` messages at once, others one by one.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        many = getattr(provider, "answers", None) or (lambda s, ms, c: [provider.answer(s, m, c) for m in ms])
         for x in batches:
-            yield pd.DataFrame({"key": x["key"], "payload": [json.dumps(provider.answer(system, m, schema), ensure_ascii=False) for m in x["message"]]})
+            for k in range(0, len(x), size):
+                part = x.iloc[k : k + size]
+                got = many(system, list(part["message"]), schema)
+                yield pd.DataFrame({"key": part["key"], "payload": [json.dumps(a, ensure_ascii=False) for a in got]})
 
     return calls.select("key", "message").repartition(slices).mapInPandas(run, "key string, payload string")
 
 
+def resume(calls: DataFrame, provider: Provider, system: str, schema: Mapping, path: str, label: str = "") -> DataFrame:
+    """Asks what the memo at `path` lacks, appends the answers to it as JSON lines, and returns all calls with their answers. After an interruption only what is missing is asked."""
+    from pyspark.errors import AnalysisException
+
+    from gaugeworks.sources import readers
+
+    spark = calls.sparkSession
+    try:
+        memo = readers.memo(spark, path)
+    except AnalysisException:  # no memo yet
+        memo = spark.createDataFrame([], readers.MEMO + ", ord long")
+    answers = ask(to_call(calls, memo), provider, system, schema)
+    answers.select("key", F.lit(label).alias("label"), "payload", F.lit(None).cast("string").alias("meta")).write.mode("append").json(path)
+    return answered(calls, readers.memo(spark, path))
+
+
 def failures(errors: DataFrame) -> DataFrame:
     """Errors by the first 90 characters of their message."""
     return errors.groupBy(F.substring("message", 1, 90).alias("message")).agg(F.count(F.lit(1)).alias("calls"))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gaugeworks.functions.text import exact_round
 from gaugeworks.sources.shared import settle
 
 THRESHOLD = 0.70
@@ -103,7 +104,7 @@ def match_gold(gold: DataFrame, concepts: DataFrame, least: float = THRESHOLD) -
 def recall(matched: DataFrame) -> DataFrame:
     """By section and in all: gold concepts, exact and all matches, both recalls."""
     sets = matched.rollup("section").agg(F.count(F.lit(1)).alias("gold"), F.count_if(F.col("how") == "exact").alias("exact"), F.count_if(F.col("how") != "missing").alias("matched"))
-    return sets.select(F.coalesce("section", F.lit("all")).alias("section"), "gold", "exact", "matched", F.round(F.col("exact") / F.col("gold"), 3).alias("recall_exact"), F.round(F.col("matched") / F.col("gold"), 3).alias("recall"))
+    return sets.select(F.coalesce("section", F.lit("all")).alias("section"), "gold", "exact", "matched", exact_round(F.col("exact") / F.col("gold"), 3).alias("recall_exact"), exact_round(F.col("matched") / F.col("gold"), 3).alias("recall"))
 
 
 def repoint(xrefs: DataFrame, concepts: DataFrame, least: float = THRESHOLD) -> DataFrame:

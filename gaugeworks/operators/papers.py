@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.offsets import matches, running
-from gaugeworks.functions.text import clean_block, fingerprint, newlines, slug
+from gaugeworks.functions.text import clean_block, exact_round, fingerprint, newlines, slug
 from gaugeworks.sources.shared import settle
 
 # The marks of the papers at hand, in Java's dialect.
@@ -358,7 +358,7 @@ def summary(x: Extracted) -> DataFrame:
     out = x.documents.join(e, "doc_file", "left").join(q, "doc_file", "left").fillna(0, ["exercises", "questions", "solutions", "figures_missing", "q_chars", "e_chars"])
     useful = F.col("source_chars") - F.col("noise_chars")
     kept = F.length("header") + F.col("e_chars") + F.col("q_chars")
-    ratio = F.when(useful > 0, F.round(kept / useful, 4)).otherwise(0.0)
+    ratio = F.when(useful > 0, exact_round(kept / useful, 4)).otherwise(0.0)
     return out.select("doc_file", "fingerprint", "track", "level", "exercises", "questions", "solutions", "figures_missing", ratio.alias("ratio"), (F.col("marks") - F.col("questions")).alias("unplaced"), (ratio < LEAST_RATIO).alias("low"), (ratio > 1).alias("counted_twice"))
 
 
@@ -368,6 +368,23 @@ def best_track_only(exercises: DataFrame, priority: tuple[str, ...] = ("mpi", "m
     return exercises.withColumn("__r", rank).withColumn("__best", F.min("__r").over(W.partitionBy("doc_file"))).filter("__r = __best").drop("__r", "__best")
 
 
+def lesser_tracks(exercises: DataFrame, priority: tuple[str, ...] = ("mpi", "mp_info", UNMARKED)) -> DataFrame:
+    """The log of best_track_only(): doc_file, id, track and the better track that was kept."""
+    best = best_track_only(exercises, priority).select("doc_file", F.col("track").alias("kept_track")).distinct()
+    return exercises.join(best, "doc_file").filter(~F.col("track").eqNullSafe(F.col("kept_track"))).select("doc_file", "id", "track", "kept_track")
+
+
+def selected(exercises: DataFrame, only: str | None = None, limit: int | None = None) -> DataFrame:
+    """The exercise of one id, and the first `limit` of what is selected in order of the corpus; all where neither is given."""
+    out = exercises if only is None else exercises.filter(F.col("id") == only)
+    return out.orderBy("doc_file", "ex").limit(limit) if limit else out
+
+
+def low_documents(summaries: DataFrame) -> int:
+    """How many papers lost too much text: a command that finds one ends with code 2."""
+    return summaries.filter("low").count()
+
+
 def against_golden(found: DataFrame, expected: DataFrame, slack: float = 1e-6) -> DataFrame:
     """Differences of summaries from those expected: doc_file, field, expected, found. Counts must be equal, the ratio may only be higher; a document on one side alone differs in the field `document`."""
     fields = ["track", "exercises", "questions", "solutions", "figures_missing"]

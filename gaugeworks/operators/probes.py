@@ -79,3 +79,26 @@ def report(attested: DataFrame, most: int = 12, size: int = 300) -> DataFrame:
     """Up to `most` excerpts of each probe, in order of origin: a report's head."""
     rank = F.row_number().over(W.partitionBy("probe").orderBy("origin", "excerpt"))
     return attested.filter("NOT rejected").withColumn("rank", rank).filter(F.col("rank") <= most).select("probe", "rank", "origin", F.substring("excerpt", 1, size).alias("excerpt"))
+
+
+def named(probes: Sequence[Probe], part: str) -> list[Probe]:
+    """The probes whose name contains `part`."""
+    return [p for p in probes if part in p.name]
+
+
+def ordered(admitted: DataFrame) -> DataFrame:
+    """Probes attested by most files first, then by name."""
+    return admitted.orderBy(F.col("origins").desc(), "probe")
+
+
+def first_by_file(attested: DataFrame, most: int = 3) -> DataFrame:
+    """The first excerpts of each probe in each file that no anti-pattern rejects."""
+    rank = F.row_number().over(W.partitionBy("probe", "origin").orderBy("excerpt"))
+    return attested.filter("NOT rejected").withColumn("rank", rank).filter(F.col("rank") <= most).select("probe", "origin", "rank", "excerpt")
+
+
+def report_json(admitted: DataFrame, excerpts: DataFrame) -> DataFrame:
+    """One JSON text by probe: its verdict and the excerpts of report(). probe, body."""
+    own = excerpts.groupBy("probe").agg(F.array_sort(F.collect_list(F.struct("rank", "origin", "excerpt"))).alias("excerpts"))
+    x = admitted.join(own, "probe", "left")
+    return x.select("probe", F.to_json(F.struct("probe", "status", "origins", "zones", "rejected", "admitted", "change", F.coalesce("excerpts", F.array().cast("array<struct<rank:int,origin:string,excerpt:string>>")).alias("excerpts"))).alias("body"))

@@ -60,6 +60,23 @@ def by_year(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
     return catalogue.select("concept_id").join(sums, "concept_id", "left").fillna(0, ["weight"])
 
 
+def listed(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """All concepts: those of the catalogue, with 0 where no record names them, and observed ones that it lacks. concept_id, listed, weight."""
+    sums = rows.groupBy("concept_id").agg(F.sum("weight").alias("weight"))
+    own = catalogue.select("concept_id", F.lit(True).alias("listed")).distinct()
+    return own.join(sums, "concept_id", "full_outer").select("concept_id", F.coalesce("listed", F.lit(False)).alias("listed"), F.coalesce("weight", F.lit(0)).alias("weight"))
+
+
+def heat_order(concepts: DataFrame, by: str = "programme") -> DataFrame:
+    """Rows of the heat map in one of its orders: programme (ord, unlisted concepts last), most, fewest (ties by programme), name (French collation).
+
+    concepts: concept_id, weight, ord (place in the catalogue, null for unlisted ones).
+    """
+    programme = [F.col("ord").asc_nulls_last(), F.col("concept_id")]
+    keys = {"programme": programme, "most": [F.col("weight").desc(), *programme], "fewest": [F.col("weight"), *programme], "name": [F.collate("concept_id", "fr"), F.col("concept_id")]}
+    return concepts.orderBy(*keys[by])
+
+
 def totals(rows: DataFrame) -> DataFrame:
     """All facet totals in one pass: by section and type, by concept and language, by section, by concept."""
     sets = rows.groupingSets([["section", "type"], ["concept_id", "language"], ["section"], ["concept_id"]], "section", "type", "concept_id", "language")

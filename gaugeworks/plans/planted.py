@@ -8,9 +8,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import text as tx
-from gaugeworks.operators import catalogue, labelling, papers, rules, syllabus
+from gaugeworks.operators import catalogue, decisions, labelling, papers, probes, records, rules, syllabus
 from gaugeworks.plans import fixtures as fx
-from gaugeworks.plans.queries import query
+from gaugeworks.plans.queries import CORPUS_SQL, PROBES, query
 
 
 def _papers(spark: SparkSession, d: str) -> DataFrame:
@@ -49,7 +49,7 @@ def paper_questions(spark: SparkSession, d: str) -> DataFrame:
                coalesce(sum(length('Question ' || number) + 2 + length(text) + 2 + coalesce(length(solution) + 12, 0)), 0) AS body
         FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN u USING (conv_id) GROUP BY 1)
     SELECT 'conv-' || conv_id || '.md' AS doc_file, 'non_marque' AS track, CAST(1 AS BIGINT) AS exercises, questions, solutions, CAST(0 AS BIGINT) AS figures_missing, CAST(0 AS BIGINT) AS unplaced,
-           round((q_chars + length('# Exercise ' || conv_id) + 13)::DOUBLE / (body + length('# Exercise ' || conv_id) + 15), 4) AS ratio, (q_chars + length('# Exercise ' || conv_id) + 13)::DOUBLE / (body + length('# Exercise ' || conv_id) + 15) < 0.95 AS low
+           round_even((q_chars + length('# Exercise ' || conv_id) + 13)::DOUBLE / (body + length('# Exercise ' || conv_id) + 15), 4) AS ratio, (q_chars + length('# Exercise ' || conv_id) + 13)::DOUBLE / (body + length('# Exercise ' || conv_id) + 15) < 0.95 AS low
     FROM s
 """)
 def paper_summaries(spark: SparkSession, d: str) -> DataFrame:
@@ -224,3 +224,120 @@ def assembled(spark: SparkSession, d: str) -> DataFrame:
     concepts, refused = catalogue.assemble(given, units)
     out = refused.select("unit_id", F.lit("refused").alias("kind"), F.col("excerpt").alias("said"), F.lit(-1).cast("long").alias("ord"))
     return out.unionByName(concepts.select("unit_id", F.col("slug").alias("kind"), F.col("source").alias("said"), "ord"))
+
+
+LONG = "Takes what is written above and says in one sentence what is asked."
+
+
+def _whole_decisions(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Decisions with their concepts: every slug needs a repair, every second definition is too short, every second part names a foreign language."""
+    p = fx.table(spark, d, "part")
+    verdict = F.element_at(F.array(*[F.lit(v) for v in ("refuse", "admis", "admis_reformule", "eclate")]), (F.col("p_size") % 4 + 1).cast("int"))
+    unit = F.concat(F.lit("u"), F.col("p_partkey").cast("string"))
+    one = lambda k: F.struct(
+        F.concat(F.lit("Part "), F.col("p_partkey").cast("string"), F.lit(f" {k}")).alias("slug"),
+        F.array(F.lit("t")).alias("triggers"),
+        F.array(F.lit("e")).alias("exclusions"),
+        F.when((F.col("p_partkey") + k) % 2 == 0, LONG).otherwise("short").alias("definition"),
+        F.when(F.col("p_size") % 2 == 0, F.array(F.lit("c"), F.lit("basic"))).otherwise(F.array(F.lit("c"))).alias("languages"),
+        F.lit("a").alias("target_section"),
+    )
+    concepts = F.slice(F.array(one(0), one(1)), F.lit(1), (F.col("p_partkey") % 3).cast("int"))
+    given = p.select(F.col("p_brand").alias("section_id"), unit.alias("unit_id"), F.lit(0).alias("ord"), verdict.alias("verdict"), F.lit("why").alias("reason"), concepts.alias("concepts"))
+    return given, given.select("section_id", "unit_id")
+
+
+_WHOLE = """
+    v AS (SELECT p_brand AS section_id, 'u' || p_partkey AS unit_id, p_partkey, p_size % 2 = 0 AS foreign_too, p_partkey % 3 AS n, CASE p_size % 4 WHEN 0 THEN 'refuse' WHEN 1 THEN 'admis' WHEN 2 THEN 'admis_reformule' ELSE 'eclate' END AS verdict FROM part),
+    c AS (SELECT section_id, unit_id, unit_id || '/Part ' || p_partkey || ' ' || i AS target, 'part_' || p_partkey || '_' || i AS slug, i, (p_partkey + i) % 2 = 0 AS good, foreign_too FROM v, (VALUES (0), (1)) r(i) WHERE i < n),
+    k AS (SELECT v.section_id, v.unit_id, any_value(verdict) AS verdict, count(i) FILTER (good) AS k, string_agg(slug, ',' ORDER BY i) FILTER (good) AS slugs FROM v LEFT JOIN c USING (section_id, unit_id) GROUP BY 1, 2),
+    f AS (SELECT *, verdict = 'refuse' AND k > 0 AS a, verdict <> 'refuse' AND k = 0 AS b, verdict = 'eclate' AND k = 1 AS split, verdict IN ('admis', 'admis_reformule') AND k > 1 AS many FROM k)
+"""
+
+
+@query(f"""
+    WITH {_WHOLE}
+    SELECT section_id, target, 'slug_form' AS code, 'repair' AS severity FROM c
+    UNION ALL SELECT section_id, target, 'short_definition', 'fatal' FROM c WHERE NOT good
+    UNION ALL SELECT section_id, target, 'foreign_language', 'repair' FROM c WHERE good AND foreign_too
+    UNION ALL SELECT section_id, unit_id, CASE WHEN a THEN 'refused_with_concepts' ELSE 'accepted_without_concepts' END, 'fatal' FROM f WHERE a OR b
+    UNION ALL SELECT section_id, unit_id, CASE WHEN split THEN 'split_of_one' ELSE 'unsplit_of_many' END, 'repair' FROM f WHERE NOT (a OR b) AND (split OR many)
+""")
+def section_findings(spark: SparkSession, d: str) -> DataFrame:
+    """The whole flow of a section: rules of concepts, what they drop, then rules of decisions on what is left."""
+    given, units = _whole_decisions(spark, d)
+    return decisions.validate(given, units, rules.concept_rules(["c"], ["a"])).findings
+
+
+@query(f"""
+    WITH {_WHOLE}
+    SELECT section_id, unit_id, CASE WHEN split THEN 'admis_reformule' WHEN many THEN 'eclate' ELSE verdict END AS verdict, coalesce(slugs, '') AS slugs FROM f WHERE NOT (a OR b)
+""")
+def section_survivors(spark: SparkSession, d: str) -> DataFrame:
+    """Decisions that stand after the flow, with their verdicts judged again and the repaired slugs of their concepts."""
+    given, units = _whole_decisions(spark, d)
+    kept = decisions.validate(given, units, rules.concept_rules(["c"], ["a"])).decisions
+    return kept.select("section_id", "unit_id", "verdict", F.coalesce(F.array_join(F.transform("concepts", lambda c: c["slug"]), ","), F.lit("")).alias("slugs"))
+
+
+@query(f"""
+    WITH {CORPUS_SQL}, own AS (SELECT DISTINCT p_type || '.' || p_brand AS concept_id FROM part WHERE p_size > 25), w AS (SELECT concept_id, count(*) AS weight FROM l WHERE part_id % 3 = 0 GROUP BY 1)
+    SELECT coalesce(own.concept_id, w.concept_id) AS concept_id, own.concept_id IS NOT NULL AS listed, coalesce(weight, 0) AS weight FROM own FULL JOIN w ON own.concept_id = w.concept_id
+""")
+def official_list(spark: SparkSession, d: str) -> DataFrame:
+    """The catalogue's concepts, asked or not, and those asked that it lacks."""
+    own = fx.table(spark, d, "part").filter("p_size > 25").select(F.concat_ws(".", "p_type", "p_brand").alias("concept_id"))
+    return records.listed(fx.labels(spark, d).filter("part_id % 3 = 0").withColumn("weight", F.lit(1)), own)
+
+
+@query("""
+    WITH s AS (SELECT DISTINCT p_brand, p_type FROM part WHERE p_size = 1), cat AS (SELECT DISTINCT p_type, p_type || '.' || p_brand AS concept_id FROM part)
+    SELECT s.p_brand AS exercise_id, count(*) AS candidates, sha256(string_agg(concept_id, ',' ORDER BY p_type DESC, concept_id)) AS in_order FROM s JOIN cat USING (p_type) GROUP BY 1
+""")
+def call_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Concepts that each call may name, in the order of its sections."""
+    kept = fx.table(spark, d, "part").filter("p_size = 1").groupBy(F.col("p_brand").alias("exercise_id")).agg(F.sort_array(F.collect_set("p_type"), asc=False).alias("sections"))
+    c = labelling.candidates(kept, fx.catalogue(spark, d).withColumn("ord", F.lit(0)))
+    return c.select("exercise_id", F.size("candidates").cast("long").alias("candidates"), F.sha2(F.array_join("candidates", ","), 256).alias("in_order"))
+
+
+@query("""
+    SELECT 'x' || p_partkey AS id, CASE p_size % 3 WHEN 0 THEN 'mpi' WHEN 1 THEN 'mp_info' ELSE 'non_marque' END AS track, (SELECT min(p_size % 3) FROM part o WHERE o.p_brand = p.p_brand AND o.p_type = p.p_type) = p_size % 3 AS kept FROM part p
+""")
+def best_tracks(spark: SparkSession, d: str) -> DataFrame:
+    """Exercises of the best track of each document, and the log of the others."""
+    track = F.element_at(F.array(*[F.lit(t) for t in ("mpi", "mp_info", papers.UNMARKED)]), (F.col("p_size") % 3 + 1).cast("int"))
+    e = fx.table(spark, d, "part").select(F.concat_ws("/", "p_brand", "p_type").alias("doc_file"), F.concat(F.lit("x"), F.col("p_partkey").cast("string")).alias("id"), track.alias("track"))
+    return papers.best_track_only(e).select("id", "track", F.lit(True).alias("kept")).unionByName(papers.lesser_tracks(e).select("id", "track", F.lit(False).alias("kept")))
+
+
+@query("""
+    WITH m AS (SELECT e.*, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events e WHERE event_type <> 'click'),
+    calls AS (SELECT DISTINCT user_id FROM events)
+    SELECT user_id AS key, m.event_id AS payload, m.event_id IS NULL AS to_call FROM calls LEFT JOIN (SELECT * FROM m WHERE n = 1) m USING (user_id)
+""")
+def memo_replay(spark: SparkSession, d: str) -> DataFrame:
+    """Events as memo lines: of a repeated key the last counts, calls without an answer are those to make."""
+    e = fx.table(spark, d, "events").select(F.col("user_id").alias("key"), F.col("event_id").alias("ord"), F.col("event_id").alias("payload"), "event_type")
+    memo, calls = e.filter("event_type <> 'click'"), e.select("key").distinct()
+    asked = labelling.to_call(calls, memo).select("key", F.lit(True).alias("to_call"))
+    return labelling.answered(calls, memo).join(asked, "key", "left").select("key", "payload", F.coalesce("to_call", F.lit(False)).alias("to_call"))
+
+
+@query("""
+    SELECT p_type || '.' || p_brand || '.' || p_partkey AS concept_id, CASE WHEN p_size % 2 = 0 THEN p_brand ELSE p_type END AS section_id, p_name AS label, p_type AS definition FROM part
+""")
+def concepts_for_import(spark: SparkSession, d: str) -> DataFrame:
+    """Concepts as the relational table has them; half of them without a section of their own."""
+    p = fx.table(spark, d, "part")
+    rows = p.select(F.concat_ws(".", "p_type", "p_brand", F.col("p_partkey").cast("string")).alias("concept_id"), F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).alias("section_id"), F.col("p_name").alias("label"), F.col("p_type").alias("definition"))
+    return catalogue.for_import(rows)
+
+
+@query("""
+    SELECT 'mail' AS probe, source AS origin, least(count(*), 3) AS excerpts FROM documents WHERE regexp_matches(text, '[A-Za-z0-9._]+@[A-Za-z0-9.]+') GROUP BY 2
+""")
+def probe_files(spark: SparkSession, d: str) -> DataFrame:
+    """The first excerpts by probe and file, of a probe chosen by a part of its name."""
+    found = probes.attest(fx.table(spark, d, "documents"), probes.named(PROBES, "ai"), "source")
+    return probes.first_by_file(found, 3).groupBy("probe", "origin").agg(F.count(F.lit(1)).alias("excerpts"))

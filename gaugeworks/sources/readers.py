@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,8 +76,32 @@ def memo(spark: SparkSession, path: str) -> DataFrame:
 
 
 def exclusions(spark: SparkSession, path: str | None) -> DataFrame:
+    """Mentions of what is excluded; none where no path is given or nothing stands there."""
     schema = "id string, scope string, object string, reason string, attributable boolean"
-    return spark.createDataFrame([], schema) if path is None else spark.read.schema(schema).json(path, multiLine=True)
+    try:
+        return spark.createDataFrame([], schema) if path is None else spark.read.schema(schema).json(path, multiLine=True)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+# The keys that a profile must have.
+PROFILE_KEYS = ("matiere", "critere_admission", "axe_langage", "genres")
+
+
+def profile(path: str) -> dict:
+    """A subject's profile (JSON, or YAML where a parser is installed); missing keys are refused."""
+    text = Path(path).read_text(encoding="utf-8")
+    if path.endswith(".json"):
+        found = json.loads(text)
+    else:
+        import yaml  # optional
+
+        found = yaml.safe_load(text)
+    if missing := [k for k in PROFILE_KEYS if k not in found]:
+        raise ValueError(f"profile {path}: missing keys {missing}")
+    return found
 
 
 def probes(path: str) -> list[Probe]:

@@ -21,8 +21,25 @@ def nested(x: Extracted) -> DataFrame:
     return x.documents.join(e, "doc_file", "left")
 
 
-def write_documents(x: Extracted, path: str) -> None:
-    nested(x).write.mode("overwrite").json(path)
+def write_documents(x: Extracted, path: str, log: DataFrame | None = None) -> None:
+    """Documents as JSON under `documents`; what was left out, such as papers.lesser_tracks(), under `log`."""
+    nested(x).write.mode("overwrite").json(f"{path}/documents" if log is not None else path)
+    if log is not None:
+        log.write.mode("overwrite").json(f"{path}/log")
+
+
+def write_units(units: DataFrame, path: str) -> None:
+    """Units of syllabi as JSON lines."""
+    units.write.mode("overwrite").json(path)
+
+
+def write_catalogue(concepts: DataFrame, refused: DataFrame, findings: DataFrame, path: str) -> None:
+    """Concepts in a folder for each section, refusals, counts by section and the anomalies that were found, each as a table of its own."""
+    from gaugeworks.operators.catalogue import anomalies
+
+    concepts.write.mode("overwrite").partitionBy("section_id").json(f"{path}/sections")
+    for name, rows in (("refusals", refused), ("manifest", manifest(concepts)), ("anomalies", anomalies(findings))):
+        rows.write.mode("overwrite").json(f"{path}/{name}")
 
 
 def label_rows(labels: DataFrame) -> DataFrame:
