@@ -60,10 +60,18 @@ def slug(text: Column, sep: str = "-", size: int | None = 48, default: str = "sa
 
 
 def literal_form(text: Column) -> Column:
-    """Form in which a quoted passage must equal its source: no markup, one spelling of symbols, no blanks, lower case."""
+    """Form in which a quoted passage must equal its source: no markup, one spelling of symbols, no blanks, lower case.
+
+    Signs with a name of one character are translated in one pass; the others are replaced one by one only in texts that hold any of them.
+    """
     t = F.regexp_replace(F.coalesce(text, F.lit("")), MARKUP, "")
-    for sign, name in SYMBOLS.items():
-        t = F.replace(t, F.lit(sign), F.lit(name))
+    single = {sign: name for sign, name in SYMBOLS.items() if len(name) == 1}
+    rest = {sign: name for sign, name in SYMBOLS.items() if len(name) > 1}
+    t = F.translate(t, "".join(single), "".join(single.values()))
+    replaced = t
+    for sign, name in rest.items():
+        replaced = F.replace(replaced, F.lit(sign), F.lit(name))
+    t = F.when(t.rlike(f"[{''.join(rest)}]"), replaced).otherwise(t)
     return F.lower(F.regexp_replace(t, r"(?U)\s+", ""))
 
 

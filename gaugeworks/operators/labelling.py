@@ -6,20 +6,23 @@ The model itself is a provider given by the user: a callable from a prompt to an
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Iterator, Mapping, Sequence
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gaugeworks.functions.offsets import let
 from gaugeworks.functions.text import fingerprint, literal_form, nothing_as_null, word_count
 
 LEAST_WORDS = 5
 LEAST_SECTIONS, MOST_SECTIONS = 2, 4
 EXERCISE_CHARS, SOLUTION_CHARS, PREFILTER_CHARS = 6000, 5000, 12000
 SLICE = 15
+QUOTES_AT_ONCE = 256
 
 
 class Provider(Protocol):
@@ -100,9 +103,9 @@ def latest(memo: DataFrame) -> DataFrame:
     return memo.withColumn("__n", nth).filter("__n = 1").drop("__n")
 
 
-def purge(memo: DataFrame, label: str) -> DataFrame:
-    """The memo without calls of exactly this label."""
-    return memo.filter(F.col("label") != label)
+def purge(memo: DataFrame, label: str | None = None) -> DataFrame:
+    """The memo without calls whose label begins so; without any where none is given."""
+    return memo.filter(F.lit(False)) if label is None else memo.filter(F.coalesce(~F.startswith("label", F.lit(label)), F.lit(True)))
 
 
 def answered(calls: DataFrame, memo: DataFrame) -> DataFrame:
@@ -111,36 +114,70 @@ def answered(calls: DataFrame, memo: DataFrame) -> DataFrame:
 
 
 def ask(calls: DataFrame, provider: Provider, system: str, schema: Mapping, slices: int = SLICE, size: int = SLICE) -> DataFrame:
-    """Answers for calls (key, message): key, payload (JSON). `slices` partitions bound the number of calls at a time.
+    """Answers for calls (key, message): key, payload (JSON), error. `slices` partitions bound the number of calls at a time.
 
-    A provider that takes batches (answers(system, messages, schema)) gets at most `size` messages at once, others one by one.
+    A provider that takes batches (answers(system, messages, schema)) gets at most `size` messages at once, others one by one. A call that
+    fails gives a row with the error's message and no payload, so that the answers beside it are kept.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        many = getattr(provider, "answers", None) or (lambda s, ms, c: [provider.answer(s, m, c) for m in ms])
+        together = getattr(provider, "answers", None)
+        step = size if together else 1
         for x in batches:
-            for k in range(0, len(x), size):
-                part = x.iloc[k : k + size]
-                got = many(system, list(part["message"]), schema)
-                yield pd.DataFrame({"key": part["key"], "payload": [json.dumps(a, ensure_ascii=False) for a in got]})
-
-    return calls.select("key", "message").repartition(slices).mapInPandas(run, "key string, payload string")
-
+            for k in range(0, len(x), step):
+                part = x.iloc[k : k + step]
+                messages = list(part["message"])
+                try:
+                    got = together(system, messages, schema) if together else [provider.answer(system, messages[0], schema)]
+                    payload, error = [json.dumps(a, ensure_ascii=False) for a in got], None
+                    if len(payload) != len(part):
+                        raise ValueError(f"{len(payload)} answers to {len(part)} messages")
+                except Exception as e:  # whatever a provider raises is its calls' failure
+                    payload, error = [None] * len(part), f"{type(e).__name__}: {e}"
+                yield pd.DataFrame({"key": list(part["key"]), "payload": pd.Series(payload, dtype=object), "error": pd.Series([error] * len(part), dtype=object)})
+
+    return calls.select("key", "message").repartition(slices).mapInPandas(run, "key string, payload string, error string")
+
+
+def resume(calls: DataFrame, provider: Provider, system: str, schema: Mapping, path: str, label: str = "", at_once: int = SLICE, size: int = SLICE) -> DataFrame:
+    """Asks what the memo at `path` lacks and returns all calls with their answers and errors.
+
+    The calls go in slices of at_once * size at most, in the order of their keys' hashes, each one job: a slice's answers are lines of the
+    memo before the next slice is asked, so what ends the job loses the answers of one slice at most, and a new run asks only the
+    rest. A call that fails costs only its own answer, or its batch's; its error is in the column `error`. Each line has a sequence number: time, then slice.
+    """
+    from gaugeworks.sources.shared import settle
 
-def resume(calls: DataFrame, provider: Provider, system: str, schema: Mapping, path: str, label: str = "") -> DataFrame:
-    """Asks what the memo at `path` lacks, appends the answers to it as JSON lines, and returns all calls with their answers. After an interruption only what is missing is asked."""
+    spark = calls.sparkSession
+    memo = _memo_at(spark, path)
+    todo = to_call(calls.select("key", "message").dropDuplicates(["key"]), memo)
+    many = getattr(provider, "answers", None) is not None
+    width = at_once * (size if many else 1)
+    n = max(1, -(-todo.count() // width))
+    todo = settle(todo.withColumn("slice", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")))
+    failed = None
+    for k in range(n):
+        got = settle(ask(todo.filter(F.col("slice") == k), provider, system, schema, at_once, size))
+        seq = F.lit(time.time_ns())
+        good = got.filter("payload IS NOT NULL").select("key", F.lit(label).alias("label"), "payload", F.lit(None).cast("string").alias("meta"), seq.alias("seq"))
+        good.write.mode("append").json(path)
+        bad = got.filter("payload IS NULL").select("key", "error")
+        failed = bad if failed is None else failed.unionByName(bad)
+    return answered(calls, _memo_at(spark, path)).join(failed, "key", "left")
+
+
+def _memo_at(spark: SparkSession, path: str) -> DataFrame:
+    """The memo, or an empty one where nothing stands yet."""
     from pyspark.errors import AnalysisException
 
     from gaugeworks.sources import readers
 
-    spark = calls.sparkSession
     try:
-        memo = readers.memo(spark, path)
-    except AnalysisException:  # no memo yet
-        memo = spark.createDataFrame([], readers.MEMO + ", ord long")
-    answers = ask(to_call(calls, memo), provider, system, schema)
-    answers.select("key", F.lit(label).alias("label"), "payload", F.lit(None).cast("string").alias("meta")).write.mode("append").json(path)
-    return answered(calls, readers.memo(spark, path))
+        return readers.memo(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "key string, label string, payload string, meta string, ord long")
 
 
 def failures(errors: DataFrame) -> DataFrame:
@@ -154,16 +191,23 @@ def validate_labels(labels: DataFrame, questions: DataFrame, sections: DataFrame
     The first reason counts: the concept is not among the exercise's kept sections; its quote has too few words; the quote is not literally in the question's
     text; the concept is already kept for the question. labels: question_id, ord, concept_id, quote; questions: question_id, exercise_id, text;
     sections: exercise_id, section_id. Labels of unknown questions are ignored.
+
+    `ord` is a label's number in its question. A question's quotes go to its text in rows of at most QUOTES_AT_ONCE of them; there the text's form is made once and all quotes are looked for in it.
+    What comes back has no text. Only the forms of quotes that the earlier reasons left are made.
     """
-    q = questions.select("question_id", "exercise_id", literal_form(F.col("text")).alias("form"))
-    x = labels.join(q, "question_id").withColumn("section_id", F.substring_index("concept_id", ".", 1))
-    x = x.join(sections.select("exercise_id", "section_id", F.lit(True).alias("chosen")).distinct(), ["exercise_id", "section_id"], "left")
-    reason = (
-        F.when(F.col("chosen").isNull(), "not_selected")
-        .when(word_count(F.coalesce("quote", F.lit(""))) < least_words, "too_short")
-        .when(~F.contains("form", literal_form(F.col("quote"))), "not_literal")
+    q = questions.select("question_id", "exercise_id", "text")
+    known = labels.join(q.select("question_id", "exercise_id"), "question_id").withColumn("section_id", F.substring_index("concept_id", ".", 1))
+    x = known.join(sections.select("exercise_id", "section_id", F.lit(True).alias("chosen")).distinct(), ["exercise_id", "section_id"], "left")
+    early = F.when(F.col("chosen").isNull(), "not_selected").when(word_count(F.coalesce("quote", F.lit(""))) < least_words, "too_short")
+    x = x.select("question_id", "ord", "concept_id", "quote", early.alias("reason"))
+    asked = F.struct("ord", "concept_id", "quote", "reason", F.when(F.col("reason").isNull(), literal_form(F.col("quote"))).alias("form"))
+    rows = x.withColumn("asked", asked).groupBy("question_id", F.floor(F.col("ord") / QUOTES_AT_ONCE).alias("part")).agg(F.collect_list("asked").alias("asked"))
+    texts = q.select("question_id", "text").join(rows, "question_id")
+    here = let(
+        F.struct(F.when(F.exists("asked", lambda a: a["form"].isNotNull()), literal_form(F.col("text"))).alias("text"), F.col("asked").alias("asked")),
+        lambda z: F.transform(z["asked"], lambda a: F.struct(a["ord"].alias("ord"), a["concept_id"].alias("concept_id"), a["quote"].alias("quote"), F.when(a["form"].isNotNull() & ~F.contains(z["text"], a["form"]), "not_literal").otherwise(a["reason"]).alias("reason"))),
     )
-    x = x.withColumn("reason", reason)
+    x = texts.select("question_id", F.inline(here))
     nth = F.row_number().over(W.partitionBy("question_id", "concept_id", F.col("reason").isNull()).orderBy("ord"))
     x = x.withColumn("reason", F.when(F.col("reason").isNull() & (nth > 1), "repeated").otherwise(F.col("reason")))
     columns = ["question_id", "ord", "concept_id", "quote"]

@@ -1,7 +1,8 @@
 """Similarity of concepts, one-to-one greedy matching, re-pointing of unresolved references.
 
-One side is a stated, bounded set (a gold set or the unresolved references, at most MOST_ASKED). Its rows travel with the tasks that scan the other
-side; pairs under the threshold never leave a task. No join multiplies rows.
+Similar pairs come from exact set joins, both sides being tables of any size. A ratio of `least` needs that many equal letters, so the letters of two texts, each with
+its number among its like (the second e is another than the first), are sets with a Dice similarity of `least` or more; words of slugs have a Jaccard similarity.
+Two such sets share one of their rarest members: only the texts that do so meet, and lengths and places rule most of those out (prefix filter). What is left is verified.
 """
 
 from __future__ import annotations
@@ -10,18 +11,20 @@ import difflib
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeworks.functions.text import exact_round
-from gaugeworks.sources.shared import settle
+from gaugeworks.operators.components import components
+from gaugeworks.sources.shared import written
 
 THRESHOLD = 0.70
-MOST_ASKED = 20_000
+#: Pairs that one task matches.
+MOST_PAIRS = 200_000
 
 
 def label_form(text: str | None) -> str:
@@ -46,48 +49,152 @@ def similarity(label_a: str, id_a: str, label_b: str, id_b: str, least: float =
     return best if best >= least else 0.0
 
 
+@F.pandas_udf(T.StringType())
+def _form(label: pd.Series) -> pd.Series:
+    return label.map(label_form)
+
+
+def letters(text: Column) -> Column:
+    """The letters of a text, each with its number among its like; one empty member for an empty text."""
+    each = F.filter(F.split(text, ""), lambda c: c != "")
+    numbered = F.zip_with(F.array_sort(each), F.sequence(F.lit(1), F.greatest(F.size(each), F.lit(1))), lambda c, k: F.struct(c.alias("c"), k.alias("k")))
+    first = lambda x: F.array_position(F.array_sort(each), x["c"]).cast("int")
+    return F.when(F.size(each) == 0, F.array(F.lit(""))).otherwise(F.transform(numbered, lambda x: F.concat(x["c"], (x["k"] - first(x)).cast("string"))))
+
+
+def overlapping(left: DataFrame, right: DataFrame, least: float, dice: bool = False) -> DataFrame:
+    """left_id, right_id, score of all pairs of sets whose Jaccard (or Dice) similarity is at least `least`. Both sides: id, members (array of strings, not empty, without repeats).
+
+    Members are ordered by how rare they are on both sides. Sets of n and m members that are similar enough share o(n, m) of them, so one at least of the first n - o + 1 of each, o being least for the shortest
+    partner allowed. A pair is met at the first member that both have, and only there.
+    """
+    if not 0 < least <= 1:
+        raise ValueError("a similarity join needs a least similarity over 0, up to 1")
+    lower = least / (2 - least) if dice else least
+    share = least / 2 if dice else least / (1 + least)
+    sides = [written(x.select("id", "members"), "sets") for x in (left, right)]
+    counts = sides[0].unionByName(sides[1]).select(F.explode("members").alias("member")).groupBy("member").agg(F.count(F.lit(1)).alias("n"))
+    counts = written(counts, "members")
+
+    def postings(x: DataFrame, side: str) -> DataFrame:
+        own = x.select("id", F.explode("members").alias("member")).join(counts, "member").groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "member"))), lambda m: m["member"]).alias("members"))
+        n = F.size("members")
+        first = F.slice("members", F.lit(1), (n - F.ceil(n * lower - 1e-9) + 1).cast("int"))
+        return own.select(F.col("id").alias(f"{side}_id"), F.col("members").alias(f"{side}_members"), n.alias(f"{side}_n"), F.posexplode(first).alias(f"{side}_at", "member"))
+
+    x = postings(sides[0], "left").join(postings(sides[1], "right"), "member")
+    n, m = F.col("left_n"), F.col("right_n")
+    needed = F.ceil((n + m) * share - 1e-9)
+    possible = 1 + F.least(n - 1 - F.col("left_at"), m - 1 - F.col("right_at"))
+    x = x.filter((F.least(n, m) >= F.greatest(n, m) * lower - 1e-9) & (possible >= needed))
+    x = x.withColumn("both", F.array_intersect("left_members", "right_members")).filter((F.size("both") >= needed) & (F.element_at("both", 1) == F.col("member")))
+    both = F.size("both")
+    score = 2 * both / (n + m) if dice else both / (n + m - both)
+    return x.select("left_id", "right_id", score.alias("score")).filter(F.col("score") >= least)
+
+
+def common_length(a: str, b: str) -> int:
+    """Length of the longest common subsequence, a bit for each letter of a."""
+    at: dict[str, int] = {}
+    for k, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << k
+    whole = (1 << len(a)) - 1
+    v = whole
+    for c in b:
+        u = v & at.get(c, 0)
+        v = (v + u | v - u) & whole
+    return len(a) - v.bit_count()
+
+
+def _similar_texts(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """left_id, right_id of the texts (column id) whose ratio is at least `least`: candidates by letters, then by their longest common subsequence, then the ratio itself."""
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = difflib.SequenceMatcher(None)
+        for x in batches:
+            keep = []
+            for a, b in zip(x["left_id"], x["right_id"], strict=True):
+                ok = a == b or 2 * common_length(a, b) >= least * (len(a) + len(b)) - 1e-9
+                if ok and a != b:
+                    if m.b != b:
+                        m.set_seq2(b)
+                    m.set_seq1(a)
+                    ok = m.ratio() >= least
+                keep.append(ok)
+            yield x[keep]
+
+    sets = [x.select("id", letters(F.col("id")).alias("members")) for x in (left, right)]
+    found = overlapping(*sets, least, dice=True).select("left_id", "right_id")
+    return found.repartition("right_id", "left_id").sortWithinPartitions("right_id").mapInPandas(check, "left_id string, right_id string")
+
+
 def similar_pairs(asked: DataFrame, rows: DataFrame, least: float = THRESHOLD) -> DataFrame:
-    """asked_id, row_id, score of all pairs with at least that similarity. Both sides: id, label. The asked side leads."""
-    parts, pairs = [], []
-    for r in asked.select("id", "label").toLocalIterator():
-        pairs.append((r["id"], r["label"]))
-        if len(pairs) == MOST_ASKED:
-            parts.append(_similar_to(pairs, rows, least))
-            pairs = []
-    if pairs or not parts:
-        parts.append(_similar_to(pairs, rows, least))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _similar_to(pairs: list[tuple[str, str]], rows: DataFrame, least: float) -> DataFrame:
-    """similar_pairs() for one part of the asked side, at most MOST_ASKED rows."""
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """asked_id, row_id, score of all pairs with at least that similarity (over 0). Both sides: id, label. The asked side leads. Rows without an id are ignored, a null label is empty; of an id's several labels the most similar counts."""
+    slug = F.when(F.contains(F.col("id"), F.lit(".")), F.substring("id", F.position(F.lit("."), F.col("id")) + 1, F.length("id"))).otherwise(F.col("id"))
+    sides = [
+        written(x.select(F.col("id").cast("string").alias("id"), F.coalesce(F.col("label").cast("string"), F.lit("")).alias("label")).filter("id IS NOT NULL").distinct().select("id", "label", _form("label").alias("form"), slug.alias("slug")), "names")
+        for x in (asked, rows)
+    ]
+    texts = lambda c: [x.select(F.col(c).alias("id")).distinct() for x in sides]
+    words = [x.withColumn("members", F.array_distinct(F.split("id", "_"))) for x in texts("slug")]
+    met = [("form", _similar_texts(*texts("form"), least)), ("slug", _similar_texts(*texts("slug"), least)), ("slug", overlapping(*words, least))]
+    pairs = None
+    for c, values in met:
+        ids = [x.select("id", "label", F.col(c).alias(f"{side}_id")).withColumnsRenamed({"id": f"{side}", "label": f"{side}_label"}) for x, side in zip(sides, ("left", "right"), strict=True)]
+        own = written(values.select("left_id", "right_id"), "texts").join(ids[0], "left_id").join(ids[1], "right_id").select("left", "left_label", "right", "right_label")
+        pairs = own if pairs is None else pairs.unionByName(own)
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
-            out = []
-            for i, label in zip(x["id"], x["label"], strict=True):
-                for a, a_label in pairs:
-                    score = similarity(a_label or "", a, label or "", i, least)
-                    if score >= least:
-                        out.append((a, i, score))
-            yield pd.DataFrame(out, columns=["asked_id", "row_id", "score"])
-
-    return rows.select("id", "label").mapInPandas(scan, "asked_id string, row_id string, score double")
-
-
-def greedy(pairs: DataFrame) -> DataFrame:
-    """One-to-one matches in the order (score down, asked_id, row_id): in each round the pairs that are first for both their sides, which equals taking pairs one by one."""
-    left = settle(pairs.select("asked_id", "row_id", "score"))
-    out = None
-    while True:  # each round takes the best pair that is left at least
-        order = (F.col("score").desc(), F.col("asked_id"), F.col("row_id"))
-        first = left.withColumn("a", F.row_number().over(W.partitionBy("asked_id").orderBy(*order))).withColumn("b", F.row_number().over(W.partitionBy("row_id").orderBy(*order)))
-        taken = settle(first.filter("a = 1 AND b = 1").select("asked_id", "row_id", "score"))
-        if taken.isEmpty():
+            rows = [(a, b, similarity(a_label, a, b_label, b, least)) for a, a_label, b, b_label in zip(x["left"], x["left_label"], x["right"], x["right_label"], strict=True)]
+            yield pd.DataFrame(rows, columns=["asked_id", "row_id", "score"])
+
+    return pairs.distinct().mapInPandas(score, "asked_id string, row_id string, score double").groupBy("asked_id", "row_id").agg(F.max("score").alias("score"))
+
+
+def _one_by_one(pairs: pd.DataFrame) -> pd.DataFrame:
+    """The pairs that stand when taken in order, each taking both its sides."""
+    asked, rows, keep = set(), set(), []
+    x = pairs.sort_values(["score", "asked_id", "row_id"], ascending=[False, True, True])
+    for a, b in zip(x["asked_id"], x["row_id"], strict=True):
+        keep.append(a not in asked and b not in rows)
+        if keep[-1]:
+            asked.add(a)
+            rows.add(b)
+    return x.loc[keep, ["asked_id", "row_id", "score"]]
+
+
+def greedy(pairs: DataFrame, most: int | None = None) -> DataFrame:
+    """One-to-one matches in the order (score down, asked_id, row_id).
+
+    Pairs that share no side with others, however far, don't touch each other: each component is matched by one task in one sorted pass, and up to `most` pairs (MOST_PAIRS) in
+    all need no components. A component of more pairs gives up those that are first for both their sides, which equals taking pairs one by one, until what is left falls apart.
+    """
+    most = MOST_PAIRS if most is None else most
+    kinds = "asked_id {}, row_id {}, score double".format(*[pairs.schema[c].dataType.simpleString() for c in ("asked_id", "row_id")])
+    left = written(pairs.select("asked_id", "row_id", F.col("score").cast("double").alias("score")).filter("asked_id IS NOT NULL AND row_id IS NOT NULL"), "pairs")
+    out = []
+    while n := left.count():
+        if n <= most:
+            out.append(left.groupBy().applyInPandas(_one_by_one, kinds))
             break
-        out = taken if out is None else out.unionByName(taken)
-        left = settle(left.join(taken.select("asked_id"), "asked_id", "left_anti").join(taken.select("row_id"), "row_id", "left_anti"))
-    return pairs.select("asked_id", "row_id", "score").limit(0) if out is None else out
+        a, b = F.concat(F.lit("a"), F.col("asked_id").cast("string")), F.concat(F.lit("b"), F.col("row_id").cast("string"))
+        roots = components(left.select(a.alias("a"), b.alias("b")))
+        named = written(left.withColumn("node", a).join(roots, "node").select("asked_id", "row_id", "score", "root"), "pairs")
+        sizes = named.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+        large = written(sizes.filter(F.col("n") > most).select("root"), "large")
+        out.append(written(named.join(large, "root", "left_anti").groupBy("root").applyInPandas(_one_by_one, kinds), "matches"))
+        left = named.join(large, "root", "left_semi").select("asked_id", "row_id", "score")
+        if not left.isEmpty():
+            order = (F.col("score").desc(), F.col("asked_id"), F.col("row_id"))
+            first = left.withColumn("a", F.row_number().over(W.partitionBy("asked_id").orderBy(*order))).withColumn("b", F.row_number().over(W.partitionBy("row_id").orderBy(*order)))
+            out.append(written(first.filter("a = 1 AND b = 1").select("asked_id", "row_id", "score"), "matches"))
+            left = left.join(out[-1].select("asked_id"), "asked_id", "left_anti").join(out[-1].select("row_id"), "row_id", "left_anti")
+        left = written(left, "pairs")
+    found = pairs.select("asked_id", "row_id", F.col("score").cast("double").alias("score")).limit(0)
+    for x in out:
+        found = found.unionByName(x)
+    return found
 
 
 def match_gold(gold: DataFrame, concepts: DataFrame, least: float = THRESHOLD) -> DataFrame:

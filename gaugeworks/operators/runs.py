@@ -17,12 +17,12 @@ OTHER = "autre"
 def flatten(run: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(questions, labels) of runs as readers.runs gives them.
 
-    Exercises that share an id stay apart as id, id~2, ... in order of appearance over all runs given; a question's
+    Exercises that share an id stay apart as id, id~2, ... in order of appearance over all runs given: by run, then by the place
+    `at` of the row (any type that can be ordered). A question's
     id is its exercise's with its ordinal. Attributes of the exercise travel with its questions, so there is no join.
     """
-    seen = run.withColumn("__at", F.monotonically_increasing_id())
-    nth = F.row_number().over(W.partitionBy("exercise_id").orderBy("run", "__at"))
-    e = seen.withColumn("exercise_id", ranked_id(F.col("exercise_id"), nth))
+    nth = F.row_number().over(W.partitionBy("exercise_id").orderBy("run", "at"))
+    e = run.withColumn("exercise_id", ranked_id(F.col("exercise_id"), nth))
     q = e.select("exercise_id", "file", "track", F.posexplode("questions").alias("i", "q")).select(
         F.concat_ws("#", "exercise_id", F.col("i").cast("string")).alias("question_id"), "exercise_id", "file", "track", "q.status", "q.reason", "q.language",
         F.coalesce("q.figure_missing", F.lit(False)).alias("figure_missing"), year_text(F.coalesce("file", "exercise_id")).alias("year"),

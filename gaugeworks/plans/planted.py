@@ -3,14 +3,18 @@ so that SQL can say from the same tables what must come out."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import text as tx
-from gaugeworks.operators import catalogue, decisions, labelling, papers, probes, records, rules, syllabus
+from gaugeworks.operators import catalogue, decisions, labelling, matching, papers, probes, records, rules, runs, syllabus
 from gaugeworks.plans import fixtures as fx
 from gaugeworks.plans.queries import CORPUS_SQL, PROBES, query
+from gaugeworks.sources import readers
+from gaugeworks.sources.shared import shared_folder
 
 
 def _papers(spark: SparkSession, d: str) -> DataFrame:
@@ -341,3 +345,61 @@ def probe_files(spark: SparkSession, d: str) -> DataFrame:
     """The first excerpts by probe and file, of a probe chosen by a part of its name."""
     found = probes.attest(fx.table(spark, d, "documents"), probes.named(PROBES, "ai"), "source")
     return probes.first_by_file(found, 3).groupBy("probe", "origin").agg(F.count(F.lit(1)).alias("excerpts"))
+
+
+@query("""
+    WITH e AS (SELECT event_type || '-' || (user_id % 97) AS key, event_id, 40 - CAST(floor(log2(event_id + 1)) AS INT) AS file FROM events)
+    SELECT key, CAST(event_id AS VARCHAR) AS payload FROM e QUALIFY row_number() OVER (PARTITION BY key ORDER BY file DESC, event_id DESC) = 1
+""")
+def memo_files(spark: SparkSession, d: str) -> DataFrame:
+    """Events as memo files of uneven sizes, the largest first by name: of each key the last line counts, by path and place."""
+    e = fx.table(spark, d, "events").select(F.concat_ws("-", "event_type", F.col("user_id") % 97).alias("key"), F.col("event_id").cast("string").alias("payload"), "event_id", F.lpad((40 - F.floor(F.log2(F.col("event_id") + 1))).cast("string"), 2, "0").alias("file"))
+    path = f"{shared_folder(spark)}/memo-{uuid.uuid4().hex}"
+    e.repartitionByRange("file", "event_id").sortWithinPartitions("file", "event_id").drop("event_id").write.partitionBy("file").json(path)
+    return readers.memo(spark, path).select("key", "payload")
+
+
+@query("""
+    WITH o AS (SELECT o_orderkey, o_custkey % 61 AS ex, 1000000 - CAST(floor(sqrt(o_orderkey)) AS INT) AS file FROM orders),
+    n AS (SELECT *, row_number() OVER (PARTITION BY ex ORDER BY file, o_orderkey) AS nth FROM o)
+    SELECT CAST(o_orderkey AS VARCHAR) AS file, CAST(ex AS VARCHAR) || CASE WHEN nth > 1 THEN '~' || nth ELSE '' END AS exercise_id FROM n
+""")
+def run_files(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as run files of uneven sizes, each one JSON array: exercises that share an id are numbered by path, then by place in the file."""
+    o = fx.table(spark, d, "orders").select(F.lpad((1000000 - F.floor(F.sqrt("o_orderkey"))).cast("string"), 7, "0").alias("f"), "o_orderkey", (F.col("o_custkey") % 61).cast("string").alias("exercise_id"))
+    question = F.array(F.struct(F.lit("ok").alias("status")))
+    one = F.struct("o_orderkey", "exercise_id", F.col("o_orderkey").cast("string").alias("file"), question.alias("questions"))
+    path = f"{shared_folder(spark)}/runs-{uuid.uuid4().hex}"
+    o.groupBy("f").agg(F.to_json(F.array_sort(F.collect_list(one))).alias("value")).repartition("f").write.partitionBy("f").text(path)
+    q, _ = runs.flatten(readers.runs(spark, [path]))
+    return q.select("file", "exercise_id")
+
+
+@query("""
+    WITH sets AS (SELECT l_orderkey AS id, l_linestatus AS run, l_partkey AS part FROM lineitem GROUP BY ALL),
+    sizes AS (SELECT id, run, count(*) AS n FROM sets GROUP BY ALL),
+    met AS (SELECT a.id AS left_id, b.id AS right_id, count(*) AS shared FROM sets a JOIN sets b ON a.run = 'F' AND b.run = 'O' AND a.part = b.part GROUP BY ALL)
+    SELECT left_id, right_id, shared / (a.n + b.n - shared) AS score FROM met JOIN sizes a ON left_id = a.id AND a.run = 'F' JOIN sizes b ON right_id = b.id AND b.run = 'O'
+    WHERE shared / (a.n + b.n - shared) >= 0.4
+""")
+def overlapping_sets(spark: SparkSession, d: str) -> DataFrame:
+    """Questions of two runs whose sets of concepts overlap by 0.4 or more: the set join under similar_pairs."""
+    l = fx.labels(spark, d).groupBy(F.col("question_id").alias("id"), "run").agg(F.collect_set(F.col("part_id").cast("string")).alias("members"))
+    side = lambda run: l.filter(F.col("run") == run).select("id", "members")
+    return matching.overlapping(side("F"), side("O"), 0.4)
+
+
+@query("""
+    WITH q AS (SELECT DISTINCT replace(p_name, ' ', '_') AS name FROM part), g AS (SELECT 'gold.' || name AS gold_id, name FROM q),
+    c AS (SELECT CASE WHEN length(name) % 3 = 0 THEN 'gold.' ELSE 'other.' END || name AS concept_id, name FROM q WHERE length(name) % 3 < 2)
+    SELECT gold_id, coalesce(e.concept_id, o.concept_id) AS concept_id, CASE WHEN e.concept_id IS NOT NULL THEN 'exact' WHEN o.concept_id IS NOT NULL THEN 'similar' ELSE 'missing' END AS how,
+           CASE WHEN coalesce(e.concept_id, o.concept_id) IS NOT NULL THEN 1.0::DOUBLE END AS score, e.concept_id IS NULL AND o.concept_id IS NOT NULL AS other_section
+    FROM g LEFT JOIN c e ON e.concept_id = gold_id LEFT JOIN c o ON o.concept_id = 'other.' || g.name
+""")
+def gold_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Names of parts as the gold set against a catalogue that files a third of them elsewhere and lacks a third: exact ids first, then one to one by similarity; a name found elsewhere has the same slug, so no other comes first."""
+    p = fx.table(spark, d, "part").select(F.replace("p_name", F.lit(" "), F.lit("_")).alias("name")).distinct()
+    p = p.select("name", (F.length("name") % 3).alias("third"), F.when(F.length("name") % 3 == 0, "gold").otherwise("other").alias("section"))
+    gold = p.select(F.concat(F.lit("gold."), "name").alias("id"), F.col("name").alias("label"), F.lit("gold").alias("section"))
+    mine = p.filter("third < 2").select(F.concat_ws(".", "section", "name").alias("id"), F.col("name").alias("label"), "section")
+    return matching.match_gold(gold, mine).select("gold_id", "concept_id", "how", "score", "other_section")

@@ -17,7 +17,18 @@ EXERCISE = f"struct<id:string,title:string,level:int,track:string,preamble:strin
 CORPUS = f"doc_file string, fingerprint string, track string, level int, header string, exercises array<{EXERCISE}>, source_chars int, noise_chars int, ratio double"
 LABEL = "struct<concept_id:string,quote:string>"
 RUN = f"exercise_id string, file string, track string, sections array<string>, paper_language string, questions array<struct<question_id:string,status:string,reason:string,object:string,language:string,figure_missing:boolean,labels:array<{LABEL}>>>, tokens map<string,bigint>"
-MEMO = "key string, label string, payload string, meta string"
+MEMO = "key string, label string, payload string, meta string, seq long"
+#: Where a row stands among the rows of all files: rows compare by path, then by place in the file.
+PLACE = "struct<path:string,block:long,row:long>"
+
+
+def placed(scan: DataFrame, name: str) -> DataFrame:
+    """Rows of a file reader with their place, whatever the files' sizes and the order in which Spark reads them.
+
+    Row numbers ascend within a part of a file, as one task reads it from its start; parts are told apart by where they begin.
+    """
+    place = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return scan.withColumn(name, place)
 
 
 def papers(spark: SparkSession, path: str, glob: str = "*.md") -> DataFrame:
@@ -31,10 +42,10 @@ def corpus(spark: SparkSession, path: str) -> DataFrame:
 
 
 def runs(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Answers of several runs, each with its ordinal."""
+    """Answers of several runs, each with its ordinal, and `at`, the exercise's place in its run: files by path, then as they stand in the file."""
     out = None
     for k, p in enumerate(paths):
-        one = spark.read.schema(RUN).json(p, multiLine=True).withColumn("run", F.lit(k))
+        one = placed(spark.read.schema(RUN).json(p, multiLine=True), "at").withColumn("run", F.lit(k))
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -68,11 +79,11 @@ def catalogue(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def memo(spark: SparkSession, path: str) -> DataFrame:
-    """Call memo in JSON lines: cut lines drop out, the last line of a key counts."""
+    """Call memo in JSON lines: cut lines drop out, the last line of a key counts. Lines with a sequence number come after those without, in its order; others go by path, then by place in the file."""
     from gaugeworks.operators.labelling import latest
 
-    rows = spark.read.schema(MEMO).option("mode", "DROPMALFORMED").json(path).filter("key IS NOT NULL")
-    return latest(rows.withColumn("ord", F.monotonically_increasing_id()))
+    rows = placed(spark.read.schema(MEMO).option("mode", "DROPMALFORMED").json(path, recursiveFileLookup=True), "at").filter("key IS NOT NULL")
+    return latest(rows.select("key", "label", "payload", "meta", F.struct(F.coalesce("seq", F.lit(-1)).alias("seq"), "at").alias("ord")))
 
 
 def exclusions(spark: SparkSession, path: str | None) -> DataFrame:

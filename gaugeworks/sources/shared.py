@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir. Only where it is unset (tests on one machine) a new one is made."""
+    """The folder that the driver and all executors see: spark.checkpoint.dir. Only where that is unset and Spark runs on one machine, as in tests, a new one is made."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors see")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -22,3 +25,10 @@ def settle(df: DataFrame) -> DataFrame:
     """df, computed once and kept in the shared folder, so that what follows starts from there."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder. For loops: what is read back knows nothing of how it was made, where a checkpoint hands on what the optimizer knew, which grows from round to round."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -72,6 +72,92 @@ def test_calls_go_in_slices_and_only_once(spark, tmp_path):
     assert max(sizes) == labelling.SLICE and len(sizes) == 40
 
 
+def test_a_failing_call_costs_its_own_answer_only(spark, tmp_path):
+    class Failing:
+        def answer(self, system, message, schema):
+            if message == "m7":
+                raise RuntimeError("refused")
+            return {"said": message}
+
+    path = str(tmp_path / "memo")
+    calls = spark.createDataFrame([(f"k{i}", f"m{i}") for i in range(40)], "key string, message string")
+    got = {r.key: r for r in labelling.resume(calls, Failing(), "s", {}, path).collect()}
+    assert len(got) == 40 and got["k7"].payload is None and got["k7"].error == "RuntimeError: refused"
+    assert all(json.loads(r.payload)["said"] == r.message and r.error is None for k, r in got.items() if k != "k7")
+
+    class Rest:
+        def answer(self, system, message, schema):
+            if message != "m7":
+                raise RuntimeError("asked again")
+            return {"said": "at last"}
+
+    again = {r.key: r for r in labelling.resume(calls, Rest(), "s", {}, path).collect()}
+    assert json.loads(again["k7"].payload) == {"said": "at last"} and all(r.payload and r.error is None for r in again.values())
+
+
+def test_a_job_that_ends_loses_one_slice_at_most(spark, tmp_path):
+    class Ending:
+        """Ends its task, as a lost executor does."""
+
+        def answer(self, system, message, schema):
+            if message == "m7":
+                raise KeyboardInterrupt
+            return {"said": message}
+
+    path = str(tmp_path / "memo")
+    calls = spark.createDataFrame([(f"k{i}", f"m{i}") for i in range(40)], "key string, message string")
+    with pytest.raises(Exception, match="KeyboardInterrupt"):
+        labelling.resume(calls, Ending(), "s", {}, path, at_once=4)
+    kept = {r.key for r in labelling._memo_at(spark, path).collect()}
+    slices = calls.selectExpr("key", "pmod(xxhash64(key), 10) AS slice").collect()
+    at = {r.key: r.slice for r in slices}
+    assert kept == {k for k, s in at.items() if s < at["k7"]}
+
+    class Counting:
+        def answer(self, system, message, schema):
+            if f"k{message[1:]}" in kept:
+                raise RuntimeError("asked again")
+            return {"said": message}
+
+    got = labelling.resume(calls, Counting(), "s", {}, path, at_once=4).collect()
+    assert len(got) == 40 and all(r.error is None and json.loads(r.payload)["said"] == r.message for r in got)
+
+
+def test_many_quotes_of_one_question(spark):
+    """Against Python, where one question holds most labels and quotes carry markup, signs and repeats."""
+    r = random.Random(4)
+    words = ["alpha", "β", "x", "≤", "**bold**", "tri", "É", "—", "`code`", "pile"]
+    text = {q: " ".join(r.choice(words) for _ in range(40)) for q in range(6)}
+    rows = []
+    for q in range(6):
+        for k in range(900 if q == 0 else 12):
+            w = text[q].split()
+            at = r.randrange(30)
+            quote = " ".join(w[at : at + r.randrange(3, 9)])
+            rows.append((q, k, r.choice(["s.a", "s.b", "t.c", "u.d"]) + str(r.randrange(90)), quote if r.random() < 0.7 else quote + " absent", ))
+    rows += [(0, 900, "s.a1", None), (99, 0, "s.a", "unknown question here it is")]
+    labels = spark.createDataFrame(rows, "question_id long, ord int, concept_id string, quote string")
+    questions = spark.createDataFrame([(q, q % 2, t) for q, t in text.items()], "question_id long, exercise_id long, text string")
+    sections = spark.createDataFrame([(0, "s"), (0, "t"), (1, "s")], "exercise_id long, section_id string")
+    kept, out = labelling.validate_labels(labels, questions, sections)
+    got = {(x.question_id, x.ord): "kept" for x in kept.collect()} | {(x.question_id, x.ord): x.reason for x in out.collect()}
+    plain = lambda t: "".join((t or "").replace("**", "").replace("`", "").replace("β", "beta").replace("≤", "<=").replace("—", "-").split()).lower()
+    want, seen = {}, set()
+    for q, k, c, quote in rows:
+        if q == 99:
+            continue
+        if c.split(".")[0] not in {0: ("s", "t"), 1: ("s",)}[q % 2]:
+            want[q, k] = "not_selected"
+        elif len((quote or "").split()) < labelling.LEAST_WORDS:
+            want[q, k] = "too_short"
+        elif plain(quote) not in plain(text[q]):
+            want[q, k] = "not_literal"
+        else:
+            want[q, k] = "repeated" if (q, c) in seen else "kept"
+            seen.add((q, c))
+    assert got == want and len(set(want.values())) == 5
+
+
 def test_a_catalogue_is_written_with_refusals_and_anomalies(spark, tmp_path):
     concepts = spark.createDataFrame([("a.x", "a", "x"), ("a.y", "a", "y"), ("b.z", "b", "z")], "concept_id string, section_id string, slug string")
     refused = spark.createDataFrame([("u", "why")], "unit_id string, reason string")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions import text as tx
 from gaugeworks.operators import asof, catalogue, compare, dedup, labelling, matching, measures, probes, quotes, records, rules
+from gaugeworks.operators.components import components
 
 
 def test_rule_order_repairs_and_fatal(spark):
@@ -85,6 +86,85 @@ def test_greedy_equals_one_by_one(spark):
         assert {x.asked_id: x.row_id for x in matching.greedy(df).collect()} == want
 
 
+@pytest.mark.parametrize("most", [200_000, 3])
+def test_greedy_over_components(spark, monkeypatch, most):
+    """A long chain of falling scores, and pieces; also where a task takes three pairs at most and the rest falls apart round by round."""
+    r = random.Random(2)
+    n = 10_000 if most > 3 else 12
+    chain = [(f"c{(k + 1) // 2:05}", f"d{k // 2:05}", 1 - k / (2 * n)) for k in range(n)]
+    pieces = list({(f"a{(i := r.randrange(30))}", f"b{i // 3 * 3 + r.randrange(3)}"): r.choice([0.7, 0.8, 0.9]) for _ in range(70)}.items())
+    rows = chain + [(a, b, s) for (a, b), s in pieces]
+    want, used = {}, set()
+    for a, b, _ in sorted(rows, key=lambda x: (-x[2], x[0], x[1])):
+        if a not in want and b not in used:
+            want[a] = b
+            used.add(b)
+    got = matching.greedy(spark.createDataFrame(rows, "asked_id string, row_id string, score double"), most)
+    assert {x.asked_id: x.row_id for x in got.collect()} == want and got.count() == len(want)
+
+
+def test_components_equal_a_search(spark):
+    r = random.Random(3)
+    edges = [(r.randrange(120), r.randrange(120)) for _ in range(70)] + [(200 + k, 201 + k) for k in range(60)] + [(400, k) for k in range(300, 340)] + [(500, 500)]
+    root = {x: x for e in edges for x in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            m = min(root[a], root[b])
+            changed |= root[a] != m or root[b] != m
+            root[a] = root[b] = m
+    got = components(spark.createDataFrame(edges, "a long, b long"))
+    assert {x.node: x.root for x in got.collect()} == root
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("dice", [False, True])
+@pytest.mark.parametrize("least", [0.3, 0.7, 1.0])
+def test_overlapping_sets_equal_all_pairs(spark, dice, least):
+    r = random.Random(5)
+    make = lambda side, n: [(f"{side}{k}", sorted({f"m{int(r.random() ** 3 * 40)}" for _ in range(r.randrange(1, 12))})) for k in range(n)]
+    left, right = make("l", 80), make("r", 90)
+    score = lambda a, b: 2 * len(a & b) / (len(a) + len(b)) if dice else len(a & b) / len(a | b)
+    want = {(i, j): score(set(a), set(b)) for i, a in left for j, b in right if score(set(a), set(b)) >= least}
+    df = lambda rows: spark.createDataFrame(rows, "id string, members array<string>")
+    assert {(x.left_id, x.right_id): x.score for x in matching.overlapping(df(left), df(right), least, dice).collect()} == want
+
+
+def test_common_length_bounds_the_ratio():
+    r = random.Random(7)
+    for _ in range(500):
+        a, b = ("".join(r.choice("abcd") for _ in range(r.randrange(12))) for _ in range(2))
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        assert matching.common_length(a, b) == table[-1][-1]
+        assert difflib.SequenceMatcher(None, a, b).ratio() * (len(a) + len(b)) <= 2 * table[-1][-1] + 1e-9
+
+
+@pytest.mark.parametrize("least", [0.5, 0.7])
+def test_similar_pairs_equal_all_pairs(spark, least):
+    r = random.Random(6)
+    words = "prouver par induction structurelle une équivalence écrire un programme récursif parcourir le graphe arbre é 😀 tri".split()
+    def side(name, n):  # noqa: E301
+        out = [(f"{name}.{'_'.join(r.choice(words) for _ in range(r.randrange(1, 5)))}{k % 7}", " ".join(r.choice(words) for _ in range(r.randrange(1, 6))).capitalize()) for k in range(n)]
+        return out + [(f"{name}.", None), (f"{name}", ""), ("same_id", "Same"), (f"{name}.z", "!!"), (f"{name}.z", "Par le graphe")]
+
+    asked, rows = side("gold", 120), side("mine", 150)
+    want = {}
+    for a, la in asked:
+        for b, lb in rows:
+            s = matching.similarity(la or "", a, lb or "", b)
+            if s >= least:
+                want[a, b] = max(s, want.get((a, b), 0))
+    df = lambda x: spark.createDataFrame(x + x[:3] + [(None, "no id")], "id string, label string").selectExpr("*", "1 AS left", "'x' AS form")
+    got = {(x.asked_id, x.row_id): x.score for x in matching.similar_pairs(df(asked), df(rows), least).collect()}
+    assert got == want and len(want) > 100
+    none = spark.createDataFrame([], "id string, label string")
+    assert matching.similar_pairs(none, df(rows), least).count() == 0 and matching.similar_pairs(df(asked), none, least).count() == 0
+
+
 def test_similarity_and_gold(spark):
     assert matching.similarity("Prouver par induction", "l.induction", "Prouver par l'induction", "l.prouver_induction") == max(
         difflib.SequenceMatcher(None, "prouver par induction", "prouver par l induction").ratio(), difflib.SequenceMatcher(None, "induction", "prouver_induction").ratio(), 0.5

@@ -78,3 +78,32 @@ def test_arrivals_come_once(spark, tmp_path):
     seen = spark.createDataFrame([(got.first().fingerprint,)], "fingerprint string")
     assert arrivals.unseen(got, seen, "fingerprint").count() == 2
     assert arrivals.unseen(got.withColumn("x", F.lit(1)), seen, "fingerprint").columns[-1] == "x"
+
+
+def test_the_last_line_wins_whatever_the_files_sizes(spark, tmp_path):
+    """Spark reads large files first; the order is that of paths and places, and of sequence numbers where lines have them."""
+    line = lambda key, payload, **more: json.dumps({"key": key, "label": "l", "payload": payload, **more})
+    folder = tmp_path / "memo"
+    folder.mkdir()
+    (folder / "a.json").write_text(line("k", "old") + "\n" + line("s", "numbered", seq=5) + "\n")
+    (folder / "b.json").write_text("\n".join([line("k", "older"), *[line(f"f{i}", "x" * 500) for i in range(300)], line("k", "new"), line("s", "plain"), '{"key": "k", "payl']))
+    (folder / "c.json").write_text(line("f1", "small and last"))
+    got = {r.key: r.payload for r in readers.memo(spark, str(folder)).collect()}
+    assert got["k"] == "new" and got["s"] == "numbered" and got["f1"] == "small and last" and len(got) == 302
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")  # parts of one file are read by several tasks
+    try:
+        assert {r.key: r.payload for r in readers.memo(spark, str(folder)).collect()} == got
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_repeated_exercises_are_numbered_by_path(spark, tmp_path):
+    """a.json is small and comes first, b.json is large; two exercises of one file keep their order."""
+    from gaugeworks.operators import runs
+
+    one = lambda file, text: {"exercise_id": "E", "file": file, "track": "t", "questions": [{"question_id": "E#1", "status": "ok", "reason": text}]}
+    (tmp_path / "a.json").write_text(json.dumps(one("a", "-")))
+    (tmp_path / "b.json").write_text(json.dumps([one("b1", "x" * 100000), one("b2", "-")]))
+    (tmp_path / "more.json").write_text(json.dumps(one("c", "-")))
+    q, _ = runs.flatten(readers.runs(spark, [str(tmp_path / "[ab].json"), str(tmp_path / "more.json")]))
+    assert {r.file: r.exercise_id for r in q.collect()} == {"a": "E", "b1": "E~2", "b2": "E~3", "c": "E~4"}
