@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeworks.functions.offsets import let
+
 # Markup and single symbols that two spellings of one passage may differ in.
 MARKUP = r"<[^>]{0,40}>|[\\*_`#$]|\{|\}"
 SYMBOLS = {
@@ -23,6 +25,8 @@ SYMBOLS = {
     "⇔": "<=>", "⟹": "=>", "⇒": "=>", "−": "-", "–": "-", "—": "-",
     "′": "'", "’": "'", "“": '"', "”": '"', "×": "x", "·": ".", "∈": "in",
 }
+#: Ranges that hold all these symbols: few of them, as a class of single signs takes Java ten times as long.
+SYMBOL_RANGES = "[·×\u0391-\u03c9\u2013-\u2a7e]"
 NOT_APPLICABLE = "sans_objet"
 #: Letters with marks of Latin-1 and their bare letters, for the form of folding that stays in generated code.
 MARKED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
@@ -62,17 +66,17 @@ def slug(text: Column, sep: str = "-", size: int | None = 48, default: str = "sa
 def literal_form(text: Column) -> Column:
     """Form in which a quoted passage must equal its source: no markup, one spelling of symbols, no blanks, lower case.
 
-    Signs with a name of one character are translated in one pass; the others are replaced one by one only in texts that hold any of them.
+    Markup and signs are only replaced in texts that hold any, each step's value being computed once.
     """
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), MARKUP, "")
-    single = {sign: name for sign, name in SYMBOLS.items() if len(name) == 1}
-    rest = {sign: name for sign, name in SYMBOLS.items() if len(name) > 1}
-    t = F.translate(t, "".join(single), "".join(single.values()))
-    replaced = t
-    for sign, name in rest.items():
-        replaced = F.replace(replaced, F.lit(sign), F.lit(name))
-    t = F.when(t.rlike(f"[{''.join(rest)}]"), replaced).otherwise(t)
-    return F.lower(F.regexp_replace(t, r"(?U)\s+", ""))
+
+    def spelled(t: Column) -> Column:
+        for sign, name in SYMBOLS.items():
+            t = F.replace(t, F.lit(sign), F.lit(name))
+        return t
+
+    bare = let(F.coalesce(text, F.lit("")), lambda t: F.when(t.rlike(r"[<\\*_`#${}]"), F.regexp_replace(t, MARKUP, "")).otherwise(t))
+    one = let(bare, lambda t: F.when(t.rlike(SYMBOL_RANGES), spelled(t)).otherwise(t))
+    return F.lower(F.regexp_replace(one, r"(?U)\s+", ""))
 
 
 def clean_block(text: Column) -> Column:
