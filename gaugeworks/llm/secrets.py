@@ -7,15 +7,20 @@ alphabet's middle, and the serial correlation of neighbours, joined by Fisher's
 base64 alphabets is cut into its parts in each, which may overlap; each part of 20 and more characters is tested,
 unless it lies within another.
 
-What is tested is the hypothesis that a run is ordinary writing. Its scores' distribution is learned from the corpus: every document
-gives PIECES pieces of its own text, from places by a hash, without runs that are tested themselves, projected to an alphabet (other
-symbols dropped, words joined) and cut to the least length of a length class; each goes through the same battery. A run's p-value is the share of ordinary pieces of its encoding and
+What is tested is the hypothesis that a run is ordinary writing. Its scores' distribution is learned from the corpus: every document of
+SHORT and more characters gives PIECES pieces of its own text, from places by a hash, without runs that are tested themselves, projected to an alphabet (other
+symbols dropped, words joined) and cut to the least length of a length class; each goes through the same battery. Shorter documents, which hold no
+such piece, are joined by a hash into groups of about JOINED characters, equal texts once, that give as many pieces as their documents would. In a small table each
+gives more of them, from other places, so that a class and encoding can expect NULLS pieces. A group too short for a piece is repeated; one without any
+words takes PLAIN for ordinary writing. A run's p-value is the share of ordinary pieces of its encoding and
 length class that score as high or higher. Benjamini and Hochberg's procedure, per length class as the battery gains power with
 length, reports the runs that aren't ordinary as spans of the kind `random`, so that at most the share Q of these is expected to be
-ordinary after all; they never overlap a base span. Where a class has under 1 / Q ordinary pieces nothing can be told from them, and nothing is reported.
+ordinary after all; they never overlap a base span.
 
 The procedure needs only counts by length class, encoding and fine bins of log score, a table of
-bounded size. Texts are read once and never shuffled.
+bounded size. Texts are read twice (their lengths, then the texts); only short ones are shuffled, once.
+
+Runs are tested that hold a digit or a capital behind a small letter; runs of digits alone, of one case alone and under 20 symbols are not.
 
 Defined results: null text is empty; an empty text has no spans; texts of any length are scanned whole, in time linear in their spans; repeated rows get equal
 base spans and equal scores; an empty table gives no rows; extra columns are ignored by scan() and kept by redact().
@@ -60,12 +65,21 @@ FAMILIES = (
     (BASE32, lambda t: F.regexp_replace(F.upper(t), "[^A-Z2-7]", ""), 4),
     (LOWER36, lambda t: F.regexp_replace(F.lower(t), "[^0-9a-z]", ""), 4),
     (BASE62, lambda t: F.regexp_replace(F.initcap(t), "[^0-9A-Za-z]", ""), 4),
+    (BASE64, lambda t: F.regexp_replace(F.initcap(t), "[^0-9A-Za-z]", ""), 4),
 )
+#: What a run must hold to be tested.
+TESTED = "[0-9]|[a-z][A-Z]"
 #: What is no ordinary writing in a stretch of text: its cut first and last words, and runs that are tested themselves.
 NOT_ORDINARY = "^\\S++|\\S++$|[A-Za-z0-9+/_=-]{20,}+"
-#: Pieces of each document.
-PIECES = 2
+#: Pieces of each document, and pieces that each class and encoding can expect at least.
+PIECES, NULLS = 2, 200
+CELLS = (LAST_CLASS - FIRST_CLASS + 1) * len(FAMILIES)
+#: Characters that the longest piece needs, and those of a group of shorter documents.
+SHORT = 2 ** (LAST_CLASS // 2) * max(width for _, _, width in FAMILIES)
+JOINED = 2000
 SEED = 17
+#: Ordinary writing for tables that hold none.
+PLAIN = "Most of what people write is made of words that they have read before, and a few letters come up again and again while others are seldom seen. We know what to expect after the first half of a word, and so does anyone who reads it; that is why a line of symbols drawn at random looks strange on a page. "
 
 SPANS = "array<struct<s:int,kind:int,e:int>>"
 
@@ -110,7 +124,7 @@ def alphabet_of(token: Column) -> Column:
 
 
 def family_of(alphabet: Column) -> Column:
-    return F.when(F.upper(alphabet) == HEX.upper(), 0).when(alphabet == BASE32, 1).when(F.upper(alphabet) == UPPER36, 2).otherwise(3)
+    return F.when(F.upper(alphabet) == HEX.upper(), 0).when(alphabet == BASE32, 1).when(F.upper(alphabet) == UPPER36, 2).when(alphabet == BASE62, 3).otherwise(4)
 
 
 def class_of(n: Column) -> Column:
@@ -167,7 +181,7 @@ def candidates(text: Column) -> Column:
     def tested(x: Column) -> Column:
         def of(token: Column) -> Column:
             return let(
-                F.when(token.rlike("[0-9]"), alphabet_of(token)),
+                F.when(token.rlike(TESTED), alphabet_of(token)),
                 lambda a: F.struct(x["start"].alias("s"), x["end"].alias("e"), class_of(F.length(token)).alias("cls"), family_of(a).alias("fam"), scored(token, a).alias("bin"), x["match"].alias("m")),
             )
 
@@ -181,7 +195,7 @@ def candidates(text: Column) -> Column:
         outer = running(ordered, F.lit(0), lambda end, y: F.greatest(end, -y["back"]), place, "array<struct<start:int,end:int,match:string>>")
         return F.when(x["match"].rlike(MIXED), F.filter(outer, lambda y: y["match"].isNotNull())).otherwise(F.array(x))
 
-    runs = F.flatten(F.transform(F.filter(matches(text, RUN), lambda x: x["match"].rlike("[0-9]")), parts))
+    runs = F.flatten(F.transform(F.filter(matches(text, RUN), lambda x: x["match"].rlike(TESTED)), parts))
     return F.filter(F.transform(runs, tested), lambda x: x["bin"].isNotNull())
 
 
@@ -199,8 +213,8 @@ def apart(tests: Column, base: Column) -> Column:
     return F.when((F.size(tests) > 0) & (F.size(base) > 0), F.transform(F.filter(seen, lambda y: y["free"]), lambda y: F.struct(*[y["x"][c].alias(c) for c in ("s", "e", "cls", "fam", "bin")]))).otherwise(tests)
 
 
-def ordinary(text: Column, row: Column) -> Column:
-    """Pieces of ordinary writing: length class, family and bin of the score. row: a hash that picks places, families and classes."""
+def ordinary(text: Column, row: Column, pieces: Column) -> Column:
+    """So many pieces of ordinary writing: length class, family and bin of the score. row: a hash that picks places, families and classes."""
     classes = LAST_CLASS - FIRST_CLASS + 1
 
     def piece(k: Column) -> Column:
@@ -218,23 +232,35 @@ def ordinary(text: Column, row: Column) -> Column:
             words = F.regexp_replace(F.substring(text, at + 1, width), NOT_ORDINARY, " ")
             return F.substring(FAMILIES[k][1](words), F.lit(1), x["size"])
 
-        pick = lambda f: F.when(x["fam"] == 0, f(0)).when(x["fam"] == 1, f(1)).when(x["fam"] == 2, f(2)).otherwise(f(3))
+        pick = lambda f: F.when(x["fam"] == 0, f(0)).when(x["fam"] == 1, f(1)).when(x["fam"] == 2, f(2)).when(x["fam"] == 3, f(3)).otherwise(f(4))
         alphabet = pick(lambda k: F.lit(FAMILIES[k][0]))
         return let(pick(token), lambda t: F.struct(x["cls"].alias("cls"), x["fam"].alias("fam"), F.when(F.length(t) == x["size"], scored(t, alphabet)).alias("bin")))
 
-    return F.filter(F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), piece), lambda y: y["bin"].isNotNull())
+    return F.filter(F.transform(F.sequence(F.lit(0), pieces - 1), piece), lambda y: y["bin"].isNotNull())
 
 
-def tested(docs: DataFrame, text: Column, row: Column) -> DataFrame:
-    """docs, stored once with the columns __gw_base, __gw_tests and __gw_null."""
-    out = docs.withColumn("__gw_base", base_spans(text)).withColumn("__gw_tests", placed(candidates(text))).withColumn("__gw_null", ordinary(text, row))
-    return stored(out, "secrets-tested")
+def examined(docs: DataFrame, text: Column, row: Column, keep: list[str]) -> tuple[DataFrame, DataFrame]:
+    """docs with the columns kept, __gw_base, __gw_tests and __gw_null, stored once; and the pieces of short documents' groups."""
+    short = F.length(text) < SHORT
+    r = docs.agg(F.count(F.lit(1)).alias("rows"), F.count_if(short).alias("short"), F.sum(F.when(short, F.length(text) + 1)).alias("chars")).first()
+    of_each = F.lit(max(PIECES, -(-NULLS * CELLS // max(1, r["rows"] - r["short"]))))
+    none = F.array().cast("array<struct<cls:int,fam:int,bin:int>>")
+    own = F.when(~short, ordinary(text, row, of_each)).otherwise(none)
+    x = docs.select(*keep, base_spans(text).alias("__gw_base"), placed(candidates(text)).alias("__gw_tests"), own.alias("__gw_null"))
+    groups = max(1, (r["chars"] or 0) // JOINED)
+    more = F.lit(max(-(-PIECES * r["short"] // groups), -(-NULLS * CELLS // groups)))
+    writing = F.trim(F.regexp_replace(text, "[A-Za-z0-9+/_=-]{20,}+", " "))
+    joined = docs.filter(short).select(F.pmod(row, F.lit(groups)).alias("group"), writing.alias("w")).groupBy("group").agg(F.array_join(F.array_sort(F.collect_set("w")), " ").alias("w"))
+    whole = F.when(F.trim("w") == "", F.lit(PLAIN)).otherwise(F.concat("w", F.lit(" ")))
+    filled = let(whole, lambda w: F.repeat(w, F.ceil(2 * SHORT / F.length(w)).cast("int")))
+    return stored(x, "secrets-tested"), stored(joined.select(ordinary(filled, F.xxhash64("group"), more).alias("__gw_null")), "secrets-joined")
 
 
-def limits(x: DataFrame, q: float = Q) -> dict[tuple[int, int], int]:
+def limits(x: DataFrame, joined: DataFrame, q: float = Q) -> dict[tuple[int, int], int]:
     """By length class and family, the last bin whose runs are reported. Needs the counts by class, family and bin only."""
-    count = lambda c, tests, nulls: x.select(F.explode(c).alias("x")).groupBy("x.cls", "x.fam", "x.bin").agg(F.count(F.lit(1)).alias("n")).select("cls", "fam", "bin", (F.col("n") * tests).alias("tests"), (F.col("n") * nulls).alias("nulls"))
-    cells = count("__gw_tests", 1, 0).unionByName(count("__gw_null", 0, 1)).groupBy("cls", "fam", "bin").agg(F.sum("tests").alias("tests"), F.sum("nulls").alias("nulls"))
+    count = lambda y, c, tests, nulls: y.select(F.explode(c).alias("x")).groupBy("x.cls", "x.fam", "x.bin").agg(F.count(F.lit(1)).alias("n")).select("cls", "fam", "bin", (F.col("n") * tests).alias("tests"), (F.col("n") * nulls).alias("nulls"))
+    cells = count(x, "__gw_tests", 1, 0).unionByName(count(x, "__gw_null", 0, 1)).unionByName(count(joined, "__gw_null", 0, 1))
+    cells = cells.groupBy("cls", "fam", "bin").agg(F.sum("tests").alias("tests"), F.sum("nulls").alias("nulls"))
     kind = W.partitionBy("cls", "fam")
     p = (1 + F.sum("nulls").over(kind.orderBy("bin"))) / (1 + F.sum("nulls").over(kind))
     cells = cells.withColumn("p", p)
@@ -244,13 +270,13 @@ def limits(x: DataFrame, q: float = Q) -> dict[tuple[int, int], int]:
     return {(r["cls"], r["fam"]): r["bin"] for r in passed.filter("p <= top").groupBy("cls", "fam").agg(F.max("bin").alias("bin")).collect()}
 
 
-def with_spans(x: DataFrame, q: float = Q) -> DataFrame:
-    """What tested() gave, with the column __gw_spans: base spans and reported runs by start, then kind."""
-    found = limits(x, q)
+def with_spans(x: DataFrame, joined: DataFrame, q: float = Q) -> DataFrame:
+    """What examined() gave, with the column __gw_spans: base spans and reported runs by start, then kind."""
+    found = limits(x, joined, q)
     reported = F.lit(False)
-    limit = F.create_map(*[F.lit(v) for (cls, fam), b in found.items() for v in (4 * cls + fam, b)]) if found else None
+    limit = F.create_map(*[F.lit(v) for (cls, fam), b in found.items() for v in (8 * cls + fam, b)]) if found else None
     free = apart(F.col("__gw_tests"), F.col("__gw_base"))
-    added = F.filter(free, lambda y: (y["bin"] <= F.coalesce(F.element_at(limit, 4 * y["cls"] + y["fam"]), F.lit(-1))) if limit is not None else reported)
+    added = F.filter(free, lambda y: (y["bin"] <= F.coalesce(F.element_at(limit, 8 * y["cls"] + y["fam"]), F.lit(-1))) if limit is not None else reported)
     added = F.transform(added, lambda y: F.struct(y["s"].alias("s"), F.lit(KINDS.index("random")).alias("kind"), y["e"].alias("e")))
     return x.withColumn("__gw_spans", F.array_sort(F.concat("__gw_base", added))).drop("__gw_tests", "__gw_null")
 
@@ -265,8 +291,7 @@ def scan(docs: DataFrame, q: float = Q) -> DataFrame:
     """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random."""
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # Only the places are stored, not the texts.
-    x = rows.select("doc_id", base_spans(F.col("text")).alias("__gw_base"), placed(candidates(F.col("text"))).alias("__gw_tests"), ordinary(F.col("text"), F.xxhash64("doc_id", "text")).alias("__gw_null"))
-    x = with_spans(stored(x, "secrets-tested"), q)
+    x = with_spans(*examined(rows, F.col("text"), F.xxhash64("doc_id", "text"), ["doc_id"]), q)
     number = lambda spans, kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
     return x.select(
         "doc_id",
@@ -282,7 +307,8 @@ def scan(docs: DataFrame, q: float = Q) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[SECRET]", q: float = Q) -> DataFrame:
     """docs with each stretch of overlapping spans replaced by a mark, and n_chars, if there, counted anew. Texts without spans, nulls included, stay."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    x = with_spans(tested(docs, text, F.xxhash64(text)), q)
+    row = F.xxhash64(F.col("doc_id"), text) if "doc_id" in docs.columns else F.xxhash64(text)
+    x = with_spans(*examined(docs, text, row, [F.col(f"`{c}`") for c in docs.columns]), q)
     between = running(F.col("__gw_spans"), F.lit(0), lambda end, s: F.greatest(end, s["e"]), lambda end, s: F.struct(F.when(s["s"] >= end, end).alias("start"), s["s"].alias("end")), "array<struct<start:int,end:int>>")
     pieces = cut(text, F.filter(between, lambda y: y["start"].isNotNull()))
     last = F.array_max(F.transform("__gw_spans", lambda s: s["e"]))
