@@ -1,4 +1,7 @@
-"""Regular-expression probes over text zones."""
+"""Regular-expression probes over text zones.
+
+Most patterns can't match without some literal: one automaton of all probes' literals passes over each text once, and only the probes whose literal stands in it are run.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +9,11 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeworks.functions.text import snippet
 
@@ -24,9 +29,94 @@ class Probe:
     def __post_init__(self) -> None:
         if not self.name:
             raise ValueError("a probe needs a name")
-        for p in (self.pattern, self.anti):
-            if p is not None:
-                re.compile(p)
+        if (spark := SparkSession.getActiveSession()) is not None:
+            check_patterns(spark, [self])
+
+
+def check_patterns(spark: SparkSession, probes: Sequence[Probe]) -> None:
+    """Refuses patterns that Spark can't run: they are in Java's dialect."""
+    for p in probes:
+        for pattern in (p.pattern, p.anti):
+            try:
+                if pattern is not None:
+                    spark._jvm.java.util.regex.Pattern.compile(pattern)
+            except Exception as e:
+                raise ValueError(f"probe {p.name}: {pattern!r} is no pattern: {getattr(e, 'java_exception', e)}") from None
+
+
+def plain(text: str) -> str:
+    """A-Z in lower case, other letters as they are, so that a part of a text stays a part."""
+    return text.translate(_LOWER)
+
+
+_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+# What Python reads otherwise than Java.
+_OTHERWISE = re.compile(r"\(\?[a-zA-Z]*x|\[\^?\[|&&|\\[QExuNpPhHRXGZ]")
+# Letters that letters beyond A-Z equal when case is ignored by Unicode's rules.
+_SHARED = "iksIKS"
+
+
+def required(pattern: str) -> list[str] | None:
+    """Literals (in plain()) of which every match holds at least one, as long as can be; None where there is no such list or the dialects may differ."""
+    from re import _constants as c
+    from re import _parser
+
+    if _OTHERWISE.search(pattern):
+        return None
+    try:
+        tree = _parser.parse(pattern)
+    except (re.error, OverflowError, RecursionError):
+        return None
+    folded = re.search(r"\(\?[a-zA-Z]*i", pattern) is not None
+    wide = folded and re.search(r"\(\?[a-zA-Z]*[uU]", pattern) is not None
+    worth = lambda words: min(map(len, words))
+
+    def best(items) -> list[str] | None:  # noqa: ANN001
+        found, run = [], ""
+        for op, arg in [*items, (None, None)]:
+            if op is c.LITERAL and not (folded and arg > 127) and not (wide and chr(arg) in _SHARED):
+                run += chr(arg)
+                continue
+            if run:
+                found.append([plain(run)])
+            run = ""
+            if op is c.SUBPATTERN:
+                found.append(best(arg[-1]))
+            elif op is c.BRANCH:
+                each = [best(b) for b in arg[1]]
+                found.append(None if None in each else sorted({w for words in each for w in words}))
+            elif op in (c.MAX_REPEAT, c.MIN_REPEAT, c.POSSESSIVE_REPEAT) and arg[0] > 0:
+                found.append(best(arg[2]))
+            elif op is c.ATOMIC_GROUP:
+                found.append(best(arg))
+        return max(filter(None, found), key=worth, default=None)
+
+    return best(tree)
+
+
+def candidates(text: str, probes: Sequence[Probe]):  # noqa: ANN201
+    """array<int>: the numbers of the probes that may match a text, in order."""
+    words: dict[str, list[int]] = {}
+    always = []
+    for k, p in enumerate(probes):
+        for w in required(p.pattern) or ():
+            words.setdefault(w, []).append(k)
+        if not required(p.pattern):
+            always.append(k)
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def present(texts: pd.Series) -> pd.Series:
+        import ahocorasick
+
+        machine = ahocorasick.Automaton()
+        for w, own in words.items():
+            machine.add_word(w, own)
+        if words:
+            machine.make_automaton()
+        found = lambda t: sorted({k for _, own in machine.iter(plain(t)) for k in own}.union(always)) if words else always
+        return texts.map(lambda t: [] if t is None else found(t))
+
+    return present(F.col(text))
 
 
 def zones(documents: DataFrame) -> DataFrame:
@@ -48,17 +138,17 @@ def zones(documents: DataFrame) -> DataFrame:
 def attest(rows: DataFrame, probes: Sequence[Probe], origin: str, text: str = "text", around: int = 80) -> DataFrame:
     """One row per (probe, zone) with a match: probe, origin, excerpt, rejected.
 
-    Only the first match of a zone counts; an anti-pattern in its excerpt rejects the zone. Each pattern is a literal of
-    the plan, and all probes share one scan: the rows are not multiplied, matches alone come out.
+    Only the first match of a zone counts; an anti-pattern in its excerpt rejects the zone. A text meets the probes that may match it and no others; the probes, as many as the caller lists, are broadcast.
     """
-    found = []
-    for p in probes:
-        first = F.regexp_extract(F.col(text), p.pattern, 0)
-        start = F.length(F.element_at(F.split(F.col(text), p.pattern, 2), 1))
-        around_it = snippet(F.col(text), start, start + F.length(first), around)
-        rejected = around_it.rlike(p.anti) if p.anti else F.lit(False)
-        found.append(F.when(F.col(text).rlike(p.pattern), F.struct(F.lit(p.name).alias("probe"), around_it.alias("excerpt"), rejected.alias("rejected"))))
-    return rows.select(F.col(origin).alias("origin"), F.explode(F.array_compact(F.array(*found))).alias("x")).select("x.probe", "origin", "x.excerpt", "x.rejected")
+    spark = rows.sparkSession
+    check_patterns(spark, probes)
+    named = spark.createDataFrame([(k, p.name, p.pattern, p.anti) for k, p in enumerate(probes)], "k int, probe string, pattern string, anti string")
+    met = rows.select(F.col(origin).alias("origin"), F.col(text).cast("string").alias("text")).filter("text IS NOT NULL")
+    x = met.select("origin", "text", F.explode(candidates("text", probes)).alias("k")).join(F.broadcast(named), "k").filter(F.rlike("text", F.col("pattern")))
+    start = F.length(F.element_at(F.split("text", F.col("pattern"), 2), 1))
+    x = x.withColumn("start", start).withColumn("size", F.length(F.expr("regexp_extract(text, pattern, 0)")))
+    x = x.withColumn("excerpt", snippet(F.col("text"), F.col("start"), F.col("start") + F.col("size"), around))
+    return x.select("probe", "origin", "excerpt", F.coalesce(F.rlike("excerpt", F.col("anti")), F.lit(False)).alias("rejected"))
 
 
 def admission(attested: DataFrame, probes: Sequence[Probe], least: int = 2) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.text import humanise, section_of
+from gaugeworks.sources.shared import written
 
 # Exams under one name, languages and their display names.
 EXAMS = {"InfoC-0": "InfoC", "TPAlgo-MPI-rapport": "TPAlgo", "TPAlgo-rapport": "TPAlgo", "InfoLCR-rapport": "LCR", "InfoU-exercices": "InfoU", "Info-rapport": "Info-rapport"}
@@ -96,18 +97,34 @@ def concept_types(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
     return catalogue.select("concept_id", "section_id").join(first, "concept_id", "left").fillna(THEORY, ["type"])
 
 
+def smaller_values(values: DataFrame, name: str) -> DataFrame:
+    """Each distinct value with the number of rows whose value is smaller (`below`). Ranges of values are counted apart and their totals added up, so no task holds all values."""
+    counts = values.filter(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("__rows"))
+    ranged = written(counts.repartitionByRange(name).withColumn("__range", F.spark_partition_id()), "values")
+    # One row a range.
+    totals = ranged.groupBy("__range").agg(F.sum("__rows").alias("__all"))
+    totals = totals.select("__range", (F.sum("__all").over(W.orderBy("__range")) - F.col("__all")).alias("__before"))
+    inside = F.sum("__rows").over(W.partitionBy("__range").orderBy(name)) - F.col("__rows")
+    return ranged.join(F.broadcast(totals), "__range").select(name, (F.col("__before") + inside).alias("below"))
+
+
 def levels(values: DataFrame, name: str = "weight", by: str | None = None) -> DataFrame:
     """Colour levels 1..5 of positive values: linear, logarithmic, and by rank; 0 for 0. `by` compares within a group, else with all.
 
-    The rank level is the share of smaller values among the others, 1 for a single value.
+    The rank level is the share of smaller values among the others, 1 for a single value. Null values have no levels.
     """
-    top = F.max(name).over(W.partitionBy(by)) if by else values.agg(F.max(name)).scalar()
-    w = W.partitionBy(*([by] if by else [])).orderBy(name)
-    n = F.count(F.lit(1)).over(W.partitionBy(*([by] if by else [])))
-    rank = F.when(n == 1, 1.0).otherwise(F.percent_rank().over(w))
+    if by:
+        top = F.max(name).over(W.partitionBy(by))
+        n = F.count(F.lit(1)).over(W.partitionBy(by))
+        x, rank = values, F.when(n == 1, 1.0).otherwise(F.percent_rank().over(W.partitionBy(by).orderBy(name)))
+    else:
+        r = values.agg(F.count(name).alias("n"), F.max(name).alias("top")).first()
+        top = F.lit(r["top"])
+        x = values.join(smaller_values(values, name), name, "left")
+        rank = F.lit(1.0) if r["n"] < 2 else F.col("below") / (r["n"] - 1)
     v = F.col(name)
     level = lambda share: F.when(v <= 0, 0).otherwise(F.least(F.lit(LEVELS), F.greatest(F.lit(1), F.ceil(LEVELS * share)))).cast("int")
-    return values.select("*", level(v / top).alias("linear"), level(F.log1p(v) / F.log1p(top)).alias("logarithmic"), level(rank).alias("ranked"))
+    return x.select(*values.columns, level(v / top).alias("linear"), level(F.log1p(v) / F.log1p(top)).alias("logarithmic"), level(rank).alias("ranked"))
 
 
 def page(rows: DataFrame, title: str, most: int = 100_000) -> str:

@@ -13,7 +13,7 @@ from gaugeworks.functions import text as tx
 from gaugeworks.operators import catalogue, decisions, labelling, matching, papers, probes, records, rules, runs, syllabus
 from gaugeworks.plans import fixtures as fx
 from gaugeworks.plans.queries import CORPUS_SQL, PROBES, query
-from gaugeworks.sources import readers
+from gaugeworks.sources import readers, store
 from gaugeworks.sources.shared import shared_folder
 
 
@@ -403,3 +403,47 @@ def gold_matches(spark: SparkSession, d: str) -> DataFrame:
     gold = p.select(F.concat(F.lit("gold."), "name").alias("id"), F.col("name").alias("label"), F.lit("gold").alias("section"))
     mine = p.filter("third < 2").select(F.concat_ws(".", "section", "name").alias("id"), F.col("name").alias("label"), "section")
     return matching.match_gold(gold, mine).select("gold_id", "concept_id", "how", "score", "other_section")
+
+
+@query("""
+    WITH w AS (SELECT o_custkey % 997 AS who, count(*) AS weight FROM orders GROUP BY 1),
+    x AS (SELECT *, max(weight) OVER () AS top, percent_rank() OVER (ORDER BY weight) AS pr FROM w)
+    SELECT who, weight, CAST(least(5, greatest(1, ceil(5 * (weight::DOUBLE / top)))) AS INT) AS linear,
+           CAST(least(5, greatest(1, ceil(5 * (ln(1 + weight::DOUBLE) / ln(1 + top::DOUBLE))))) AS INT) AS logarithmic, CAST(least(5, greatest(1, ceil(5 * pr))) AS INT) AS ranked
+    FROM x
+""")
+def colour_levels_all(spark: SparkSession, d: str) -> DataFrame:
+    """Colour levels among all values: ranks from counts of ranges of values, without one window over all."""
+    return records.levels(fx.table(spark, d, "orders").groupBy((F.col("o_custkey") % 997).alias("who")).agg(F.count(F.lit(1)).alias("weight")))
+
+
+_SYLLABLES = ("the", "und", "que", "ing", "ion", "ent", "eau", "sch", "ver", "oui", "wh", "ü")
+MANY = tuple(probes.Probe(f"{a}-{b}", f"(?iu){a}{b}" if (i + j) % 3 else f"{a} ?{b}") for i, a in enumerate(_SYLLABLES) for j, b in enumerate(_SYLLABLES))
+
+
+@query(f"""
+    WITH p(probe, pattern) AS (VALUES {', '.join(f"('{p.name}', '{p.pattern.replace('(?iu)', '(?i)')}')" for p in MANY)}),
+    k AS (SELECT probe, count(DISTINCT source) AS origins, count(*) AS zones FROM p JOIN documents ON regexp_matches(text, pattern) GROUP BY 1)
+    SELECT probe, coalesce(origins, 0) AS origins, coalesce(zones, 0) AS zones FROM p LEFT JOIN k USING (probe)
+""")
+def many_probes(spark: SparkSession, d: str) -> DataFrame:
+    """A hundred and forty-four probes in one pass: each runs only on texts that hold its literal."""
+    found = probes.attest(fx.table(spark, d, "documents"), MANY, "source")
+    return probes.admission(found, MANY).select("probe", "origins", "zones")
+
+
+@query("""
+    WITH r AS (SELECT l_orderkey, l_partkey, l_linestatus AS run, l_linenumber, l_suppkey, l_quantity, l_extendedprice FROM lineitem),
+    n AS (SELECT *, CASE WHEN run = 'F' AND l_linenumber <= 3 THEN 1 WHEN run = 'O' THEN 2 END AS a, CASE WHEN run = 'F' AND l_linenumber >= 2 THEN 3 END AS b FROM r),
+    loads AS (SELECT *, a AS load FROM n WHERE a IS NOT NULL UNION ALL SELECT *, b AS load FROM n WHERE b IS NOT NULL)
+    SELECT l_orderkey AS question_id, l_partkey AS concept_id, run, l_linenumber FROM loads
+    QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey, run ORDER BY load DESC, l_linenumber DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) = 1
+""")
+def published_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Three loads of labels: run F, run O, and run F again with other lines. Equal keys are replaced, the rest and the other run stay."""
+    order = F.struct("l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice").alias("ord")
+    rows = fx.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("question_id"), F.col("l_partkey").alias("concept_id"), F.col("l_linestatus").alias("run"), "l_linenumber", order)
+    path = f"{shared_folder(spark)}/labels-{uuid.uuid4().hex}"
+    for load in ("run = 'F' AND l_linenumber <= 3", "run = 'O'", "run = 'F' AND l_linenumber >= 2"):
+        store.publish(spark, path, {"labels": rows.filter(load)})
+    return store.read(spark, path, "labels").select("question_id", "concept_id", "run", "l_linenumber")

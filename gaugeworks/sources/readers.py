@@ -116,5 +116,7 @@ def profile(path: str) -> dict:
 
 
 def probes(path: str) -> list[Probe]:
-    """Probes of a JSON file; nameless ones and invalid patterns are refused."""
-    return [Probe(p.get("name", ""), p["pattern"], p.get("anti"), p.get("status", "open"), p.get("concept")) for p in json.loads(Path(path).read_text(encoding="utf-8"))]
+    """Probes of a JSON file, whatever the case; nameless ones and patterns that Java can't read are refused, as the session that runs them is there."""
+    SparkSession.builder.getOrCreate()
+    any_case = lambda pattern: pattern and f"(?iu){pattern}"
+    return [Probe(p.get("name", ""), any_case(p["pattern"]), any_case(p.get("anti")), p.get("status", "open"), p.get("concept")) for p in json.loads(Path(path).read_text(encoding="utf-8"))]

@@ -2,6 +2,7 @@
 
 import difflib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -242,6 +243,38 @@ def test_probes_look_at_the_first_match(spark):
         probes.Probe("bad", "(")
 
 
+def test_probes_are_checked_in_the_dialect_that_runs_them(spark):
+    with pytest.raises(ValueError, match="no pattern"):
+        probes.Probe("n", r"(?P<a>the)")
+    with pytest.raises(ValueError, match="no pattern"):
+        probes.Probe("n", "a", anti="[")
+    assert probes.Probe("n", r"(?<a>the)\p{L}").name == "n"
+
+
+@pytest.mark.parametrize(("pattern", "words"), [
+    ("tri fusion", ["tri fusion"]), ("(?i)Arbre", ["arbre"]), ("a(?:bc|def)g?", ["bc", "def"]), ("x*", None), ("a|b*", None), ("(pile|file)s? +LIFO", ["file", "pile"]), ("[aA]b", ["b"]),
+    (r"\bgraphe\b", ["graphe"]), ("(?i)é tri", [" tri"]), ("(?iu)Tri par tas", ["tr", " par ta"][1:]), ("(?iu)ski", None), ("[[ab]c]d", None), (r"\p{L}x", None), ("(?<n>ab)", None), ("(?:ab){2,}c", ["ab"]), ("(?:ab)?c", ["c"]), ("(?!no)yes", ["yes"]), ("(?i:AB)cd", ["ab"]), ("a.b", ["a"]),
+])
+def test_literals_that_a_match_must_hold(pattern, words):
+    assert probes.required(pattern) == words
+
+
+def test_many_probes_equal_one_by_one(spark):
+    r = random.Random(10)
+    stems = ["arbre", "Pile", "graphe", "tri", "é", "hash", "x", "LIFO", "bc"]
+    forms = ["{}", "(?i){}", "{} ?{}", "{}|{}", "(?:{}|{})s?", "[a-c]+{}", "{}.{{0,3}}{}", "\\b{}\\b", "(?i){}$", "^{}", "{}+", "({})?{}", "\\d{}", "(?=.*{}){}"]
+    ps = [probes.Probe(f"p{k}", (f := r.choice(forms)).format(*[r.choice(stems) for _ in range(f.count("{}"))]), r.choice([None, None, r.choice(stems)])) for k in range(150)]
+    texts = [(k, "".join(r.choice([*stems, " ", " ", "s", "1", "\n", "ABRE", "arBRE"]) for _ in range(r.randrange(14)))) for k in range(150)] + [(150, None), (151, ""), (152, "ΑΣΑ pile 😀 tri")]
+    want = []
+    for p in ps:
+        for k, t in texts:
+            if t and (m := re.search(p.pattern.replace("$", r"(?=\n?\Z)"), t)):
+                excerpt = " ".join(t[max(0, m.start() - 3) : m.end() + 3].split())
+                want.append((p.name, k, excerpt, bool(p.anti and re.search(p.anti, excerpt))))
+    df = spark.createDataFrame(texts, "file long, text string").selectExpr("*", "1 AS k", "'x' AS pattern")
+    assert sorted(map(tuple, probes.attest(df, ps, "file", around=3).collect())) == sorted(want) and len(want) > 1000
+
+
 def test_dispersion_of_empty_sets_is_zero(spark):
     a = spark.createDataFrame([("e", None), ("f", "g.a"), ("h", "g.a")], "exercise_id string, concept_id string")
     b = spark.createDataFrame([("e", None), ("f", "g.a"), ("f", "g.b")], "exercise_id string, concept_id string")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeworks.operators import papers, probes
-from gaugeworks.sources import readers, sinks
+from gaugeworks.sources import readers, sinks, store
 from gaugeworks.streaming import arrivals
 
 
@@ -40,7 +40,7 @@ def test_memo_catalogue_and_probes(spark, tmp_path):
     (tmp_path / "cat/a.json").write_text(json.dumps({"concepts": [{"id": "a.y", "section_id": "z"}]}))
     assert [(r.concept_id, r.section_id) for r in readers.catalogue(spark, str(tmp_path / "cat")).orderBy("ord").collect()] == [("a.y", "z"), ("b.x", "b")]
     (tmp_path / "p.json").write_text(json.dumps([{"name": "p", "pattern": "x"}]))
-    assert readers.probes(str(tmp_path / "p.json")) == [probes.Probe("p", "x")]
+    assert readers.probes(str(tmp_path / "p.json")) == [probes.Probe("p", "(?iu)x")]
     assert readers.exclusions(spark, None).count() == 0
 
 
@@ -107,3 +107,59 @@ def test_repeated_exercises_are_numbered_by_path(spark, tmp_path):
     (tmp_path / "more.json").write_text(json.dumps(one("c", "-")))
     q, _ = runs.flatten(readers.runs(spark, [str(tmp_path / "[ab].json"), str(tmp_path / "more.json")]))
     assert {r.file: r.exercise_id for r in q.collect()} == {"a": "E", "b1": "E~2", "b2": "E~3", "c": "E~4"}
+
+
+def corpus(spark, folder, text="t", file="one.md"):
+    question = lambda n: {"id": f"E#Q{n}", "number": str(n), "text": f"{text}{n}", "line": n}
+    doc = {"doc_file": file, "fingerprint": "f" + file, "track": "A", "exercises": [{"id": "E", "title": "first", "questions": [question(1), question(2)]}, {"id": "G", "questions": []}, {"id": "E", "title": "second", "questions": [question(1)]}]}
+    folder.mkdir()
+    (folder / "a.json").write_text(json.dumps(doc))
+    return readers.corpus(spark, str(folder))
+
+
+def test_exercises_are_ranked_within_their_file(spark, tmp_path):
+    rows = store.corpus_rows(corpus(spark, tmp_path / "c"))
+    assert sorted((r.id, r.rank, r.title) for r in rows["exercises"].collect()) == [("E", 1, "first"), ("E~2", 2, "second"), ("G", 1, None)]
+    assert sorted((r.id, r.exercise_id) for r in rows["questions"].collect()) == [("E#Q1", "E"), ("E#Q2", "E"), ("E~2#Q1", "E~2")]
+
+
+def test_a_load_changes_all_tables_or_none(spark, tmp_path):
+    path = str(tmp_path / "db")
+    run = lambda quote: [{"exercise_id": "E", "questions": [{"question_id": "E#Q1", "status": "ok", "labels": [{"concept_id": "c", "quote": quote}, {"concept_id": "c", "quote": quote + "!"}]}]}]
+    (tmp_path / "r.json").write_text(json.dumps(run("old")))
+    concepts = spark.createDataFrame([("c", "s", 1)], "id string, section_id string, ord int")
+    load = lambda folder, text: store.corpus_rows(corpus(spark, tmp_path / folder, text)) | {"concepts": concepts} | store.run_rows(readers.runs(spark, [str(tmp_path / "r.json")]), "A")
+    assert store.publish(spark, path, load("one", "t")) == 1
+    assert {n: store.read(spark, path, n).count() for n in store.TABLES} == {"documents": 1, "exercises": 3, "questions": 3, "concepts": 1, "runs": 1, "labels": 1}
+    assert store.read(spark, path, "labels").first().quote == "old!"
+
+    def state():
+        return {n: sorted(map(str, store.read(spark, path, n).collect())) for n in store.TABLES}
+
+    before = state()
+    broken = load("two", "new ")
+    broken["concepts"] = concepts.withColumn("section_id", F.raise_error(F.lit("disk lost")).cast("string"))  # the fourth table
+    with pytest.raises(Exception, match="disk lost"):
+        store.publish(spark, path, broken)
+    assert state() == before and store.current(spark, path)[0] == 1
+    assert store.publish(spark, path, load("three", "new ")) == 2 and {r.text for r in store.read(spark, path, "questions").collect()} == {"new 1", "new 2"}
+    again = state()
+    assert store.publish(spark, path, load("four", "new ")) == 3 and state() == again
+    (tmp_path / "r.json").write_text(json.dumps(run("other run")))
+    store.publish(spark, path, store.run_rows(readers.runs(spark, [str(tmp_path / "r.json")]), "B"))
+    assert sorted((r.run, r.quote) for r in store.read(spark, path, "labels").collect()) == [("A", "old!"), ("B", "other run!")]
+    with pytest.raises(ValueError, match="unknown tables"):
+        store.publish(spark, path, {"others": concepts})
+
+
+def test_of_two_loads_at_once_the_second_is_refused(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "db")
+    rows = lambda v: {"concepts": spark.createDataFrame([("c", v, 1)], "id string, section_id string, ord int")}
+    store.publish(spark, path, rows("first"))
+    seen = store.current(spark, path)
+    store.publish(spark, path, rows("second"))
+    monkeypatch.setattr(store, "current", lambda *a: seen)  # it began before the second was done
+    with pytest.raises(RuntimeError, match="load again"):
+        store.publish(spark, path, rows("third"))
+    monkeypatch.undo()
+    assert [r.section_id for r in store.read(spark, path, "concepts").collect()] == ["second"] and store.read(spark, path, "labels") is None
