@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.text import section_of
+from gaugeworks.operators.order import numbered
 
 #: Published noise of coverage, in points, between two equal runs.
 COVERAGE_NOISE = 10.7
@@ -144,19 +145,53 @@ def status_histogram(questions: DataFrame) -> DataFrame:
     return questions.groupBy("status").agg(F.count(F.lit(1)).alias("questions"))
 
 
+def _named_sets(fields: Sequence[str]) -> list[Column]:
+    """grouped_by and value of a row of grouping sets by none or one of the fields."""
+    kind, value = F.lit("all"), F.lit(None).cast("string")
+    for f in reversed(fields):
+        kind, value = F.when(F.grouping(f) == 0, f).otherwise(kind), F.coalesce(F.col(f).cast("string"), value)
+    return [kind.alias("grouped_by"), value.alias("value")]
+
+
 def everything(questions: DataFrame, labels: DataFrame, fields: Sequence[str], ok: str = "ok") -> DataFrame:
     """Questions, labels, unlabelled and coverage for the whole and each field's values: one pass of grouping sets."""
-    q = sized(questions, labels)
-    sets = ", ".join(["()", *[f"({f})" for f in fields]])
-    view = "gaugeworks_sized"
-    q.createOrReplaceTempView(view)
-    kind = " ".join(f"WHEN grouping({f}) = 0 THEN '{f}'" for f in fields)
-    value = f"coalesce({', '.join(f'CAST({f} AS STRING)' for f in fields)})"
-    return q.sparkSession.sql(f"""
-        SELECT CASE {kind} ELSE 'all' END AS grouped_by, {value} AS value, count(*) AS questions, sum(n_labels) AS labels,
-               count_if(n_labels = 0) AS unlabelled, round(100.0D * count_if(status = '{ok}') / count(*), 6) AS coverage
-        FROM {view} GROUP BY GROUPING SETS ({sets})
-    """)
+    sets = sized(questions, labels).groupingSets([[], *[[f] for f in fields]], *fields)
+    n = F.count(F.lit(1))
+    x = sets.agg(*_named_sets(fields), n.alias("questions"), F.sum("n_labels").alias("labels"), F.count_if(F.col("n_labels") == 0).alias("unlabelled"), F.round(F.count_if(F.col("status") == ok) * 100.0 / n, 6).alias("coverage"))
+    return x.select("grouped_by", "value", "questions", "labels", "unlabelled", "coverage")
+
+
+def all_measures(questions: DataFrame, labels: DataFrame, fields: Sequence[str], ok: str = "ok") -> DataFrame:
+    """The measures of aggregate() for the whole and each field's values: grouped_by, value and its nine columns, from one shuffle of the labels.
+
+    Concepts and exercises get numbers. A question brings its labels' count and distinct numbers, then grouping sets add up sums and set bits: exact distinct counts are the
+    bits of bitmaps, one for each 32768 numbers, that Spark merges on the map side. A group's bitmaps are as large as its dictionary, however many rows it has.
+    """
+    concepts = numbered(labels, "concept_id")
+    named = questions.withColumn("__exercise", F.coalesce(F.col("exercise_id").cast("string"), F.lit(NONE)))
+    exercises = numbered(named, "__exercise").withColumnRenamed("code", "__code")
+    per = labels.join(concepts, "concept_id", "left").groupBy("question_id").agg(F.count(F.lit(1)).alias("__labels"), F.collect_set("code").alias("__codes"))
+    q = named.join(per, "question_id", "left").join(exercises, "__exercise")
+
+    def entry(kind: str, code: Column, n: Column, unlabelled: Column, covered: Column, question: int) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), F.bitmap_bucket_number(code).alias("bucket"), F.bitmap_bit_position(code).alias("bit"), F.lit(question).alias("questions"),
+            n.cast("long").alias("labels"), unlabelled.cast("int").alias("unlabelled"), covered.cast("int").alias("covered"),
+        )
+
+    n, none = F.coalesce("__labels", F.lit(0)), F.lit(0)
+    one = entry("exercise", F.col("__code"), n, n == 0, F.coalesce(F.col("status") == ok, F.lit(False)), 1)
+    bits = F.transform(F.coalesce("__codes", F.array().cast("array<bigint>")), lambda c: entry("concept", c, none, none, none, 0))
+    x = q.select(*fields, F.explode(F.concat(F.array(one), bits)).alias("x")).select(*fields, "x.*")
+    sums = ["questions", "labels", "unlabelled", "covered"]
+    x = x.groupingSets([["kind", "bucket"], *[[f, "kind", "bucket"] for f in fields]], *fields, "kind", "bucket").agg(*_named_sets(fields), *[F.sum(c).alias(c) for c in sums], F.bitmap_count(F.bitmap_construct_agg("bit")).alias("distinct"))
+    bits_of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("distinct"))), F.lit(0)).alias(f"{kind}s")
+    x = x.groupBy("grouped_by", "value").agg(*[F.sum(c).alias(c) for c in sums], bits_of("exercise"), bits_of("concept"))
+    covered = share(F.col("covered"), F.col("questions"))
+    return x.select(
+        "grouped_by", "value", "questions", "labels", "exercises", "concepts", "unlabelled", ratio(F.col("labels"), F.col("questions")).alias("mean_labels"), covered.alias("coverage"),
+        F.round(F.greatest(covered - COVERAGE_NOISE, F.lit(0.0)), 6).alias("coverage_low"), F.round(F.least(covered + COVERAGE_NOISE, F.lit(100.0)), 6).alias("coverage_high"),
+    )
 
 
 def with_rank(rows: DataFrame, key: Sequence[str], order: Sequence[str | Column], name: str = "rank") -> DataFrame:

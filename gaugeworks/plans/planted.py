@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import text as tx
-from gaugeworks.operators import catalogue, decisions, labelling, matching, papers, probes, records, rules, runs, syllabus
+from gaugeworks.operators import catalogue, decisions, labelling, matching, measures, papers, probes, records, rules, runs, syllabus
 from gaugeworks.plans import fixtures as fx
 from gaugeworks.plans.queries import CORPUS_SQL, PROBES, query
 from gaugeworks.sources import readers, store
@@ -447,3 +447,21 @@ def published_labels(spark: SparkSession, d: str) -> DataFrame:
     for load in ("run = 'F' AND l_linenumber <= 3", "run = 'O'", "run = 'F' AND l_linenumber >= 2"):
         store.publish(spark, path, {"labels": rows.filter(load)})
     return store.read(spark, path, "labels").select("question_id", "concept_id", "run", "l_linenumber")
+
+
+_SETS = """CASE WHEN grouping(track) = 0 THEN 'track' WHEN grouping(year) = 0 THEN 'year' WHEN grouping(language) = 0 THEN 'language' ELSE 'all' END AS grouped_by,
+           coalesce(track, CAST(year AS VARCHAR), language) AS value"""
+
+
+@query(f"""
+    WITH {CORPUS_SQL},
+    a AS (SELECT {_SETS}, count(*) AS questions, CAST(sum(n_labels) AS BIGINT) AS labels, count(DISTINCT exercise_id) AS exercises, count(*) FILTER (n_labels = 0) AS unlabelled, count(*) FILTER (status = 'ok') AS covered
+          FROM s GROUP BY GROUPING SETS ((), (track), (year), (language))),
+    b AS (SELECT {_SETS}, count(DISTINCT l.concept_id) AS concepts FROM s JOIN l USING (question_id) GROUP BY GROUPING SETS ((), (track), (year), (language)))
+    SELECT a.grouped_by, a.value, questions, labels, exercises, coalesce(concepts, 0) AS concepts, unlabelled, round(labels / questions, 6) AS mean_labels, round(100.0::DOUBLE * covered / questions, 6) AS coverage,
+           round(greatest(round(100.0::DOUBLE * covered / questions, 6) - 10.7, 0), 6) AS coverage_low, round(least(round(100.0::DOUBLE * covered / questions, 6) + 10.7, 100), 6) AS coverage_high
+    FROM a LEFT JOIN b ON a.grouped_by = b.grouped_by AND a.value IS NOT DISTINCT FROM b.value
+""")
+def all_measures(spark: SparkSession, d: str) -> DataFrame:
+    """All measures of the whole and of each track, year and language at once, distinct counts from bitmaps."""
+    return measures.all_measures(fx.questions(spark, d), fx.labels(spark, d), ("track", "year", "language"))

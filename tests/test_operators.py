@@ -104,6 +104,17 @@ def test_greedy_over_components(spark, monkeypatch, most):
     assert {x.asked_id: x.row_id for x in got.collect()} == want and got.count() == len(want)
 
 
+def test_all_measures_equal_one_by_one(spark):
+    r = random.Random(12)
+    q = spark.createDataFrame([(k, r.choice(["a", "b", None, "c"]), r.choice(["x", "y", None]), r.choice(["ok", "no", None])) for k in range(300)], "question_id long, exercise_id string, track string, status string")
+    l = spark.createDataFrame([(r.randrange(250), f"c{r.randrange(40)}") for _ in range(900)], "question_id long, concept_id string")
+    columns = ["questions", "labels", "exercises", "concepts", "unlabelled", "mean_labels", "coverage", "coverage_low", "coverage_high"]
+    got = measures.all_measures(q, l, ["track"])
+    by = {(x.grouped_by, x.value): tuple(x[c] for c in columns) for x in got.collect()}
+    want = {("all", None): tuple(measures.aggregate(q, l).select(*columns).first())} | {("track", x.track): tuple(x[c] for c in columns) for x in measures.aggregate(q, l, ["track"]).collect()}
+    assert by == want and len(want) == 4
+
+
 def test_components_equal_a_search(spark):
     r = random.Random(3)
     edges = [(r.randrange(120), r.randrange(120)) for _ in range(70)] + [(200 + k, 201 + k) for k in range(60)] + [(400, k) for k in range(300, 340)] + [(500, 500)]

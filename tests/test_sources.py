@@ -163,3 +163,38 @@ def test_of_two_loads_at_once_the_second_is_refused(spark, tmp_path, monkeypatch
         store.publish(spark, path, rows("third"))
     monkeypatch.undo()
     assert [r.section_id for r in store.read(spark, path, "concepts").collect()] == ["second"] and store.read(spark, path, "labels") is None
+
+
+def test_each_content_passes_once_over_restarts_and_replays(spark, tmp_path):
+    """Against a registry of a hundred thousand fingerprints; one query is lost between its output and the registry."""
+    inbox, registry, out = tmp_path / "in", str(tmp_path / "registry"), tmp_path / "out"
+    inbox.mkdir()
+    many = spark.range(100_000).select(F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 16).alias("fingerprint"), F.lit(-1).cast("long").alias("batch")).withColumn("prefix", F.left("fingerprint", F.lit(arrivals.DIGITS)))
+    many.repartition("prefix").write.partitionBy("prefix").parquet(registry)
+    put = lambda name, text: (inbox / name).write_text(text)
+    keep = lambda rows, n: rows.write.mode("overwrite").parquet(f"{out}/batch={n}")
+    passed = lambda: sorted(r.text for r in spark.read.parquet(str(out)).collect())
+    run = lambda each: arrivals.run_available(arrivals.arriving(spark, str(inbox)), str(tmp_path / "ck"), arrivals.once(registry, each))
+    put("a.md", "one")
+    put("b.md", "one")
+    put("c.md", "77")  # registered before this stream began
+    run(keep)
+    assert passed() == ["one"]
+    put("d.md", "two")
+    put("e.md", "one")
+
+    def lost(rows, n):
+        keep(rows, n)
+        raise RuntimeError("driver lost")
+
+    with pytest.raises(Exception, match="driver lost"):
+        run(lost)
+    run(keep)
+    assert passed() == ["one", "two"]
+    batch = arrivals.arriving(spark, str(inbox)).schema  # a batch whose fingerprints are registered, but that was not committed
+    again = spark.createDataFrame([("d.md", "two", None)], batch).withColumn("fingerprint", F.substring(F.sha2("text", 256), 1, 16))
+    number = arrivals.registered(spark, registry).join(again.select("fingerprint"), "fingerprint").first().batch
+    seen = []
+    arrivals.once(registry, lambda rows, n: seen.append(rows.count()))(again, number)
+    arrivals.once(registry, lambda rows, n: seen.append(rows.count()))(again, number + 1)
+    assert seen == [1, 0] and passed() == ["one", "two"]
