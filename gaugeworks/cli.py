@@ -1,20 +1,62 @@
-"""Commands: python -m gaugeworks.cli COMMAND ... Each prints a text table; --out writes it as Parquet instead."""
+"""Commands: python -m gaugeworks.cli COMMAND ... Each prints a text table; --out writes it as Parquet instead.
+
+The process ends with 0, or with 2 where a paper lost too much text (extract) or differs from its golden summary (golden).
+"""
 
 from __future__ import annotations
 
 import argparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.operators import compare, measures, papers, probes, records, reports, runs, syllabus
-from gaugeworks.sources import readers
+from gaugeworks.operators import compare, matching, measures, papers, probes, records, reports, runs, syllabus
+from gaugeworks.sources import readers, store
 
 FIELDS = {"file": "file", "track": "track", "year": "year", "kind": "kind", "language": "language", "exercise": "exercise_id"}
 
 
+#: Commands whose rows, or rows that meet a condition, are faults.
+FAULTS = {"extract": "low", "golden": "field IS NOT NULL"}
+
+
+def golden(spark: SparkSession, found: DataFrame, path: str) -> DataFrame:
+    """Differences from the summaries at `path`; where none stand there yet, these become the golden ones and nothing differs."""
+    try:
+        expected = spark.read.schema(found.schema).json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found.write.json(path)
+        expected = spark.read.schema(found.schema).json(path)
+    return papers.against_golden(found, expected).orderBy("doc_file", "field")
+
+
+def load(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """Publishes what is given of a corpus, a catalogue and a run in the store at the first path, all or nothing, and gives its tables' sizes."""
+    rows: dict[str, DataFrame] = {}
+    if a.corpus:
+        rows |= store.corpus_rows(readers.corpus(spark, a.corpus))
+    if a.catalogue:
+        rows["concepts"] = readers.catalogue(spark, a.catalogue).select(F.col("concept_id").alias("id"), "section_id", "label", "ord")
+    if a.labels:
+        if not a.run:
+            raise SystemExit("--labels needs --run, the run's name")
+        rows |= store.run_rows(readers.runs(spark, [a.labels]), a.run)
+    store.publish(spark, a.paths[0], rows)
+    return spark.createDataFrame([(t, there.count()) for t in store.TABLES if (there := store.read(spark, a.paths[0], t)) is not None], "table string, rows long")
+
+
 def command(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     name = a.command
+    if name == "golden":
+        return golden(spark, papers.summary(papers.extract(readers.papers(spark, a.paths[0]))), a.golden)
+    if name == "import":
+        return load(spark, a)
+    if name == "gold":
+        sides = [readers.catalogue(spark, p).select(F.col("concept_id").alias("id"), "label", F.col("section_id").alias("section")) for p in (a.paths[0], a.catalogue)]
+        return matching.recall(matching.match_gold(*sides)).orderBy("section")
     if name == "extract":
         return papers.summary(papers.extract(readers.papers(spark, a.paths[0]))).orderBy("doc_file")
     if name == "segment":
@@ -32,7 +74,7 @@ def command(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     if name in FIELDS:
         return measures.aggregate(q, l, [FIELDS[name]]).orderBy("questions", ascending=False)
     if name == "everything":
-        return measures.everything(q, l, ["track", "year", "kind", "language"])
+        return measures.all_measures(q, l, ["track", "year", "kind", "language"]).orderBy("grouped_by", "value")
     if name in ("section", "zero"):
         cat = readers.catalogue(spark, a.catalogue)
         return measures.section_usage(l, cat).orderBy(F.col("occurrences").desc(), "section_id") if name == "section" else measures.never_asked(l, cat).orderBy(F.col("silent").desc(), "section_id", "concept_id")
@@ -51,9 +93,9 @@ def command(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     raise SystemExit(f"unknown command {name}")
 
 
-def main(args: list[str] | None = None) -> None:
+def main(args: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="gaugeworks")
-    p.add_argument("command", choices=["extract", "segment", "probe", "distribution", "summary", "top", "everything", "section", "zero", "crosstab", "dispersion", "compare", "records", *FIELDS])
+    p.add_argument("command", choices=["extract", "segment", "probe", "distribution", "summary", "top", "everything", "section", "zero", "crosstab", "dispersion", "compare", "records", "golden", "import", "gold", *FIELDS])
     p.add_argument("paths", nargs="+")
     p.add_argument("--catalogue")
     p.add_argument("--probes")
@@ -61,6 +103,10 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--least", type=int, default=2)
     p.add_argument("-n", type=int, default=20)
     p.add_argument("--out")
+    p.add_argument("--golden", help="folder of golden summaries")
+    p.add_argument("--corpus", help="import: nested corpus")
+    p.add_argument("--labels", help="import: a labelling run")
+    p.add_argument("--run", help="import: the run's name")
     a = p.parse_args(args)
     spark = SparkSession.builder.appName("gaugeworks").getOrCreate()
     df = command(spark, a)
@@ -68,7 +114,8 @@ def main(args: list[str] | None = None) -> None:
         df.write.mode("overwrite").parquet(a.out)
     else:
         print(reports.table(df, a.command))
+    return 2 if a.command in FAULTS and df.filter(FAULTS[a.command]).limit(1).count() else 0
 
 
 if __name__ == "__main__":
-    main()
+    raise SystemExit(main())

@@ -77,3 +77,26 @@ def test_two_phases(spark):
     assert [r.exercise_id for r in first.collect()] == ["e2"]
     assert [(r.exercise_id, r.sections) for r in second.collect()] == [("e1", ["g", "t"])]
     assert [r.exercise_id for r in open_.collect()] == ["e2"]
+
+
+def test_exit_codes_golden_files_and_import(spark, files, tmp_path, capsys):
+    (tmp_path / "papers").mkdir()
+    paper = tmp_path / "papers/2021_InfoA.md"
+    paper.write_text("# Exercise 1\n\nGiven here.\n\nQuestion 1\n\nWhat is a tree?\n\nQuestion 2\n\nWhat is a graph?\n")
+    assert cli.main(["extract", str(tmp_path / "papers")]) == 2  # marks are a third of so short a text
+    paper.write_text("# Exercise 1\n\nGiven here.\n\nQuestion 1\n\n" + "What is a tree? " * 60 + "\n\nQuestion 2\n\nWhat is a graph?\n")
+    golden = str(tmp_path / "golden")
+    assert cli.main(["extract", str(tmp_path / "papers")]) == 0
+    assert cli.main(["golden", str(tmp_path / "papers"), "--golden", golden]) == 0  # made where there is none
+    assert cli.main(["golden", str(tmp_path / "papers"), "--golden", golden]) == 0
+    paper.write_text(paper.read_text() + "\nQuestion 3\n\nAnd a path?\n")
+    assert cli.main(["golden", str(tmp_path / "papers"), "--golden", golden]) == 2
+    assert "questions" in capsys.readouterr().out
+    db = str(tmp_path / "db")
+    assert cli.main(["import", db, "--catalogue", f"{files}/cat", "--labels", f"{files}/one.json", "--run", "A"]) == 0
+    p = ask("import", db)
+    p.catalogue, p.corpus, p.labels, p.run = None, None, f"{files}/two.json", "B"
+    assert {r.table: r.rows for r in cli.command(spark, p).collect()} == {"concepts": 4, "runs": 2, "labels": 4}
+    p = ask("gold", f"{files}/cat")
+    p.catalogue = f"{files}/cat"
+    assert {r.section: (r.gold, r.exact) for r in cli.command(spark, p).collect()} == {"all": (4, 4), "g": (4, 4)}
