@@ -35,7 +35,7 @@ def test_the_flagship_query_runs(spark):
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the driver's tables")
-@pytest.mark.parametrize("name", ["distribution_global", "dispersion_runs", "grouping_sets_all", "probes_two_sources", "literal_extract", "contingency_year_track", "paper_questions", "syllabus_units", "label_checks", "question_fates", "decision_findings", "decision_set", "slug_names", "assembled", "paper_summaries", "section_findings", "section_survivors", "official_list", "call_candidates", "best_tracks", "memo_replay", "concepts_for_import", "probe_files"])
+@pytest.mark.parametrize("name", ["distribution_global", "dispersion_runs", "grouping_sets_all", "probes_two_sources", "literal_extract", "contingency_year_track", "paper_questions", "syllabus_units", "label_checks", "question_fates", "decision_findings", "decision_set", "slug_names", "assembled", "paper_summaries", "section_findings", "section_survivors", "official_list", "call_candidates", "best_tracks", "memo_replay", "concepts_for_import", "probe_files", "memo_files", "run_files", "overlapping_sets", "gold_matches", "many_probes", "published_labels", "all_measures"])
 def test_queries_equal_their_sql(spark, name):
     import duckdb
 
