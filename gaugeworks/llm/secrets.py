@@ -72,7 +72,7 @@ TESTED = "[0-9]|[a-z][A-Z]"
 #: What is no ordinary writing in a stretch of text: its cut first and last words, and runs that are tested themselves.
 NOT_ORDINARY = "^\\S++|\\S++$|[A-Za-z0-9+/_=-]{20,}+"
 #: Pieces of each document, and pieces that each class and encoding can expect at least.
-PIECES, NULLS = 2, 200
+PIECES, NULLS = 2, 100
 CELLS = (LAST_CLASS - FIRST_CLASS + 1) * len(FAMILIES)
 #: Characters that the longest piece needs, and those of a group of shorter documents.
 SHORT = 2 ** (LAST_CLASS // 2) * max(width for _, _, width in FAMILIES)
@@ -217,18 +217,18 @@ def ordinary(text: Column, row: Column, pieces: Column) -> Column:
     """So many pieces of ordinary writing: length class, family and bin of the score. row: a hash that picks places, families and classes."""
     classes = LAST_CLASS - FIRST_CLASS + 1
 
-    def piece(k: Column) -> Column:
+    def piece(k: Column, n: Column) -> Column:
         h = F.xxhash64(row, k, F.lit(SEED))
         # The families of one document's pieces are neighbours in a ring, so all are met alike.
         fam = F.pmod(row + k, F.lit(len(FAMILIES))).cast("int")
         cls = (F.pmod(h, F.lit(classes)) + FIRST_CLASS).cast("int")
         size = F.greatest(F.lit(LEAST_RUN), F.ceil(F.pow(F.lit(2.0), cls / 2))).cast("int")
-        return let(F.struct(h.alias("h"), fam.alias("fam"), cls.alias("cls"), size.alias("size")), of)
+        return let(F.struct(h.alias("h"), fam.alias("fam"), cls.alias("cls"), size.alias("size"), n.alias("n")), of)
 
     def of(x: Column) -> Column:
         def token(k: int) -> Column:
             width = x["size"] * FAMILIES[k][2]
-            at = F.pmod(F.shiftright(x["h"], 8), F.greatest(F.lit(1), F.length(text) - width + 1)).cast("int")
+            at = F.pmod(F.shiftright(x["h"], 8), F.greatest(F.lit(1), x["n"] - width + 1)).cast("int")
             words = F.regexp_replace(F.substring(text, at + 1, width), NOT_ORDINARY, " ")
             return F.substring(FAMILIES[k][1](words), F.lit(1), x["size"])
 
@@ -236,7 +236,7 @@ def ordinary(text: Column, row: Column, pieces: Column) -> Column:
         alphabet = pick(lambda k: F.lit(FAMILIES[k][0]))
         return let(pick(token), lambda t: F.struct(x["cls"].alias("cls"), x["fam"].alias("fam"), F.when(F.length(t) == x["size"], scored(t, alphabet)).alias("bin")))
 
-    return F.filter(F.transform(F.sequence(F.lit(0), pieces - 1), piece), lambda y: y["bin"].isNotNull())
+    return let(F.length(text), lambda n: F.filter(F.transform(F.sequence(F.lit(0), pieces - 1), lambda k: piece(k, n)), lambda y: y["bin"].isNotNull()))
 
 
 def examined(docs: DataFrame, text: Column, row: Column, keep: list[str]) -> tuple[DataFrame, DataFrame]:
