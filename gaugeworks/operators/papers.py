@@ -347,7 +347,7 @@ def extract(docs: DataFrame) -> Extracted:
 
 
 def summary(x: Extracted) -> DataFrame:
-    """By document: counts, the conservation ratio, marks that no question took, and whether the ratio is too low or above 1."""
+    """By document: counts, the conservation ratio with the two numbers of characters that make it, marks that no question took, and whether the ratio is too low or above 1."""
     q = x.questions.groupBy("doc_file").agg(
         F.count(F.lit(1)).alias("questions"),
         F.count_if(F.length("solution") > 0).alias("solutions"),
@@ -359,7 +359,7 @@ def summary(x: Extracted) -> DataFrame:
     useful = F.col("source_chars") - F.col("noise_chars")
     kept = F.length("header") + F.col("e_chars") + F.col("q_chars")
     ratio = F.when(useful > 0, exact_round(kept / useful, 4)).otherwise(0.0)
-    return out.select("doc_file", "fingerprint", "track", "level", "exercises", "questions", "solutions", "figures_missing", ratio.alias("ratio"), (F.col("marks") - F.col("questions")).alias("unplaced"), (ratio < LEAST_RATIO).alias("low"), (ratio > 1).alias("counted_twice"))
+    return out.select("doc_file", "fingerprint", "track", "level", "exercises", "questions", "solutions", "figures_missing", ratio.alias("ratio"), (F.col("marks") - F.col("questions")).alias("unplaced"), (ratio < LEAST_RATIO).alias("low"), (ratio > 1).alias("counted_twice"), kept.alias("kept_chars"), useful.alias("useful_chars"))
 
 
 def best_track_only(exercises: DataFrame, priority: tuple[str, ...] = ("mpi", "mp_info", UNMARKED)) -> DataFrame:
