@@ -193,7 +193,8 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
     n, both = bit_statistics(distinct)
     parts = plan(n, both, radius)
     owned = F.array(*[F.struct(F.lit(k).alias("part"), (F.col("fp").bitwiseAND(F.lit(_mask(bits)))).alias("key")) for k, (bits, _) in enumerate(parts)])
-    own = distinct.select("fp", F.explode(owned).alias("k")).select("fp", "k.part", "k.key")
+    # Read by several joins: made once, however many there are.
+    own = stored(distinct.select("fp", F.explode(owned).alias("k")).select("fp", "k.part", "k.key"), "simhash-own-keys")
 
     def probing(k: int, bits: list[int], t: int) -> Column:
         masks = F.array(*[F.lit(m) for m in _flips(bits, t)])

@@ -129,3 +129,11 @@ def test_one_row_of_each_component(spark, stage):
     got = sorted((-1 if r.doc_id is None else r.doc_id, r.text) for r in kept.collect())
     near = stage is nearcopies or bin(simhash.fingerprint(a) ^ simhash.fingerprint(a + " z")).count("1") <= 2
     assert got == sorted([(-1, b), (1, c), (2, d), (2, a + " z"), (4, "x"), (4, "y")] + [(-1, a)] * (not near))
+
+
+def test_keys_are_made_once(spark):
+    """However many joins read them, as where a key has many owners."""
+    fps = [(signed(((k * 0x9E3779B97F4A7C15) & 0xFFFFF) << 8),) for k in range(300)]
+    found = simhash.links(spark.createDataFrame(fps, "fp long").distinct(), 2)
+    # One side may ask for more keys than it has.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("explode(") <= 1
