@@ -16,8 +16,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def running(items: Column, start: Column, step: Callable[[Column, Column], Column], emit: Callable[[Column, Column], Column], empty: str) -> Column:
-    """What emit(state, item) gives for each item, where step(state, item) makes the next state.
+def running(items: Column, start: Column, step: Callable[[Column, Column], Column], emit: Callable[[Column, Column], Column], empty: str, after: bool = False) -> Column:
+    """What emit(state, item) gives for each item, where step(state, item) makes the next state; after: emit is given the state that the item made.
 
     An array that grows by one is copied at each step, so items are folded in blocks of BLOCK and the blocks flattened
     at the end: the work stays in proportion to the items. empty: the result's type, an array.
@@ -25,6 +25,8 @@ def running(items: Column, start: Column, step: Callable[[Column, Column], Colum
     none, nones = F.array().cast(empty), F.array().cast(f"array<{empty}>")
 
     def inner(acc: Column, x: Column) -> Column:
+        if after:
+            return let(step(acc["state"], x), lambda now: F.struct(now.alias("state"), F.concat(acc["out"], F.array(emit(now, x))).alias("out")))
         return F.struct(step(acc["state"], x).alias("state"), F.concat(acc["out"], F.array(emit(acc["state"], x))).alias("out"))
 
     def outer(acc: Column, block: Column) -> Column:

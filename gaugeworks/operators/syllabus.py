@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gaugeworks.functions.offsets import running
 from gaugeworks.functions.text import newlines
 from gaugeworks.sources.shared import settle
 
@@ -88,21 +89,16 @@ def _opens(cell: Column, before: Column) -> Column:
 
 
 def entries(table: Column) -> Column:
-    """Logical rows of a table's physical rows array<struct<line_no, left, right>>: a new one opens where both columns do."""
-    one = "struct<left:array<string>,right:array<string>,first:int,last:int>"
-    start = F.expr(f"named_struct('now', cast(null as {one}), 'out', cast(array() as array<{one}>))")
-    said = lambda x: F.filter(F.array(x), lambda c: c != "")
-    last = lambda a: F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(""))
+    """The number, from 1, of the logical row that each of a table's physical rows array<struct<line_no, left, right>> belongs to: a new one opens where both columns do. Time in proportion to the rows."""
+    start = F.struct(F.lit(0).alias("n"), F.lit("").alias("left"), F.lit("").alias("right"))
 
-    def step(acc: Column, x: Column) -> Column:
-        now = acc["now"]
-        fresh = F.struct(said(x["left"]).alias("left"), said(x["right"]).alias("right"), x["line_no"].alias("first"), x["line_no"].alias("last"))
-        more = F.struct(F.concat(now["left"], said(x["left"])).alias("left"), F.concat(now["right"], said(x["right"])).alias("right"), now["first"].alias("first"), x["line_no"].alias("last"))
-        opens = (F.size(now["left"]) > 0) & _opens(x["left"], last(now["left"])) & ((x["right"] == "") | _opens(x["right"], last(now["right"])))
-        begin = now.isNull() | opens
-        return F.struct(F.when(begin, fresh).otherwise(more).alias("now"), F.when(now.isNotNull() & opens, F.concat(acc["out"], F.array(now))).otherwise(acc["out"]).alias("out"))
+    def step(now: Column, x: Column) -> Column:
+        opens = (now["left"] != "") & _opens(x["left"], now["left"]) & ((x["right"] == "") | _opens(x["right"], now["right"]))
+        last = lambda c: F.when(x[c] != "", x[c]).otherwise(now[c]).alias(c)
+        fresh = F.struct((now["n"] + 1).alias("n"), x["left"].alias("left"), x["right"].alias("right"))
+        return F.when((now["n"] == 0) | opens, fresh).otherwise(F.struct(now["n"].alias("n"), last("left"), last("right")))
 
-    return F.aggregate(table, start, step, lambda acc: F.concat(acc["out"], F.filter(F.array(acc["now"]), lambda n: n.isNotNull())))
+    return running(table, start, step, lambda now, x: now["n"], "array<int>", after=True)
 
 
 @dataclass
@@ -115,7 +111,8 @@ class Syllabus:
 
 
 def segment(docs: DataFrame, rejected_kinds: Sequence[str] = ()) -> Syllabus:
-    rows = lines(docs)
+    # A long text is one row: its lines are made once and dealt out.
+    rows = settle(lines(docs).repartition("doc_file", "line_no"))
     h = settle(headings(rows))
     w = W.partitionBy("doc_file").orderBy("line_no").rowsBetween(W.unboundedPreceding, 0)
     x = rows.join(h.select("doc_file", "line_no", "number", "practice", F.col("section_id").alias("own")), ["doc_file", "line_no"], "left")
@@ -134,10 +131,11 @@ def segment(docs: DataFrame, rejected_kinds: Sequence[str] = ()) -> Syllabus:
     t = t.select("doc_file", "block", "section_id", "line_no", F.col("c")[0].alias("left"), F.col("c")[1].alias("right"))
     t = t.filter(~(F.lower("left").startswith("notions") & F.lower("right").startswith("commentaires")))
     t = t.groupBy("doc_file", "block", "section_id").agg(F.array_sort(F.collect_list(F.struct("line_no", "left", "right"))).alias("rows"))
-    t = t.select("doc_file", "section_id", F.explode(entries(F.col("rows"))).alias("e")).select(
-        "doc_file", "section_id", F.lit("table").alias("kind"), F.array_join("e.left", " ").alias("left"), F.array_join("e.right", " ").alias("right"),
-        F.lit("").alias("text"), F.col("e.first").alias("first_line"), F.col("e.last").alias("last_line"),
-    )
+    t = t.select("doc_file", "block", "section_id", F.explode(F.arrays_zip("rows", entries(F.col("rows")).alias("nth"))).alias("x")).select("doc_file", "block", "section_id", "x.nth", "x.rows.*")
+    # Each logical row on its own, so that a long table is put together by many tasks.
+    t = t.groupBy("doc_file", "block", "section_id", "nth").agg(F.array_sort(F.collect_list(F.struct("line_no", "left", "right"))).alias("rows"), F.min("line_no").alias("first_line"), F.max("line_no").alias("last_line"))
+    said = lambda c: F.array_join(F.filter(F.transform("rows", lambda x: x[c]), lambda v: v != ""), " ").alias(c)
+    t = t.select("doc_file", "section_id", F.lit("table").alias("kind"), said("left"), said("right"), F.lit("").alias("text"), "first_line", "last_line")
     t = t.filter("left <> '' OR right <> ''").withColumn("semester", semester(F.concat_ws(" ", "left", "right")))
 
     p = x.filter("shape = 'prose'").groupBy("doc_file", "block", "section_id", "kind").agg(F.array_sort(F.collect_list(F.struct("line_no", clean(F.col("line")).alias("c")))).alias("ls"), F.min("line_no").alias("first_line"))

@@ -67,3 +67,15 @@ def test_mentions_and_admission(spark, s):
     assert got[0][1] == "Rooted ones only." and got[0][2] == "1"
     assert got[1][2] == "1.2" and got[2][1].startswith("recursion")
     assert [r.ok for r in syllabus.admissible(s, 4, 0.5, 0.5).collect()] == [True]
+
+
+def test_rows_of_a_long_table_are_numbered_not_gathered(spark):
+    """Over several blocks: every third physical row opens a logical one, wherever a block ends; the array that is made holds a number a row."""
+    from pyspark.sql import functions as F
+
+    cells = [(f"Entry {k}", "Some") if k % 3 == 0 else ("", f"more {k}") if k % 3 == 1 else ("end.", "of it.") for k in range(1000)]
+    table = spark.createDataFrame([([(k, a, b) for k, (a, b) in enumerate(cells)],)], "rows array<struct<line_no:int,left:string,right:string>>")
+    assert table.select(syllabus.entries(F.col("rows"))).first()[0] == [k // 3 + 1 for k in range(1000)]
+    text = "# 1 Long\n" + "".join(f"| {a} | {b} |\n" for a, b in cells)
+    u = syllabus.segment(spark.createDataFrame([("l.md", text)], "doc_file string, text string")).units.orderBy("first_line").collect()
+    assert len(u) == 334 and (u[100].left, u[100].right, u[100].first_line, u[100].last_line) == ("Entry 300 end.", "Some more 301 of it.", 302, 304)
