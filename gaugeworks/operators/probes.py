@@ -1,6 +1,7 @@
 """Regular-expression probes over text zones.
 
 Most patterns can't match without some literal: one automaton of all probes' literals passes over each text once, and only the probes whose literal stands in it are run.
+A handful of probes needs no automaton: Spark looks for their literals itself, and no text goes to Python.
 """
 
 from __future__ import annotations
@@ -45,19 +46,34 @@ def check_patterns(spark: SparkSession, probes: Sequence[Probe]) -> None:
 
 
 def plain(text: str) -> str:
-    """A-Z in lower case, other letters as they are, so that a part of a text stays a part."""
-    return text.translate(_LOWER)
+    """A form with one spelling of the letters that patterns may take for each other when case is ignored: small ones of A-Z and Latin-1, i, k and s for their like. Letter by letter, so that a part of a text stays a part."""
+    if text.isascii():
+        return text.lower()
+    try:
+        return text.encode("latin-1").translate(_LATIN).decode("latin-1")
+    except UnicodeEncodeError:
+        return text.translate(_LOWER)
 
 
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+_LOWER = {c: c + 32 for c in (*range(ord("A"), ord("Z") + 1), *range(0xC0, 0xDF)) if c not in (0xC5, 0xD7)} | {0x130: ord("i"), 0x131: ord("i"), 0x212A: ord("k"), 0x17F: ord("s")}
+_LATIN = bytes(_LOWER.get(c, c) for c in range(256))
 # What Python reads otherwise than Java.
 _OTHERWISE = re.compile(r"\(\?[a-zA-Z]*x|\[\^?\[|&&|\\[QExuNpPhHRXGZ]")
 # Letters that letters beyond A-Z equal when case is ignored by Unicode's rules.
 _SHARED = "iksIKS"
-
-
-def required(pattern: str) -> list[str] | None:
-    """Literals (in plain()) of which every match holds at least one, as long as can be; None where there is no such list or the dialects may differ."""
+# Letters of Latin-1 that no letter but their own large one equals.
+_PAIRED = {chr(c) for c in range(0xC0, 0xFF)} - set("åÅ÷×ß")
+#: Alternatives of one literal, from optional letters, that are followed at once.
+MOST_SPELLINGS = 8
+#: Up to so many probes Spark looks for the literals itself.
+FEW = 16
+#: Texts that go to Python at once.
+BATCH = 500
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def required(pattern: str, paired: bool = False) -> list[str] | None:
+    """Literals (in plain()) of which every match holds at least one, as long as can be; None where there is no such list or the dialects may differ. paired: letters beyond A-Z, and those with others that equal them, count where plain() has one spelling of them."""
     from re import _constants as c
     from re import _parser
 
@@ -72,14 +88,18 @@ def required(pattern: str) -> list[str] | None:
     worth = lambda words: min(map(len, words))
 
     def best(items) -> list[str] | None:  # noqa: ANN001
-        found, run = [], ""
+        found, runs = [], [""]
+        sure = lambda x: (paired and (x < 128 or chr(x) in _PAIRED)) or not ((folded and x > 127) or (wide and chr(x) in _SHARED))
         for op, arg in [*items, (None, None)]:
-            if op is c.LITERAL and not (folded and arg > 127) and not (wide and chr(arg) in _SHARED):
-                run += chr(arg)
+            if op is c.LITERAL and sure(arg):
+                runs = [r + chr(arg) for r in runs]
+                continue
+            if op in (c.MAX_REPEAT, c.MIN_REPEAT) and arg[:2] == (0, 1) and len(arg[2]) == 1 and arg[2][0][0] is c.LITERAL and sure(arg[2][0][1]) and 2 * len(runs) <= MOST_SPELLINGS:
+                runs = [x for r in runs for x in (r, r + chr(arg[2][0][1]))]
                 continue
-            if run:
-                found.append([plain(run)])
-            run = ""
+            if all(runs):
+                found.append(sorted({plain(r) for r in runs}))
+            runs = [""]
             if op is c.SUBPATTERN:
                 found.append(best(arg[-1]))
             elif op is c.BRANCH:
@@ -96,13 +116,17 @@ def required(pattern: str) -> list[str] | None:
 
 def candidates(text: str, probes: Sequence[Probe]):  # noqa: ANN201
     """array<int>: the numbers of the probes that may match a text, in order."""
+    literals = [required(p.pattern, paired=True) or () for p in probes]
+    if len(probes) <= FEW:
+        # A literal without letters stands in the text as it is; a pattern with letters is cheaper run than its text brought to one form.
+        bare = lambda ws: ws and all(w.upper() == w.lower() for w in ws)
+        may = [F.when(F.exists(F.array(*map(F.lit, ws)), lambda w: F.contains(F.col(text), w)) if bare(ws) else F.lit(True), k) for k, ws in enumerate(literals)]
+        return F.array_compact(F.array(*may)) if may else F.array().cast("array<int>")
     words: dict[str, list[int]] = {}
-    always = []
-    for k, p in enumerate(probes):
-        for w in required(p.pattern) or ():
+    for k, ws in enumerate(literals):
+        for w in ws:
             words.setdefault(w, []).append(k)
-        if not required(p.pattern):
-            always.append(k)
+    always = [k for k, ws in enumerate(literals) if not ws]
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def present(texts: pd.Series) -> pd.Series:
@@ -142,13 +166,17 @@ def attest(rows: DataFrame, probes: Sequence[Probe], origin: str, text: str = "t
     """
     spark = rows.sparkSession
     check_patterns(spark, probes)
+    if not 0 < int(spark.conf.get(BATCH_ROWS, "10000")) <= BATCH:
+        spark.conf.set(BATCH_ROWS, str(BATCH))
     named = spark.createDataFrame([(k, p.name, p.pattern, p.anti) for k, p in enumerate(probes)], "k int, probe string, pattern string, anti string")
     met = rows.select(F.col(origin).alias("origin"), F.col(text).cast("string").alias("text")).filter("text IS NOT NULL")
     x = met.select("origin", "text", F.explode(candidates("text", probes)).alias("k")).join(F.broadcast(named), "k").filter(F.rlike("text", F.col("pattern")))
     start = F.length(F.element_at(F.split("text", F.col("pattern"), 2), 1))
     x = x.withColumn("start", start).withColumn("size", F.length(F.expr("regexp_extract(text, pattern, 0)")))
     x = x.withColumn("excerpt", snippet(F.col("text"), F.col("start"), F.col("start") + F.col("size"), around))
-    return x.select("probe", "origin", "excerpt", F.coalesce(F.rlike("excerpt", F.col("anti")), F.lit(False)).alias("rejected"))
+    # Where no probe has an anti-pattern, who doesn't ask for excerpts needn't have them made.
+    rejected = F.coalesce(F.rlike("excerpt", F.col("anti")), F.lit(False)) if any(p.anti is not None for p in probes) else F.lit(False)
+    return x.select("probe", "origin", "excerpt", rejected.alias("rejected"))
 
 
 def admission(attested: DataFrame, probes: Sequence[Probe], least: int = 2) -> DataFrame:

@@ -363,3 +363,29 @@ def test_humanise_and_exam_from_the_exercise(spark):
 def test_totals_count_unlisted_values(spark):
     q = spark.createDataFrame([(1, "a", "x"), (2, "a", "y"), (3, None, None), (4, "a", None)], "question_id int, r string, c string")
     assert sorted(map(tuple, measures.contingency(q, "r", "c", ["x"]).collect())) == [("None", 0, 1), ("a", 1, 3)]
+
+
+def test_a_few_probes_need_no_python(spark):
+    rows = spark.createDataFrame([("a", "x@y.z"), ("b", "none"), ("c", None)], "source string, text string")
+    ps = [probes.Probe("mail", "[a-z]+@[a-z.]+"), probes.Probe("word", "(?i)NONE")]
+    found = probes.attest(rows, ps, "source")
+    assert "Python" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.probe, r.origin, r.excerpt) for r in found.collect()) == [("mail", "a", "x@y.z"), ("word", "b", "none")]
+
+
+def test_literals_with_optional_letters_and_letters_that_others_equal(spark):
+    assert probes.required("the ?und") == ["the und", "theund"]
+    assert probes.required("(?iu)queing", paired=True) == ["queing"] and probes.required("(?iu)üthe", paired=True) == ["üthe"]
+    ps = [probes.Probe(p, p) for p in ("(?iu)ski", "(?iu)été ?x", "(?i)été", "été", "(?iu)kiss", "s ?k", "(?iu)Åre", "(?iu)ÿb", "(?iu)straße", "(?i)ski") for p in (p, f"{p}(?:1|)")]
+    assert len(ps) > probes.FEW
+    texts = ["SKİ", "ſKı", "ÉTÉ X", "étéx", "ÉTé", "KISS", "kıſS", "s k", "S K", "Åre", "åRE", "Åre", "ŸB", "STRAẞE", "ski 日本", ""]
+    rows = spark.createDataFrame([(str(k), t) for k, t in enumerate(texts)], "source string, text string")
+    got = sorted((r.probe, r.origin) for r in probes.attest(rows, ps, "source").collect())
+    want = sorted((p.name, r.source) for p in ps for r in rows.filter(rows.text.rlike(p.pattern)).collect())
+    assert got == want and len(want) > 20
+
+
+def test_excerpts_are_not_made_for_admission_without_anti_patterns(spark):
+    rows = spark.createDataFrame([("a", "x@y.z")], "source string, text string")
+    out = probes.admission(probes.attest(rows, [probes.Probe("mail", "@")], "source"), [probes.Probe("mail", "@")])
+    assert "split(" not in out._jdf.queryExecution().optimizedPlan().toString()
