@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions.text import section_of
 from gaugeworks.operators.order import numbered
+from gaugeworks.sources.shared import written
 
 #: Published noise of coverage, in points, between two equal runs.
 COVERAGE_NOISE = 10.7
@@ -164,29 +165,34 @@ def everything(questions: DataFrame, labels: DataFrame, fields: Sequence[str], o
 def all_measures(questions: DataFrame, labels: DataFrame, fields: Sequence[str], ok: str = "ok") -> DataFrame:
     """The measures of aggregate() for the whole and each field's values: grouped_by, value and its nine columns, from one shuffle of the labels.
 
-    Concepts and exercises get numbers. A question brings its labels' count and distinct numbers, then grouping sets add up sums and set bits: exact distinct counts are the
-    bits of bitmaps, one for each 32768 numbers, that Spark merges on the map side. A group's bitmaps are as large as its dictionary, however many rows it has.
+    A question brings its labels' count and the numbers of its distinct concepts. Sums come from grouping sets that Spark adds up on the map side. For exact distinct counts each
+    exercise and each concept gathers the values that it occurs with, a set as large as the field has values, and counts once for each of them: no task sorts questions by group.
     """
     concepts = numbered(labels, "concept_id")
     named = questions.withColumn("__exercise", F.coalesce(F.col("exercise_id").cast("string"), F.lit(NONE)))
     exercises = numbered(named, "__exercise").withColumnRenamed("code", "__code")
     per = labels.join(concepts, "concept_id", "left").groupBy("question_id").agg(F.count(F.lit(1)).alias("__labels"), F.collect_set("code").alias("__codes"))
     q = named.join(per, "question_id", "left").join(exercises, "__exercise")
-
-    def entry(kind: str, code: Column, n: Column, unlabelled: Column, covered: Column, question: int) -> Column:
-        return F.struct(
-            F.lit(kind).alias("kind"), F.bitmap_bucket_number(code).alias("bucket"), F.bitmap_bit_position(code).alias("bit"), F.lit(question).alias("questions"),
-            n.cast("long").alias("labels"), unlabelled.cast("int").alias("unlabelled"), covered.cast("int").alias("covered"),
-        )
-
-    n, none = F.coalesce("__labels", F.lit(0)), F.lit(0)
-    one = entry("exercise", F.col("__code"), n, n == 0, F.coalesce(F.col("status") == ok, F.lit(False)), 1)
-    bits = F.transform(F.coalesce("__codes", F.array().cast("array<bigint>")), lambda c: entry("concept", c, none, none, none, 0))
-    x = q.select(*fields, F.explode(F.concat(F.array(one), bits)).alias("x")).select(*fields, "x.*")
-    sums = ["questions", "labels", "unlabelled", "covered"]
-    x = x.groupingSets([["kind", "bucket"], *[[f, "kind", "bucket"] for f in fields]], *fields, "kind", "bucket").agg(*_named_sets(fields), *[F.sum(c).alias(c) for c in sums], F.bitmap_count(F.bitmap_construct_agg("bit")).alias("distinct"))
-    bits_of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("distinct"))), F.lit(0)).alias(f"{kind}s")
-    x = x.groupBy("grouped_by", "value").agg(*[F.sum(c).alias(c) for c in sums], bits_of("exercise"), bits_of("concept"))
+    covered = F.coalesce(F.col("status") == ok, F.lit(False))
+    q = written(q.select(*fields, F.coalesce("__labels", F.lit(0)).alias("__labels"), covered.alias("__covered"), "__code", "__codes"), "sized")
+
+    n = F.col("__labels")
+    sums = [F.count(F.lit(1)).alias("questions"), F.sum(n).alias("labels"), F.count_if(n == 0).alias("unlabelled"), F.count_if("__covered").alias("covered")]
+    x = q.groupingSets([[], *[[f] for f in fields]], *fields).agg(*_named_sets(fields), *sums)
+    x = x.groupBy("grouped_by", "value").agg(*[F.sum(c).alias(c) for c in ("questions", "labels", "unlabelled", "covered")])
+
+    def distinct(rows: DataFrame, name: str) -> DataFrame:
+        """How many codes occur in the whole and with each value: __kind, __value and a column of that name."""
+        sets = rows.groupBy("code").agg(*[F.collect_set(F.struct(F.col(f).cast("string").alias("value"))).alias(f"__{k}") for k, f in enumerate(fields)])
+        one = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+        each = lambda k, f: F.transform(f"__{k}", lambda s: one(f, s["value"]))
+        every = [each(k, f) for k, f in enumerate(fields)]
+        met = sets.select(F.explode(F.concat(F.array(one("all", F.lit(None).cast("string"))), *every)).alias("m"))
+        return met.groupBy(F.col("m.kind").alias("__kind"), F.col("m.value").alias("__value")).agg(F.count(F.lit(1)).alias(name))
+
+    for name, rows in (("exercises", q.select(*fields, F.col("__code").alias("code"))), ("concepts", q.select(*fields, F.explode("__codes").alias("code")).distinct())):
+        x = x.join(distinct(rows, name), (F.col("grouped_by") == F.col("__kind")) & F.col("value").eqNullSafe(F.col("__value")), "left").drop("__kind", "__value")
+    x = x.fillna(0, ["exercises", "concepts"])
     covered = share(F.col("covered"), F.col("questions"))
     return x.select(
         "grouped_by", "value", "questions", "labels", "exercises", "concepts", "unlabelled", ratio(F.col("labels"), F.col("questions")).alias("mean_labels"), covered.alias("coverage"),

@@ -389,3 +389,12 @@ def test_excerpts_are_not_made_for_admission_without_anti_patterns(spark):
     rows = spark.createDataFrame([("a", "x@y.z")], "source string, text string")
     out = probes.admission(probes.attest(rows, [probes.Probe("mail", "@")], "source"), [probes.Probe("mail", "@")])
     assert "split(" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_all_measures_sort_no_questions_by_group(spark):
+    """Distinct counts whose state can't be hashed sort each question as often as there are sets and labels."""
+    q = spark.createDataFrame([(1, "e", "t", "ok"), (2, "e", None, "P"), (3, None, "u", "ok")], "question_id long, exercise_id string, track string, status string")
+    l = spark.createDataFrame([(1, "a.x"), (1, "a.x"), (2, "a.y"), (3, None)], "question_id long, concept_id string")
+    found = measures.all_measures(q, l, ["track"])
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {(r.grouped_by, r.value): (r.questions, r.labels, r.exercises, r.concepts) for r in found.collect()} == {("all", None): (3, 4, 2, 2), ("track", "t"): (1, 2, 1, 1), ("track", None): (1, 1, 1, 1), ("track", "u"): (1, 1, 1, 0)}
