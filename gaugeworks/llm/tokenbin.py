@@ -91,16 +91,21 @@ class WordEncoder:
         self.plain = re.compile("[\n -~\u00a1-\u00ac\u00ae-\u024f]*")
         self.cut = regex.compile(CUTS)
         self.symbols = {b: c for b, c in enumerate(byte_symbols()) if chr(b) != c}
+        self.blank = byte_symbols()[32]
         self.model = self.library.model
         self.pieces, self.inner, self.first = Words(self.piece), Words(lambda w: self.word(" " + w)), Words(self.word)
 
     def piece(self, piece: str) -> bytes:
-        symbols = piece.encode().decode("latin-1").translate(self.symbols)
+        # Of printable ASCII only the blank has another symbol.
+        symbols = piece.replace(" ", self.blank) if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.symbols)
         return array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
 
     def word(self, word: str) -> bytes:
         if word[1:].isalpha() and word.isascii() and (word[0] == " " or word[0].isalpha()):
             return self.pieces[word]
+        # Letters and one sign after them: two pieces, as the pattern cuts.
+        if word[1:-1].isalpha() and word[-1] in ".,;:!?" and word.isascii() and (word[0] == " " or word[0].isalpha()):
+            return self.pieces[word[:-1]] + self.pieces[word[-1]]
         if self.plain.fullmatch(word):
             return b"".join([self.pieces[p] for p in self.cut.findall(word)])
         return self.text(word)
